@@ -39,6 +39,7 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
         builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", "16g")
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)

@@ -1 +1,216 @@
-"""Queries (see registry)."""
+"""Queries over stored ``pages``: extraction, links, listing -> detail join,
+and an issue archive whose track labels are derived from ``page_id``
+(A5, J2, H7, H8, H9, E5, D5, A14, H4, C2, C3, C4, E6, F6)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as TX
+from ..operators import listing as LS
+from ..sources import pages as PG
+from ..sources.tables import read_table
+from . import sqlfrag as S
+from .registry import query
+
+TARGET_YEAR = 24
+TRACKS_PER_PAGE = 8
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "pages")
+
+
+@query(
+    "page_extract",
+    """SELECT page_id,
+       nullif(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '') AS title_raw,
+       nullif(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '') AS html_title,
+       nullif(regexp_extract(html, '<html[^>]*lang="([A-Za-z-]+)"', 1), '') AS lang,
+       nullif(regexp_extract(html, '<a[^>]*rel="next"[^>]*href="([^"]*)"', 1), '') AS next_url
+FROM pages""",
+    "A5 H7 H9 (regex fast path over stored pages)",
+)
+def page_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _pages(spark, sf_dir)
+    return p.select(
+        "page_id",
+        PG.first_h1_raw("html").alias("title_raw"),
+        F.nullif(F.regexp_extract("html", PG.TITLE_PATTERN, 1), F.lit("")).alias("html_title"),
+        PG.page_lang("html").alias("lang"),
+        PG.next_page_url("html").alias("next_url"),
+    )
+
+
+def _decode(x: str) -> str:
+    for ent, ch in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{ent}', '{ch}')"
+    return x
+
+
+_ARTICLE = "regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1)"
+_ARTICLE_TEXT = (
+    f"regexp_replace(regexp_replace({_ARTICLE}, '(?s)<h1[^>]*>.*?</h1>', '', 'g'), '<[^>]*>', '', 'g')"
+)
+_NAV = "regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1)"
+
+
+@query(
+    "page_fields",
+    f"""SELECT page_id,
+       {S.strip(_decode("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))} AS title,
+       {S.strip(_decode(_ARTICLE_TEXT))} AS abstract,
+       CAST(len(regexp_extract_all({_NAV}, '<a ', 0)) AS INTEGER) AS n_links
+FROM pages""",
+    "J2 H7 (html.parser extraction with entity decoding, Arrow-batched UDF)",
+)
+def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _pages(spark, sf_dir)
+    f = p.select("page_id", PG.extract_fields("html", "generic").alias("f"))
+    return f.select("page_id", "f.title", "f.abstract", F.size("f.links").cast("int").alias("n_links"))
+
+
+_LINKS_SQL = """WITH l AS (
+  SELECT page_id,
+         regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs,
+         regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts
+  FROM pages),
+x AS (SELECT page_id, CAST(i AS INTEGER) AS pos, hrefs[i] AS href, texts[i] AS link_text
+      FROM l, range(1, len(hrefs) + 1) AS t(i))
+SELECT page_id, link_text, arg_max(href, pos) AS href, min(pos) AS pos FROM x GROUP BY page_id, link_text"""
+
+
+@query("page_links", _LINKS_SQL, "H8 E5 (anchor list in order, dict semantics per link text)")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = LS.page_links(_pages(spark, sf_dir))
+    return LS.link_dict(links)
+
+
+_LISTING_SQL = """WITH listing AS (
+  SELECT page_id AS listing_id, 0 AS variant, url FROM pages
+  UNION ALL
+  SELECT page_id AS listing_id, 1 AS variant, regexp_replace(url, '[?#].*$', '') AS url FROM pages),
+detail AS (SELECT url, nullif(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '') AS title FROM pages)
+SELECT l.listing_id, CAST(l.variant AS INTEGER) AS variant, l.url, d.title,
+       CASE WHEN d.url IS NULL THEN 'page not stored' ELSE 'ok' END AS status
+FROM listing l LEFT JOIN detail d ON l.url = d.url"""
+
+
+@query("listing_detail_join", _LISTING_SQL, "D5 A14 (listing rows -> stored detail pages, unmatched to rejects)")
+def listing_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _pages(spark, sf_dir)
+    listing = p.select(F.col("page_id").alias("listing_id"), F.lit(0).alias("variant"), "url").unionByName(
+        p.select(
+            F.col("page_id").alias("listing_id"),
+            F.lit(1).alias("variant"),
+            F.regexp_replace("url", r"[?#].*$", "").alias("url"),
+        )
+    )
+    # extract before the join so only (url, title) is shuffled, not the html
+    detail = p.select("url", PG.first_h1_raw("html").alias("title"), F.lit("stored").alias("html"))
+    matched, rejects = LS.detail_join(listing, detail)
+    return matched.select("listing_id", "variant", "url", "title", F.lit("ok").alias("status")).unionByName(
+        rejects.select("listing_id", "variant", "url", F.lit(None).cast("string").alias("title"), F.col("reason").alias("status"))
+    )
+
+
+# --- issue archive derived from pages ----------------------------------------
+
+
+def tracks_from_pages(pages: DataFrame) -> DataFrame:
+    """One track link per page: archive ``venue`` = page language, archive
+    page ``page_no`` and in-page ``pos`` from ``page_id``, a label whose year
+    falls with the page number, and a missing href on some rows."""
+    pid = F.col("page_id")
+    page_no = F.expr(f"page_id div {TRACKS_PER_PAGE}") + 1
+    pos = pid % TRACKS_PER_PAGE + 1
+    yy = (F.lit(26) - F.least(F.expr(f"(page_id div {TRACKS_PER_PAGE} + 1) div 3"), F.lit(10))).cast("string")
+    kind = pid % 5
+    title = (
+        F.when(kind == 0, F.concat(F.lit("AAAI-"), yy, F.lit(" Technical Tracks "), pos.cast("string")))
+        .when(kind == 1, F.concat(F.lit("Technical Tracks Vol. "), pid.cast("string"), F.lit(" (20"), yy, F.lit(")")))
+        .when(kind == 2, F.lit("Technical Tracks Special Issue"))
+        .when(kind == 3, F.concat(F.lit("Student Abstracts 20"), yy))
+        .otherwise(F.concat(F.lit("AAAI-"), yy, F.lit(" Technical Tracks Posters")))
+    )
+    return pages.select(
+        F.coalesce(PG.page_lang("html"), F.lit("")).alias("venue"),
+        page_no.alias("page_no"),
+        pos.alias("pos"),
+        title.alias("track_title"),
+        F.when(pid % 11 == 10, F.lit(None).cast("string")).otherwise(F.col("url")).alias("track_url"),
+    )
+
+
+_TRACKS_SQL = f"""WITH t AS (
+  SELECT coalesce(nullif(regexp_extract(html, '<html[^>]*lang="([A-Za-z-]+)"', 1), ''), '') AS venue,
+         page_id // {TRACKS_PER_PAGE} + 1 AS page_no,
+         page_id % {TRACKS_PER_PAGE} + 1 AS pos,
+         CAST(26 - least((page_id // {TRACKS_PER_PAGE} + 1) // 3, 10) AS VARCHAR) AS yy,
+         page_id % 5 AS kind, page_id, url
+  FROM pages),
+t2 AS (
+  SELECT venue, page_no, pos,
+         CASE kind WHEN 0 THEN 'AAAI-' || yy || ' Technical Tracks ' || CAST(pos AS VARCHAR)
+                   WHEN 1 THEN 'Technical Tracks Vol. ' || CAST(page_id AS VARCHAR) || ' (20' || yy || ')'
+                   WHEN 2 THEN 'Technical Tracks Special Issue'
+                   WHEN 3 THEN 'Student Abstracts 20' || yy
+                   ELSE 'AAAI-' || yy || ' Technical Tracks Posters' END AS track_title,
+         CASE WHEN page_id % 11 = 10 THEN NULL ELSE url END AS track_url
+  FROM t),
+f AS (SELECT * FROM t2 WHERE track_title LIKE '%Technical Tracks%' AND track_url IS NOT NULL),
+r AS (
+  SELECT *, CAST(coalesce(nullif(regexp_extract(track_title, 'AAAI-([0-9]{{2}})', 1), ''),
+                          nullif(regexp_extract(track_title, '20([0-9]{{2}})', 1), '')) AS INTEGER) AS year
+  FROM f),
+r2 AS (
+  SELECT *, CASE WHEN year IS NULL OR year = {TARGET_YEAR} THEN 'process'
+                 WHEN year > {TARGET_YEAR} THEN 'skip' ELSE 'stop' END AS route
+  FROM r)"""
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tracks = LS.technical_tracks(tracks_from_pages(_pages(spark, sf_dir)))
+    return LS.route_tracks(tracks, TARGET_YEAR)
+
+
+@query(
+    "issue_year_route",
+    _TRACKS_SQL + "\nSELECT venue, page_no, pos, track_title, year, route FROM r2",
+    "H4 C2 C4 (track label -> year -> process/skip/stop)",
+)
+def issue_year_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routed(spark, sf_dir).select("venue", "page_no", "pos", "track_title", "year", "route")
+
+
+@query(
+    "issue_take_while",
+    _TRACKS_SQL
+    + f""",
+alive AS (
+  SELECT * FROM r2 a WHERE NOT EXISTS (
+    SELECT 1 FROM r2 o WHERE o.venue = a.venue AND o.year < {TARGET_YEAR}
+      AND (o.page_no < a.page_no OR (o.page_no = a.page_no AND o.pos <= a.pos)))),
+last_page AS (SELECT venue, min(page_no) AS lp FROM alive WHERE year = {TARGET_YEAR} GROUP BY venue)
+SELECT a.venue, a.page_no, a.pos, a.track_title, a.year
+FROM alive a LEFT JOIN last_page l ON a.venue = l.venue
+WHERE (l.lp IS NULL OR a.page_no <= l.lp) AND a.route = 'process'""",
+    "C3 F6 (ordered crawl with early stop, as aggregations per archive)",
+)
+def issue_take_while(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = LS.take_while(_routed(spark, sf_dir), TARGET_YEAR, ["venue"])
+    return kept.select("venue", "page_no", "pos", "track_title", "year")
+
+
+@query(
+    "issue_page_flags",
+    _TRACKS_SQL
+    + f"""
+SELECT venue, page_no, coalesce(bool_or(year = {TARGET_YEAR}), false) AS found_target,
+       coalesce(bool_or(year < {TARGET_YEAR}), false) AS any_older, CAST(count(*) AS BIGINT) AS n_tracks
+FROM r2 GROUP BY venue, page_no""",
+    "E6 (any/all flags per archive page)",
+)
+def issue_page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LS.page_flags(_routed(spark, sf_dir), TARGET_YEAR, ["venue"])

@@ -19,6 +19,13 @@ from ..config import PROMPT_TEMPLATE
 WS = r"[\s\x1c-\x1f]"
 WS_RUN = r"(?U)" + WS + "+"
 STRIP_PATTERN = r"(?U)^" + WS + r"+|" + WS + r"+\z"
+# Every character Python's ``str.isspace`` accepts (the same set
+# as Java's White_Space property plus U+001C..U+001F), for set-based trims.
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 LATEX_WRAP = r"\\[a-z]+\{([^}]*)\}"
 URL_PATTERN = r"(?U)https?://[^\s\x1c-\x1f]+"
 ASCII_KEY_DROP = r"[^a-zA-Z0-9]"
@@ -41,8 +48,11 @@ def _c(x: Column | str) -> Column:
 
 
 def py_strip(x: Column | str) -> Column:
-    """``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(x), STRIP_PATTERN, "")
+    """``str.strip()``: remove leading/trailing Unicode whitespace.
+
+    A character-set trim touches only the ends of the string (a regex with a
+    trailing anchor would be tried at every whitespace run of the text)."""
+    return F.trim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def normalize_text(x: Column | str) -> Column:

@@ -28,11 +28,19 @@ def l2_norm(v: Column | str) -> Column:
     return F.sqrt(sum_of_squares(v))
 
 
+def divide_by(v: Column | str, d: Column) -> Column:
+    """Element-wise ``v / d`` with ``d`` evaluated once per row.
+
+    ``d`` enters as an ``array_repeat`` argument rather than inside the
+    lambda, where it would be re-evaluated for every element."""
+    v = _col(v)
+    return F.zip_with(v, F.array_repeat(d, F.size(v)), lambda x, n: x.cast("double") / n)
+
+
 def l2_normalize(v: Column | str) -> Column:
     """``x / max(||x||, 1e-12)`` element-wise, as ``array<double>``."""
     v = _col(v)
-    norm = F.greatest(l2_norm(v), F.lit(NORM_EPS))
-    return F.transform(v, lambda x: x.cast("double") / norm)
+    return divide_by(v, F.greatest(l2_norm(v), F.lit(NORM_EPS)))
 
 
 def dot(a: Column | str, b: Column | str) -> Column:

@@ -58,7 +58,7 @@ def hashing_counts(buckets: Column | str, dim: int = HASH_DIM) -> Column:
         null = ~np.asarray(col.is_valid().to_numpy(zero_copy_only=False), dtype=bool)
         return pa.ListArray.from_arrays(offsets, pa.array(counts), mask=pa.array(null))
 
-    return histogram(_c(buckets))
+    return histogram.asNondeterministic()(_c(buckets))  # see score.similarity_struct
 
 
 def hashing_embedding(df, text: str, out: str = "embedding", dim: int = HASH_DIM):
@@ -90,7 +90,7 @@ def encode_with(
             out[s.isna().to_numpy()] = None
             yield out
 
-    return encode(_c(text))
+    return encode.asNondeterministic()(_c(text))  # see score.similarity_struct
 
 
 def hashing_encoder_factory(dim: int = HASH_DIM) -> Callable[[], Callable[[list[str]], np.ndarray]]:

@@ -17,7 +17,10 @@ from ..sources import pages as PG
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """H8: ``(page_id, pos, link_text, href)`` in page order (narrow explode)."""
-    return pages.select(id_col, F.posexplode(PG.anchors(html_col)).alias("p", "a")).select(
+    # posexplode_outer avoids an inferred size() > 0 filter that would run the
+    # regex extraction twice
+    exploded = pages.select(id_col, F.posexplode_outer(PG.anchors(html_col)).alias("p", "a"))
+    return exploded.filter(F.col("a").isNotNull()).select(
         id_col,
         (F.col("p") + 1).cast("int").alias("pos"),
         F.col("a.text").alias("link_text"),

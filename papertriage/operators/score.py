@@ -176,37 +176,38 @@ def similarity_struct(emb: Column | str, refs: ReferenceSet, cfg: TriageConfig,
             mask=pa.array(null),
         )
 
-    return score_batch(F.col(emb) if isinstance(emb, str) else emb)
+    # nondeterministic only to pin the evaluation point: Catalyst would otherwise
+    # copy filters on the result below exchanges and run the product twice
+    return score_batch.asNondeterministic()(F.col(emb) if isinstance(emb, str) else emb)
 
 
-def similarity_struct_sql(emb: Column | str, refs: ReferenceSet, cfg: TriageConfig) -> Column:
-    """The same struct with JVM higher-order functions only (no Python worker)."""
-    emb = F.col(emb) if isinstance(emb, str) else emb
+def score_columns_sql(papers: DataFrame, emb: str, refs: ReferenceSet, cfg: TriageConfig) -> DataFrame:
+    """Add ``sims, mean_similarity, n_top_above, top_sims`` with JVM
+    higher-order functions only (no Python worker).
+
+    Staged projections keep each array computed once per row: a value used by
+    several later expressions is a column of an earlier projection, which
+    Catalyst does not inline again when it is referenced more than once."""
     k = cfg.top_k
     mat = V.literal_matrix(refs.matrix.tolist())
-    norm = F.greatest(V.l2_norm(emb), F.lit(V.NORM_EPS))
-    sims = F.transform(mat, lambda r: V.dot(emb, r) / norm)
+    e = F.col(emb)
+    norm = F.greatest(V.l2_norm(e), F.lit(V.NORM_EPS))
+    dots = F.transform(mat, lambda r: V.dot(e, r))
+    sims = F.when(e.isNotNull(), V.divide_by(dots, norm))
     if cfg.strict_float32:
         sims = F.transform(sims, lambda s: s.cast("float").cast("double"))
-    size = F.size(sims)
-    mean = F.when(size > 0, F.aggregate(sims, F.lit(0.0).cast("double"), lambda a, x: a + x) / size)
+    df = papers.withColumn("sims", sims)
+    size = F.size("sims")
+    mean = F.when(size > 0, F.aggregate("sims", F.lit(0.0).cast("double"), lambda a, x: a + x) / size)
     if cfg.strict_float32:
         mean = mean.cast("float").cast("double")
-    ordered = F.array_sort(sims)
-    top = F.slice(ordered, F.greatest(size - k + 1, F.lit(1)), k)
+    df = df.withColumn("mean_similarity", mean).withColumn("_sorted", F.array_sort("sims"))
+    df = df.withColumn("top_sims", F.slice("_sorted", F.greatest(F.size("_sorted") - k + 1, F.lit(1)), k))
     t = F.lit(cfg.individual_sim_threshold)
     if cfg.strict_float32:
         t = t.cast("float").cast("double")
-    n_top = F.size(F.filter(top, lambda s: (s >= t) & ~F.isnan(s)))
-    return F.when(
-        emb.isNotNull(),
-        F.struct(
-            sims.alias("sims"),
-            mean.alias("mean_similarity"),
-            n_top.cast("int").alias("n_top_above"),
-            top.alias("top_sims"),
-        ),
-    )
+    n_top = F.size(F.filter("top_sims", lambda s: (s >= t) & ~F.isnan(s)))
+    return df.withColumn("n_top_above", F.when(e.isNotNull(), n_top.cast("int"))).drop("_sorted")
 
 
 def relevance_rules(mean: Column, n_top: Column, cfg: TriageConfig) -> tuple[Column, Column]:
@@ -234,18 +235,17 @@ def score_papers(
     """
     if plan == "arrow":
         s = similarity_struct(emb_col, refs, cfg, papers.sparkSession)
+        scored = papers.withColumn("_score", s).select(
+            *[c for c in papers.columns],
+            F.col("_score.sims").alias("sims"),
+            F.col("_score.mean_similarity").alias("mean_similarity"),
+            F.col("_score.n_top_above").alias("n_top_above"),
+            F.col("_score.top_sims").alias("top_sims"),
+        )
     elif plan == "sql":
-        s = similarity_struct_sql(emb_col, refs, cfg)
+        scored = score_columns_sql(papers, emb_col, refs, cfg)
     else:
         raise ValueError(f"unknown plan {plan!r}")
-    scored = papers.withColumn("_score", s)
-    scored = scored.select(
-        *[c for c in papers.columns],
-        F.col("_score.sims").alias("sims"),
-        F.col("_score.mean_similarity").alias("mean_similarity"),
-        F.col("_score.n_top_above").alias("n_top_above"),
-        F.col("_score.top_sims").alias("top_sims"),
-    )
     mean_rule, top_rule = relevance_rules(F.col("mean_similarity"), F.col("n_top_above"), cfg)
     return scored.withColumn("is_related", mean_rule | top_rule).withColumn(
         "reason", F.when(mean_rule, F.lit("mean")).when(top_rule, F.lit("top_k"))
@@ -267,7 +267,10 @@ def pairwise_long(scored: DataFrame, refs: ReferenceSet, id_col: str = "paper_id
     papers x references, which is the operator's result, not a join.
     """
     ids = ref_ids_column(refs)
-    return scored.select(id_col, F.posexplode("sims").alias("ref_idx", "similarity")).select(
+    # posexplode_outer: the size() > 0 filter Catalyst infers for posexplode
+    # would be pushed below the scoring UDF and evaluate it a second time
+    exploded = scored.select(id_col, F.posexplode_outer("sims").alias("ref_idx", "similarity"))
+    return exploded.filter(F.col("ref_idx").isNotNull()).select(
         id_col, F.element_at(ids, F.col("ref_idx") + 1).alias("ref_id"), "similarity"
     )
 

@@ -40,7 +40,7 @@ def encode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = docs.select("doc_id", EN.hashing_counts(EN.token_buckets("text")).alias("counts"))
     norm = F.sqrt(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x * x))
-    out = counts.select("doc_id", norm.alias("norm"), F.posexplode("counts").alias("bucket", "n"))
+    out = counts.select("doc_id", norm.alias("norm"), F.posexplode_outer("counts").alias("bucket", "n"))
     return out.filter(F.col("n") > 0).select(
         "doc_id",
         F.col("bucket").cast("int").alias("bucket"),
@@ -91,10 +91,15 @@ FROM agg WHERE mean_sim > {HASH_CFG.similarity_threshold} OR n_top >= {HASH_CFG.
 )
 
 
-def encoded_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Usable papers with a unit hashing embedding of their prompt text."""
+def encoded_papers(spark: SparkSession, sf_dir: str, refs_only: bool = False) -> DataFrame:
+    """Usable papers with a unit hashing embedding of their prompt text.
+
+    ``refs_only`` filters to the reference papers before encoding (the UDF is
+    an evaluation barrier, so filters must be written before it)."""
     docs = read_table(spark, sf_dir, "documents")
     kept, _ = PP.split_usable(PP.papers_from_documents(docs, S.URL_PREFIX))
+    if refs_only:
+        kept = kept.filter(F.col("paper_id") < R)
     prompt = TX.prompt_text(TX.normalize_text("title"), TX.normalize_text("abstract"))
     counts = kept.select("paper_id", EN.hashing_counts(EN.token_buckets(prompt)).alias("counts"))
     # the UDF result is a column before the lambda uses it (UDFs cannot sit inside lambdas)
@@ -109,7 +114,7 @@ def encoded_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def triage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = encoded_papers(spark, sf_dir)
     refs = SC.collect_reference_set(
-        enc.filter(F.col("paper_id") < R), "paper_id", "embedding", max_bytes=HASH_CFG.max_reference_bytes
+        encoded_papers(spark, sf_dir, refs_only=True), "paper_id", "embedding", max_bytes=HASH_CFG.max_reference_bytes
     )
     scored = SC.score_papers(enc, refs, HASH_CFG)
     return SC.related_only(scored).select(

@@ -139,7 +139,10 @@ FROM s JOIN rel USING (paper_id)""",
 def similarity_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, refs = scored_papers(spark, sf_dir)
     detail = SC.sorted_detail(SC.related_only(scored), refs)
-    return detail.select("paper_id", F.posexplode("detail").alias("pos", "d")).select(
+    # posexplode_outer: a plain posexplode makes Catalyst infer a size() > 0
+    # filter that it pushes below the UDF's exchange, evaluating the UDF twice
+    exploded = detail.select("paper_id", F.posexplode_outer("detail").alias("pos", "d"))
+    return exploded.filter(F.col("d").isNotNull()).select(
         "paper_id",
         (F.col("pos") + 1).cast("bigint").alias("rank"),
         F.col("d.ref_id").alias("ref_id"),

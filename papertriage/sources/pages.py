@@ -238,4 +238,5 @@ def extract_fields(html: Column | str, layout: str = "generic") -> Column:
             rows = [extract_page(h, rules) for h in s]
             yield pd.DataFrame(rows, columns=["title", "abstract", "links", "next_url"])
 
-    return parse(_c(html))
+    # evaluated once where written (see operators.score.similarity_struct)
+    return parse.asNondeterministic()(_c(html))

@@ -15,9 +15,42 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one parquet table. Column pruning and filters reach the scan."""
-    return spark.read.parquet(table_path(sf_dir, name))
+# Tables up to this estimated size are spread over all cores after the scan.
+SPREAD_MAX_BYTES = 1 << 30
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a plan (file sizes for a plain scan)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
+    """Round-robin a small input over ``defaultParallelism`` partitions.
+
+    A file with one row group is read by one task, so per-row CPU work (regex,
+    hashing, UDFs) runs single-threaded. Only inputs whose estimated size is
+    under ``max_bytes`` are spread; large inputs already arrive as many splits
+    and are left as they are (no extra shuffle at scale). Filters and column
+    pruning still reach the scan below the repartition.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if target <= 1 or estimated_bytes(df) > max_bytes:
+        return df
+    return df.repartition(target)
+
+
+# Text tables whose per-row work (regex, hashing, HTML parsing) is CPU-bound.
+TEXT_TABLES = {"documents", "pages"}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """Read one parquet table. Column pruning and filters reach the scan.
+
+    Text tables are spread over all cores when small (see ``spread_small``)."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if spread is None:
+        spread = name in TEXT_TABLES
+    return spread_small(df) if spread else df
 
 
 def _jvm_fs(spark: SparkSession, path: str):

@@ -38,6 +38,6 @@ def query(name: str, sql: str | None, ops: str = ""):
 
 def all_queries() -> dict[str, Query]:
     # import for side effects: each module registers its queries
-    from . import scoring, text_queries, papers_queries, notes_queries, pages_queries, encode_queries, io_queries  # noqa: F401
+    from . import scoring, text_queries, papers_queries, notes_queries, pages_queries, encode_queries, io_queries, stream_queries  # noqa: F401
 
     return dict(_REGISTRY)

@@ -345,6 +345,8 @@ def score_papers_chunked(
         chunk = collect_reference_set(
             keyed.filter(F.col("_chunk") == c), ref_id_col, ref_emb_col, max_bytes=cfg.max_reference_bytes
         )
+        if chunk.size == 0:
+            continue
         s = similarity_struct("_emb", chunk, cfg, spark)
         partials.append(
             base.withColumn("_s", s).select(
@@ -355,6 +357,8 @@ def score_papers_chunked(
                 F.col("_emb").isNull().alias("no_emb"),
             )
         )
+    if not partials:
+        raise ValueError("empty reference set")
     merged = partials[0]
     for p in partials[1:]:
         merged = merged.unionByName(p)

@@ -85,7 +85,15 @@ def write_paper_csv(df: DataFrame, path: str, mode: str = "overwrite", partition
 
     ``mode='append'`` adds files next to the existing ones: each batch is one
     write, never a rewrite of the whole table per row."""
-    w = df.write.mode(mode).option("header", True).option("escape", '"').option("quote", '"')
+    w = (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("quote", '"')
+        # Spark's CSV writer trims values by default; pandas keeps them
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

@@ -46,7 +46,9 @@ def write_outputs(root: str, tables: dict[str, DataFrame], fmt: dict[str, str] |
         kind = fmt.get(name, "parquet")
         w = df.write.mode("overwrite")
         if kind == "csv":
-            w.option("header", True).option("escape", '"').csv(path)
+            w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+                "ignoreTrailingWhiteSpace", False
+            ).csv(path)
         elif kind == "json":
             w.json(path)
         else:

@@ -6,6 +6,7 @@ function compositions, evaluated per row inside the executor JVM.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -61,5 +62,10 @@ def literal_vector(values: Sequence[float]) -> Column:
 
 
 def literal_matrix(rows: Sequence[Sequence[float]]) -> Column:
-    """A bounded matrix as a literal ``array<array<double>>`` (row major)."""
-    return F.array(*[literal_vector(r) for r in rows])
+    """A bounded matrix as one literal ``array<array<double>>`` (row major).
+
+    Passed as a JSON string that constant folding turns into a single array
+    literal: a tree of one literal per element would make every optimizer
+    pass and the generated code scale with ``m x d``."""
+    text = json.dumps([[float(x) for x in r] for r in rows])
+    return F.from_json(F.lit(text), "array<array<double>>")

@@ -14,6 +14,7 @@ and the per-chunk partials are merged by one aggregation on ``paper_id``.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from ..config import TriageConfig
 from ..functions import vectors as V
+from ..session import scratch_path
 
 
 class ReferenceSetTooLarge(ValueError):
@@ -338,7 +340,15 @@ def score_papers_chunked(
     n, d = reference_stats(refs, ref_emb_col)
     per_chunk = max(1, cfg.max_reference_bytes // (8 * max(d, 1)))
     n_chunks = max(1, math.ceil(2 * n / per_chunk)) if n > per_chunk else 1
-    keyed = refs.withColumn("_chunk", F.pmod(F.xxhash64(F.col(ref_id_col)), F.lit(n_chunks)))
+    keyed = refs.select(
+        F.col(ref_id_col), F.col(ref_emb_col), F.pmod(F.xxhash64(F.col(ref_id_col)), F.lit(n_chunks)).alias("_chunk")
+    )
+    if n_chunks > 1:
+        # one pass writes the chunks as partitions; each chunk collect then
+        # reads only its own files (partition pruning) instead of the table
+        path = scratch_path(spark, f"ref-chunks-{uuid.uuid4().hex}")
+        keyed.write.partitionBy("_chunk").parquet(path)
+        keyed = spark.read.parquet(path)
     partials = []
     base = papers.select(F.col(id_col).alias("paper_id"), F.col(emb_col).alias("_emb"))
     for c in range(n_chunks):

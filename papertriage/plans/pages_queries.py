@@ -100,13 +100,9 @@ FROM listing l LEFT JOIN detail d ON l.url = d.url"""
 @query("listing_detail_join", _LISTING_SQL, "D5 A14 (listing rows -> stored detail pages, unmatched to rejects)")
 def listing_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _pages(spark, sf_dir)
-    listing = p.select(F.col("page_id").alias("listing_id"), F.lit(0).alias("variant"), "url").unionByName(
-        p.select(
-            F.col("page_id").alias("listing_id"),
-            F.lit(1).alias("variant"),
-            F.regexp_replace("url", r"[?#].*$", "").alias("url"),
-        )
-    )
+    # both listing variants of a page come from one scan (narrow explode)
+    variants = F.array(F.col("url"), F.regexp_replace("url", r"[?#].*$", ""))
+    listing = p.select(F.col("page_id").alias("listing_id"), F.posexplode(variants).alias("variant", "url"))
     # extract before the join so only (url, title) is shuffled, not the html
     detail = p.select("url", PG.first_h1_raw("html").alias("title"), F.lit("stored").alias("html"))
     matched, rejects = LS.detail_join(listing, detail)

@@ -69,17 +69,29 @@ def take_while(routed: DataFrame, target: int, archive_cols: list[str]) -> DataF
     Visiting order is ``(page_no, pos)``. The first older track stops the
     crawl; a page holding a target-year track is the last page visited.
     Equal and unknown years are processed, later years skipped.
+
+    One aggregation per archive finds the first older track (the stop) and
+    the first target-year track; the target page ends the crawl only when
+    that track comes before the stop (if the first one does not, none does).
+    The per-archive row joins back; no ordered window is needed.
     """
-    older = F.col("year") < F.lit(target)
-    stops = routed.filter(older).groupBy(*archive_cols).agg(F.min(F.struct("page_no", "pos")).alias("_stop"))
-    alive = routed.join(stops, archive_cols, "left").filter(_before(F.col("page_no"), F.col("pos"), F.col("_stop")))
-    last_page = (
-        alive.filter(F.col("year") == F.lit(target)).groupBy(*archive_cols).agg(F.min("page_no").alias("_last_page"))
+    pos = F.struct("page_no", "pos")
+    bounds = routed.groupBy(*archive_cols).agg(
+        F.min(F.when(F.col("year") < F.lit(target), pos)).alias("_stop"),
+        F.min(F.when(F.col("year") == F.lit(target), pos)).alias("_first_target"),
+    )
+    first = F.col("_first_target")
+    last_page = F.when(
+        first.isNotNull() & _before(first["page_no"], first["pos"], F.col("_stop")), first["page_no"]
     )
-    kept = alive.join(last_page, archive_cols, "left").filter(
-        F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page"))
+    kept = (
+        routed.filter(F.col("route") == "process")
+        .join(bounds, archive_cols, "left")
+        .withColumn("_last_page", last_page)
+        .filter(_before(F.col("page_no"), F.col("pos"), F.col("_stop")))
+        .filter(F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page")))
     )
-    return kept.filter(F.col("route") == "process").drop("_stop", "_last_page")
+    return kept.drop("_stop", "_first_target", "_last_page")
 
 
 def page_flags(routed: DataFrame, target: int, archive_cols: list[str]) -> DataFrame:

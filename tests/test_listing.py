@@ -71,3 +71,12 @@ def test_extract_udf_matches_python(spark):
     got = {r["page_id"]: r["f"]["title"] for r in pages.select("page_id", extract_fields("html").alias("f")).collect()}
     exp = {r["page_id"]: extract_page(r["html"], RULES["generic"])["title"] for r in pages.collect()}
     assert got == exp
+
+
+def test_take_while_target_after_stop(spark):
+    from papertriage.functions.text import year_route
+
+    rows = [(1, 1, 25), (1, 2, 23), (2, 1, 24), (1, 3, None)]
+    df = spark.createDataFrame([("v", p, q, y) for p, q, y in rows], "venue string, page_no int, pos int, year int")
+    routed = df.withColumn("route", year_route(F.col("year"), 24))
+    assert LS.take_while(routed, 24, ["venue"]).count() == 0

@@ -254,6 +254,24 @@ def score_papers(
     )
 
 
+def exclude_reference_papers(papers: DataFrame, refs: ReferenceSet, title_col: str = "title") -> DataFrame:
+    """V15 option: drop corpus papers that are themselves reference papers
+    (normalised titles equal). The original scores them like any other.
+
+    The reference titles are a bounded list (the reference set passed its
+    size check); they are normalised by the same Spark expression, collected,
+    and applied as a literal ``IN`` filter, so no join is needed."""
+    from ..functions.text import normalize_text
+
+    titles = [t for t in refs.titles if t is not None]
+    if not titles:
+        return papers
+    spark = papers.sparkSession
+    tdf = spark.createDataFrame([(t,) for t in titles], "t string")
+    keys = sorted({r[0] for r in tdf.select(normalize_text("t")).collect()})
+    return papers.filter(~F.coalesce(normalize_text(title_col).isin(keys), F.lit(False)))
+
+
 def related_only(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("is_related"))
 

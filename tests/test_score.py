@@ -129,3 +129,11 @@ def test_sorted_detail_order(spark):
     scored = SC.score_papers(_papers(spark, [[1.0, 0.0]]), refs, FIXTURE_CONFIG)
     d = SC.sorted_detail(scored, refs).first()["detail"]
     assert [x["ref_id"] for x in d] == [0, 1, 2]  # ties by ref id
+
+
+def test_exclude_reference_papers(spark):
+    refs = _refs([[1, 0], [0, 1]], titles=["Robust \\textbf{M}odels", "Other"])
+    papers = spark.createDataFrame([(1, "robust models"), (2, "Robust  Models "), (3, "new"), (4, None)],
+                                   "paper_id long, title string")
+    got = sorted(r[0] for r in SC.exclude_reference_papers(papers, refs).collect())
+    assert got == [3, 4]

@@ -198,7 +198,11 @@ def score_columns_sql(papers: DataFrame, emb: str, refs: ReferenceSet, cfg: Tria
     sims = F.when(e.isNotNull(), V.divide_by(dots, norm))
     if cfg.strict_float32:
         sims = F.transform(sims, lambda s: s.cast("float").cast("double"))
-    df = papers.withColumn("sims", sims)
+    # ``spark_partition_id() >= 0`` is always true but nondeterministic: it is
+    # an optimisation barrier that keeps the relevance filter from being
+    # substituted below this projection, where every use of ``sims`` in the
+    # rules would recompute the higher-order functions
+    df = papers.withColumn("sims", F.when(F.spark_partition_id() >= 0, sims))
     size = F.size("sims")
     mean = F.when(size > 0, F.aggregate("sims", F.lit(0.0).cast("double"), lambda a, x: a + x) / size)
     if cfg.strict_float32:

@@ -36,14 +36,21 @@ def link_dict(links: DataFrame, id_col: str = "page_id") -> DataFrame:
     )
 
 
-def detail_join(listing: DataFrame, pages: DataFrame, key: str = "url") -> tuple[DataFrame, DataFrame]:
+def detail_join(listing: DataFrame, details: DataFrame, key: str = "url") -> tuple[DataFrame, DataFrame]:
     """Listing rows joined to stored detail pages; (matched, rejects).
 
-    A left join keeps every listing row; rows without a stored page become
-    rejects with a reason. Shuffle on ``key``; AQE splits skewed keys."""
-    joined = listing.join(pages, key, "left")
-    matched = joined.filter(F.col("html").isNotNull())
-    rejects = joined.filter(F.col("html").isNull()).drop("html").withColumn("reason", F.lit("page not stored"))
+    ``details`` holds one row per stored page (extract its fields first, so
+    the join shuffles those and not the HTML). A left join keeps every
+    listing row; rows without a stored page become rejects with a reason.
+    Shuffle on ``key``; AQE splits skewed keys."""
+    joined = listing.join(details.withColumn("_stored", F.lit(True)), key, "left")
+    stored = F.coalesce(F.col("_stored"), F.lit(False))
+    matched = joined.filter(stored).drop("_stored")
+    rejects = (
+        joined.filter(~stored)
+        .select(*listing.columns)
+        .withColumn("reason", F.lit("page not stored"))
+    )
     return matched, rejects
 
 

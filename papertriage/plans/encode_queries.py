@@ -97,9 +97,11 @@ def encoded_papers(spark: SparkSession, sf_dir: str, refs_only: bool = False) ->
     ``refs_only`` filters to the reference papers before encoding (the UDF is
     an evaluation barrier, so filters must be written before it)."""
     docs = read_table(spark, sf_dir, "documents")
-    kept, _ = PP.split_usable(PP.papers_from_documents(docs, S.URL_PREFIX))
     if refs_only:
-        kept = kept.filter(F.col("paper_id") < R)
+        # the cheap id predicate first: conjuncts run in order, so the text
+        # checks of the usability filter only see the reference rows
+        docs = docs.filter(F.col("doc_id") < R)
+    kept, _ = PP.split_usable(PP.papers_from_documents(docs, S.URL_PREFIX))
     prompt = TX.prompt_text(TX.normalize_text("title"), TX.normalize_text("abstract"))
     counts = kept.select("paper_id", EN.hashing_counts(EN.token_buckets(prompt)).alias("counts"))
     # the UDF result is a column before the lambda uses it (UDFs cannot sit inside lambdas)

@@ -104,7 +104,7 @@ def listing_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     variants = F.array(F.col("url"), F.regexp_replace("url", r"[?#].*$", ""))
     listing = p.select(F.col("page_id").alias("listing_id"), F.posexplode(variants).alias("variant", "url"))
     # extract before the join so only (url, title) is shuffled, not the html
-    detail = p.select("url", PG.first_h1_raw("html").alias("title"), F.lit("stored").alias("html"))
+    detail = p.select("url", PG.first_h1_raw("html").alias("title"))
     matched, rejects = LS.detail_join(listing, detail)
     return matched.select("listing_id", "variant", "url", "title", F.lit("ok").alias("status")).unionByName(
         rejects.select("listing_id", "variant", "url", F.lit(None).cast("string").alias("title"), F.col("reason").alias("status"))

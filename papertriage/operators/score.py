@@ -127,49 +127,74 @@ def score_matrix(
     if strict_float32:
         s32 = sims.astype(np.float32)
         mean = s32.mean(axis=1, dtype=np.float32).astype(np.float64) if s32.shape[1] else np.full(len(s32), np.nan)
-        top = np.sort(s32, axis=1)[:, -top_k:]
+        top = top_k_ascending(s32, top_k)
         n_top = (top >= np.float32(individual)).sum(axis=1)
         return s32.astype(np.float64), mean, n_top, top.astype(np.float64)
     mean = sims.mean(axis=1) if sims.shape[1] else np.full(len(sims), np.nan)
-    top = np.sort(sims, axis=1)[:, -top_k:]
+    top = top_k_ascending(sims, top_k)
     with np.errstate(invalid="ignore"):
         n_top = (top >= individual).sum(axis=1)
     return sims, mean, n_top, top
 
 
+def top_k_ascending(s: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` largest values per row, ascending (NaN counts as largest, as
+    in ``np.sort``). Partial selection when ``k`` is small against the row."""
+    m = s.shape[1]
+    if m <= 4 * k:
+        return np.sort(s, axis=1)[:, -k:]
+    part = np.partition(s, m - k, axis=1)[:, -k:]
+    return np.sort(part, axis=1)
+
+
+# Largest similarity block (papers x references) held at once in a task.
+BLOCK_ELEMS = 1 << 22
+
+
 def _list_array(values: np.ndarray, width: int, mask: np.ndarray) -> pa.Array:
     n = len(mask)
-    offsets = pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32))
+    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * width)
     return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1), type=pa.float64()), mask=pa.array(mask))
 
 
-def similarity_struct(emb: Column | str, refs: ReferenceSet, cfg: TriageConfig, spark) -> Column:
+def similarity_struct(
+    emb: Column | str, refs: ReferenceSet, cfg: TriageConfig, spark, with_sims: bool = True
+) -> Column:
     """Arrow UDF column ``struct<sims, mean_similarity, n_top_above, top_sims>``.
 
-    ``sims`` follows ``refs.ref_ids`` order. The reference matrix travels as a
-    broadcast variable, once per executor.
+    ``sims`` follows ``refs.ref_ids`` order; with ``with_sims=False`` it is
+    left empty (the rules need only mean and top-k). The reference matrix
+    travels as a broadcast variable, once per executor. A batch is scored in
+    row blocks of at most ``BLOCK_ELEMS`` similarities, so task memory stays
+    bounded for any reference count under the broadcast bound.
     """
     bc = spark.sparkContext.broadcast(refs.matrix)
     dim, m, k = refs.dim, refs.size, cfg.top_k
     individual, strict = cfg.individual_sim_threshold, cfg.strict_float32
     width_top = min(k, m)
+    width_sims = m if with_sims else 0
+    rows_per_block = max(1, BLOCK_ELEMS // max(m, 1))
 
     @F.arrow_udf(SCORE_STRUCT)
     def score_batch(col: pa.Array) -> pa.Array:
         r = bc.value
         valid, dense = _dense_rows(col, dim)
         n = len(valid)
-        sims = np.zeros((n, m))
+        idx = np.flatnonzero(valid)
+        sims = np.zeros((n, width_sims))
         mean = np.zeros(n)
         n_top = np.zeros(n, dtype=np.int32)
         top = np.zeros((n, width_top))
-        if len(dense):
-            s, mu, c, t = score_matrix(dense, r, k, individual, strict)
-            sims[valid], mean[valid], n_top[valid], top[valid] = s, mu, c, t
+        for lo in range(0, len(dense), rows_per_block):
+            rows = idx[lo : lo + rows_per_block]
+            s, mu, c, t = score_matrix(dense[lo : lo + rows_per_block], r, k, individual, strict)
+            mean[rows], n_top[rows], top[rows] = mu, c, t
+            if with_sims:
+                sims[rows] = s
         null = ~valid
         return pa.StructArray.from_arrays(
             [
-                _list_array(sims, m, null),
+                _list_array(sims, width_sims, null),
                 pa.array(mean, type=pa.float64(), mask=null),
                 pa.array(n_top, type=pa.int32(), mask=null),
                 _list_array(top, width_top, null),
@@ -233,6 +258,7 @@ def score_papers(
     cfg: TriageConfig,
     emb_col: str = "embedding",
     plan: str = "arrow",
+    keep_sims: bool = True,
 ) -> DataFrame:
     """Add ``sims, mean_similarity, n_top_above, top_sims, is_related, reason``.
 
@@ -240,7 +266,7 @@ def score_papers(
     ``plan='sql'`` stays in the JVM (interpreted lambdas, no Python).
     """
     if plan == "arrow":
-        s = similarity_struct(emb_col, refs, cfg, papers.sparkSession)
+        s = similarity_struct(emb_col, refs, cfg, papers.sparkSession, with_sims=keep_sims)
         scored = papers.withColumn("_score", s).select(
             *[c for c in papers.columns],
             F.col("_score.sims").alias("sims"),
@@ -379,7 +405,7 @@ def score_papers_chunked(
         )
         if chunk.size == 0:
             continue
-        s = similarity_struct("_emb", chunk, cfg, spark)
+        s = similarity_struct("_emb", chunk, cfg, spark, with_sims=False)
         partials.append(
             base.withColumn("_s", s).select(
                 "paper_id",

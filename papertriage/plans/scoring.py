@@ -42,9 +42,16 @@ def reference_set(spark: SparkSession, sf_dir: str, cfg: TriageConfig = CFG, wit
     )
 
 
-def scored_papers(spark: SparkSession, sf_dir: str, cfg: TriageConfig = CFG, plan: str = "arrow", with_titles=False):
+def scored_papers(
+    spark: SparkSession,
+    sf_dir: str,
+    cfg: TriageConfig = CFG,
+    plan: str = "arrow",
+    with_titles: bool = False,
+    keep_sims: bool = True,
+):
     refs = reference_set(spark, sf_dir, cfg, with_titles)
-    return SC.score_papers(papers_frame(spark, sf_dir), refs, cfg, plan=plan), refs
+    return SC.score_papers(papers_frame(spark, sf_dir), refs, cfg, plan=plan, keep_sims=keep_sims), refs
 
 
 def _related_out(df: DataFrame) -> DataFrame:
@@ -79,7 +86,7 @@ RELATED_SQL = (
 
 @query("related_papers", RELATED_SQL, "A6 B6 D3 D4 H12 H13 E1 E2 F1 C6 C7 (flagship, Arrow block product)")
 def related_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = scored_papers(spark, sf_dir)
+    scored, _ = scored_papers(spark, sf_dir, keep_sims=False)
     return _related_out(SC.related_only(scored))
 
 
@@ -116,7 +123,7 @@ MEAN_SQL = _PAIRS_SQL + "SELECT paper_id, round(mean_sim, 6) AS mean_similarity
 
 @query("mean_similarity", MEAN_SQL, "E1")
 def mean_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = scored_papers(spark, sf_dir)
+    scored, _ = scored_papers(spark, sf_dir, keep_sims=False)
     return scored.select("paper_id", F.round("mean_similarity", 6).alias("mean_similarity"))
 
 
@@ -162,7 +169,7 @@ FROM agg""",
     "A15 E7 (run summary counts)",
 )
 def score_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = scored_papers(spark, sf_dir)
+    scored, _ = scored_papers(spark, sf_dir, keep_sims=False)
     mean_rule, top_rule = SC.relevance_rules(F.col("mean_similarity"), F.col("n_top_above"), CFG)
     return scored.agg(
         F.count(F.lit(1)).alias("n_papers"),
@@ -218,7 +225,7 @@ WHERE pr <= {CFG.top_percentile} / 100.0""",
     "F7 (top percentile of mean similarity per venue; the original flag is never applied)",
 )
 def top_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored, _ = scored_papers(spark, sf_dir)
+    scored, _ = scored_papers(spark, sf_dir, keep_sims=False)
     cut = RP.top_percentile(scored.select("paper_id", "venue", "mean_similarity"), ["venue"], CFG.top_percentile)
     return cut.select(
         "paper_id",

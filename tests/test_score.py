@@ -137,3 +137,20 @@ def test_exclude_reference_papers(spark):
                                    "paper_id long, title string")
     got = sorted(r[0] for r in SC.exclude_reference_papers(papers, refs).collect())
     assert got == [3, 4]
+
+
+def test_row_blocks_and_partial_top_k(spark, monkeypatch):
+    # force several row blocks and the partial-selection path for top-k
+    monkeypatch.setattr(SC, "BLOCK_ELEMS", 40)
+    rng = np.random.default_rng(11)
+    refs_m = rng.normal(size=(20, 5))
+    vecs = list(rng.normal(size=(30, 5))) + [None, [float("nan")] * 5]
+    cfg = TriageConfig(similarity_threshold=0.05, top_k=3, min_top_papers=2, individual_sim_threshold=0.3)
+    refs = _refs(refs_m)
+    got = _score(spark, vecs, refs, cfg, "arrow")
+    ref = _score(spark, vecs, refs, cfg, "sql")
+    for a, b in zip(got, ref):
+        assert a[:3] == b[:3]
+        assert (a[3] is None and b[3] is None) or math.isnan(a[3]) and math.isnan(b[3]) or math.isclose(a[3], b[3], abs_tol=1e-12)
+    out = SC.score_papers(_papers(spark, vecs[:3]), refs, cfg, keep_sims=False).first()
+    assert out["sims"] == []

@@ -18,7 +18,6 @@ from ..config import PROMPT_TEMPLATE
 # Python whitespace as a Java character class.
 WS = r"[\s\x1c-\x1f]"
 WS_RUN = r"(?U)" + WS + "+"
-STRIP_PATTERN = r"(?U)^" + WS + r"+|" + WS + r"+\z"
 # Every character Python's ``str.isspace`` accepts (the same set
 # as Java's White_Space property plus U+001C..U+001F), for set-based trims.
 PY_WHITESPACE = (

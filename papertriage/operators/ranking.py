@@ -30,15 +30,18 @@ def global_row_number(
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = F.monotonically_increasing_id()
-    tagged = (
+    numbered = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_mid", mid)
         .withColumn("_pid", F.shiftright(F.col("_mid"), _LOCAL_BITS))
         .withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS))
         .drop("_mid")
-        .checkpoint(eager=True)
     )
+    # one job sorts and writes the numbered rows to shared storage (measured:
+    # persisting first only adds a cache pass; the eager checkpoint does not
+    # compute the rows twice)
+    tagged = numbered.checkpoint(eager=True)
     # one row per non-empty partition: bounded by the partition count
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -44,7 +44,15 @@ def page_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decode(x: str) -> str:
-    for ent, ch in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
+    """Entity decoding for the oracle: the references present in the pages,
+    including the legacy forms without ``;`` that HTML (and html.parser)
+    decode; ``&amp`` last so decoded ampersands are not decoded again."""
+    pairs = (
+        ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"),
+        ("&quot", '"'), ("&lt", "<"), ("&gt", ">"),
+        ("&amp;", "&"), ("&amp", "&"),
+    )
+    for ent, ch in pairs:
         x = f"replace({x}, '{ent}', '{ch}')"
     return x
 

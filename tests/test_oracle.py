@@ -48,3 +48,16 @@ def test_entry_flagship(spark):
     df = E.entry(spark)
     assert df.count() == 43  # FIXTURES.md: 43 related papers at sf0.001
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+@pytest.mark.parametrize(
+    "sf,expected",
+    [
+        ("/root/testdata/sf0.001", (10, 40, 7, 43)),
+        ("/root/testdata/sf0.01", (20, 43, 5, 58)),
+    ],
+)
+def test_flagship_rule_counts_from_fixtures(spark, sf, expected):
+    # FIXTURES.md: mean rule, top-k rule, both, related
+    r = QUERIES["score_summary"].fn(spark, sf).first()
+    assert (r["n_mean_rule"], r["n_top_rule"], r["n_both"], r["n_related"]) == expected

@@ -8,7 +8,11 @@ appends the rest. Keys never expire, so there is no watermark and no
 ``dropDuplicates`` state: the target table is the state. A replayed
 micro-batch (after a failure between the write and the checkpoint commit)
 finds its rows already in the target and appends nothing, so the sink is
-effectively exactly-once with a single writer per target.
+effectively exactly-once with a single writer per target. The target is
+partitioned by a hash bucket of the key; each micro-batch reads only the key
+column of the buckets its keys fall into and streams it past the batch's
+broadcast keys (a size-checked semi join), so the growing target is never
+shuffled.
 
 ``score_stream``: a file source of embedded papers -> stateless broadcast
 scoring (the Arrow block product) -> append of scored rows.
@@ -27,14 +31,41 @@ from ..operators import score as SC
 from ..sources.tables import path_exists
 
 
-def _append_new_batch(target_path: str, key: str, order_col: str):
+# Partitions of the target by key hash: a micro-batch reads only the
+# partitions its own keys fall into.
+KEY_BUCKETS = 256
+# Distinct keys of one micro-batch that may be broadcast against the target.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def key_bucket(key: str, buckets: int = KEY_BUCKETS):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def _append_new_batch(target_path: str, key: str, order_col: str, buckets: int, max_keys: int):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         firsts = PP.keep_first_per_key(batch, key, order_col).select(*batch.columns)
-        if path_exists(spark, target_path):
-            saved = spark.read.parquet(target_path).select(key)
-            firsts = PP.not_already_saved(firsts, saved, key)
-        firsts.write.mode("append").parquet(target_path)
+        firsts = firsts.withColumn("key_bucket", key_bucket(key, buckets)).persist()
+        try:
+            if path_exists(spark, target_path):
+                stats = firsts.agg(
+                    F.count(F.lit(1)).alias("n"), F.collect_set("key_bucket").alias("b")
+                ).first()  # one small job; at most ``buckets`` bucket ids
+                saved = spark.read.parquet(target_path).select(key, "key_bucket")
+                saved = saved.filter(F.col("key_bucket").isin(list(stats["b"])))  # partition pruning
+                if stats["n"] <= max_keys:
+                    # the batch's keys are the small, size-checked side: the
+                    # target is streamed past them (semi join), never shuffled
+                    seen = saved.join(F.broadcast(firsts.select(key)), key, "left_semi").select(key)
+                    firsts_new = firsts.join(seen.distinct(), key, "left_anti")
+                else:
+                    firsts_new = PP.not_already_saved(firsts, saved.select(key), key)
+            else:
+                firsts_new = firsts
+            firsts_new.write.mode("append").partitionBy("key_bucket").parquet(target_path)
+        finally:
+            firsts.unpersist()
 
     return run
 
@@ -49,14 +80,20 @@ def ingest_stream(
     order_col: str = "paper_id",
     fmt: str = "parquet",
     available_now: bool = True,
+    buckets: int = KEY_BUCKETS,
+    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the append-if-new stream from ``source_dir`` into
-    ``target_path``. With ``available_now`` it processes what is there and
-    stops (``awaitTermination`` to wait)."""
-    src = spark.readStream.format(fmt).schema(schema).load(source_dir)
-    w = src.writeStream.foreachBatch(_append_new_batch(target_path, key, order_col)).option(
-        "checkpointLocation", checkpoint_path
-    )
+    ``target_path`` (partitioned by ``key_bucket``). With ``available_now`` it
+    processes what is there and stops (``awaitTermination`` to wait);
+    ``max_files_per_trigger`` bounds the size of one micro-batch."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.load(source_dir)
+    fn = _append_new_batch(target_path, key, order_col, buckets, max_broadcast_keys)
+    w = src.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 

@@ -91,31 +91,47 @@ def triage_job(
 
     embedded = _embed(kept, encoder, cfg.batch_size)
     scored = SC.score_papers(embedded, ref_set, cfg)
-    related = SC.related_only(scored)
+    keep_cols = [c for c in ("paper_id", "title", "abstract", "url", "venue") if c in scored.columns]
+    # score once: the scored table keeps the per-reference similarities of
+    # related papers only, and every other output is derived from it
+    scored_out = scored.select(
+        *keep_cols,
+        "mean_similarity",
+        "n_top_above",
+        "is_related",
+        "reason",
+        F.when(F.col("is_related"), F.col("sims")).alias("related_sims"),
+    )
+    paths = OUT.write_outputs(out_root, {"scored": scored_out})
+    saved = spark.read.parquet(paths["scored"])
+    related = saved.filter(F.col("is_related")).withColumn("sims", F.col("related_sims")).drop("related_sims")
     detailed = SC.sorted_detail(related, ref_set).select(
         "title",
         "abstract",
         F.col("mean_similarity").alias("mean_abstract_similarity"),
         OUT.similarity_map("detail", ref_set).alias("detailed_similarities"),
     )
-    report_docs = kept.select("paper_id", "title", "abstract")
     report = RP.related_report(
-        related.select("paper_id", "sims", "mean_similarity", "n_top_above", "reason"), ref_set, report_docs, cfg
+        related.select("paper_id", "sims", "mean_similarity", "n_top_above", "reason"),
+        ref_set,
+        related.select("paper_id", "title", "abstract"),
+        cfg,
     )
-    keep_cols = [c for c in ("paper_id", "title", "url", "venue") if c in scored.columns]
-    return OUT.write_outputs(
-        out_root,
-        {
-            "scored": scored.select(*keep_cols, "mean_similarity", "n_top_above", "is_related", "reason"),
-            "related": RP.ranked_output(related).select(
-                "title", "abstract", F.col("mean_similarity").alias("mean_abstract_similarity")
-            ),
-            "related_detailed": detailed,
-            "rejects": rejects.select(*[c for c in ("paper_id", "title", "url", "reason") if c in rejects.columns]),
-            "report": report,
-        },
-        fmt={"related": "csv", "related_detailed": "json"},
+    paths.update(
+        OUT.write_outputs(
+            out_root,
+            {
+                "related": RP.ranked_output(related).select(
+                    "title", "abstract", F.col("mean_similarity").alias("mean_abstract_similarity")
+                ),
+                "related_detailed": detailed,
+                "rejects": rejects.select(*[c for c in ("paper_id", "title", "url", "reason") if c in rejects.columns]),
+                "report": report,
+            },
+            fmt={"related": "csv", "related_detailed": "json"},
+        )
     )
+    return paths
 
 
 def notes_job(notes: DataFrame) -> tuple[DataFrame, DataFrame]:

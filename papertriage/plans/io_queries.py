@@ -93,18 +93,38 @@ def related_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         TX.first_line("text").alias("title"),
         TX.after_first_line("text").alias("abstract"),
     )
-    related = SC.related_only(scored).join(docs, "paper_id", "left")
+    root = _scratch(spark, "outputs")
+    # score once: the scored table keeps similarities of related papers only;
+    # the related, detailed and report outputs are derived from it
+    paths = OUT.write_outputs(
+        root,
+        {
+            "scored": scored.select(
+                "paper_id",
+                "mean_similarity",
+                "n_top_above",
+                "is_related",
+                "reason",
+                F.when(F.col("is_related"), F.col("sims")).alias("related_sims"),
+            )
+        },
+    )
+    saved = spark.read.parquet(paths["scored"])
+    related = (
+        saved.filter(F.col("is_related"))
+        .withColumn("sims", F.col("related_sims"))
+        .drop("related_sims")
+        .join(docs, "paper_id", "left")
+    )
     detailed = SC.sorted_detail(related, refs).select(
         "title",
         "abstract",
         F.col("mean_similarity").alias("mean_abstract_similarity"),
         OUT.similarity_map("detail", refs).alias("detailed_similarities"),
     )
-    root = _scratch(spark, "outputs")
     OUT.write_outputs(
         root,
         {
-            "scored": scored.select("paper_id", "mean_similarity", "n_top_above", "is_related", "reason"),
             "related": related.orderBy(F.col("mean_similarity").desc(), "paper_id").select(
                 "title", "abstract", F.col("mean_similarity").alias("mean_abstract_similarity")
             ),

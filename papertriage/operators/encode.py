@@ -94,28 +94,17 @@ def encode_with(
 
 
 def hashing_encoder_factory(dim: int = HASH_DIM) -> Callable[[], Callable[[list[str]], np.ndarray]]:
-    """Plain-Python twin of the hashing encoder, usable with ``encode_with``
-    (and as a test oracle): same tokens, same buckets."""
+    """The hashing encoder as a batch encoder for ``encode_with``, applied to
+    already normalised text (``functions.text.normalize_text`` in Spark):
+    split on single spaces, bucket each token by md5, count."""
 
     def make():
         import hashlib
-        import re
-
-        ws = re.compile(r"[\s\x1c-\x1f]+")
-        wrap = re.compile(r"\\[a-z]+{([^}]*)}")
-        url = re.compile(r"https?://[^\s\x1c-\x1f]+")
-
-        def norm(t: str) -> str:
-            t = t.lower()
-            t = wrap.sub(r"\1", t)
-            t = url.sub("URL", t)
-            t = t.replace("\n", " ")
-            return ws.sub(" ", t).strip()
 
         def enc(texts: list[str]) -> np.ndarray:
             out = np.zeros((len(texts), dim), dtype=np.float32)
             for i, t in enumerate(texts):
-                for tok in norm(t).split(" "):
+                for tok in t.split(" "):
                     if tok:
                         out[i, int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:4], 16) % dim] += 1
             return out

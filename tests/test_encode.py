@@ -1,13 +1,15 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from papertriage.functions.text import normalize_text
 from papertriage.operators import encode as EN
 
 
 def test_hashing_jvm_path_equals_python_encoder(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     jvm = EN.hashing_embedding(docs, "text").select("doc_id", "embedding")
-    py = docs.select("doc_id", EN.encode_with("text", EN.hashing_encoder_factory(), batch_size=64).alias("embedding"))
+    normalised = docs.select("doc_id", normalize_text("text").alias("t"))
+    py = normalised.select("doc_id", EN.encode_with("t", EN.hashing_encoder_factory(), batch_size=64).alias("embedding"))
     a = {r["doc_id"]: np.array(r["embedding"]) for r in jvm.collect()}
     b = {r["doc_id"]: np.array(r["embedding"]) for r in py.collect()}
     assert a.keys() == b.keys()

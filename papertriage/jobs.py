@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import TriageConfig
@@ -62,13 +62,14 @@ def triage_job(
     cfg: TriageConfig = TriageConfig(),
     encoder: Encoder | None = None,
     exclude_ref_titles: bool = False,
-) -> dict[str, str]:
+) -> dict:
     """Score every paper against the reference papers and write the outputs.
 
     ``papers``: ``title, abstract`` (+ optional ``url, venue, paper_id``).
     ``refs``: ``title, abstract`` (+ optional ``ref_id``), a bounded set.
     ``encoder``: a factory for a batch encoder (``encode_with``); the default
     is the lexical hashing encoder, whose thresholds differ from a model's.
+    Returns the output paths and, under ``summary``, the run counts.
     """
     papers = _with_ids(papers)
     tagged = papers.withColumn("reason", PP.reject_reason(F.col("title"), F.col("abstract")))
@@ -102,7 +103,17 @@ def triage_job(
         "reason",
         F.when(F.col("is_related"), F.col("sims")).alias("related_sims"),
     )
+    # A15 run summary gathered while the scored table is written (no extra job)
+    summary = Observation("triage_summary")
+    scored_out = scored_out.observe(
+        summary,
+        F.count(F.lit(1)).alias("n_scored"),
+        F.count_if(F.col("is_related")).alias("n_related"),
+        F.count_if(F.col("reason") == "mean").alias("n_mean_rule"),
+        F.count_if(F.col("reason") == "top_k").alias("n_top_k_rule_only"),
+    )
     paths = OUT.write_outputs(out_root, {"scored": scored_out})
+    paths["summary"] = summary.get
     saved = spark.read.parquet(paths["scored"])
     related = saved.filter(F.col("is_related")).withColumn("sims", F.col("related_sims")).drop("related_sims")
     detailed = SC.sorted_detail(related, ref_set).select(

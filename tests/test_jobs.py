@@ -19,7 +19,8 @@ def test_triage_job_matches_query(spark):
     root = scratch_path(spark, f"job-{uuid.uuid4().hex}")
     paths = jobs.triage_job(spark, docs.select(F.col("doc_id").alias("paper_id"), "text").join(
         papers.select("paper_id", "title", "abstract", "url"), "paper_id").drop("text"), refs, root, HASH_CFG)
-    assert set(paths) == {"scored", "related", "related_detailed", "rejects", "report"}
+    assert set(paths) == {"scored", "related", "related_detailed", "rejects", "report", "summary"}
+    assert paths["summary"]["n_related"] == triage_documents(spark, SF).count()
     related = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths["related"])
     want = triage_documents(spark, SF)
     assert related.count() == want.count()

@@ -105,3 +105,10 @@ def test_first_line_split(spark):
     df = spark.createDataFrame([("T\nA\nB",), ("only",), ("\nx",)], "s string")
     got = [(r[0], r[1]) for r in df.select(TX.first_line("s"), TX.after_first_line("s")).collect()]
     assert got == [("T", "A\nB"), ("only", None), ("", "x")]
+
+
+def test_listing_url_for_every_conference(spark):
+    # the conference page URL is built the same way for every conference
+    df = spark.createDataFrame([("cvpr", "24"), ("wacv", "25")], "c string, y string")
+    got = [r[0] for r in df.select(TX.listing_url("c", "y", "https://host/")).collect()]
+    assert got == ["https://host/CVPR2024?day=all", "https://host/WACV2025?day=all"]

@@ -92,9 +92,28 @@ def triage_job(
 
     embedded = _embed(kept, encoder, cfg.batch_size)
     scored = SC.score_papers(embedded, ref_set, cfg)
+    rejects = rejects.select(*[c for c in ("paper_id", "title", "url", "reason") if c in rejects.columns])
+    return write_triage_outputs(spark, scored, ref_set, out_root, cfg, rejects=rejects)
+
+
+def write_triage_outputs(
+    spark: SparkSession,
+    scored: DataFrame,
+    ref_set: SC.ReferenceSet,
+    out_root: str,
+    cfg: TriageConfig,
+    texts: DataFrame | None = None,
+    rejects: DataFrame | None = None,
+) -> dict:
+    """Write ``scored`` once, then derive ``related`` (CSV, ranked),
+    ``related_detailed`` (JSON lines with the similarity map) and ``report``
+    from the written table, so the scoring runs a single time.
+
+    The scored table keeps the per-reference similarities of related papers
+    only. ``texts`` (``paper_id, title, abstract``) supplies titles when
+    ``scored`` has none. Returns the paths and the run counts (``summary``),
+    gathered by an ``Observation`` during the write (no extra job)."""
     keep_cols = [c for c in ("paper_id", "title", "abstract", "url", "venue") if c in scored.columns]
-    # score once: the scored table keeps the per-reference similarities of
-    # related papers only, and every other output is derived from it
     scored_out = scored.select(
         *keep_cols,
         "mean_similarity",
@@ -103,7 +122,6 @@ def triage_job(
         "reason",
         F.when(F.col("is_related"), F.col("sims")).alias("related_sims"),
     )
-    # A15 run summary gathered while the scored table is written (no extra job)
     summary = Observation("triage_summary")
     scored_out = scored_out.observe(
         summary,
@@ -116,6 +134,8 @@ def triage_job(
     paths["summary"] = summary.get
     saved = spark.read.parquet(paths["scored"])
     related = saved.filter(F.col("is_related")).withColumn("sims", F.col("related_sims")).drop("related_sims")
+    if texts is not None:
+        related = related.join(texts.select("paper_id", "title", "abstract"), "paper_id", "left")
     detailed = SC.sorted_detail(related, ref_set).select(
         "title",
         "abstract",
@@ -128,20 +148,16 @@ def triage_job(
         related.select("paper_id", "title", "abstract"),
         cfg,
     )
-    paths.update(
-        OUT.write_outputs(
-            out_root,
-            {
-                "related": RP.ranked_output(related).select(
-                    "title", "abstract", F.col("mean_similarity").alias("mean_abstract_similarity")
-                ),
-                "related_detailed": detailed,
-                "rejects": rejects.select(*[c for c in ("paper_id", "title", "url", "reason") if c in rejects.columns]),
-                "report": report,
-            },
-            fmt={"related": "csv", "related_detailed": "json"},
-        )
-    )
+    tables = {
+        "related": RP.ranked_output(related).select(
+            "title", "abstract", F.col("mean_similarity").alias("mean_abstract_similarity")
+        ),
+        "related_detailed": detailed,
+        "report": report,
+    }
+    if rejects is not None:
+        tables["rejects"] = rejects
+    paths.update(OUT.write_outputs(out_root, tables, fmt={"related": "csv", "related_detailed": "json"}))
     return paths
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as TX
+from ..jobs import write_triage_outputs
 from ..operators import score as SC
 from ..session import scratch_path
 from ..sources import csv as CS
-from ..sources import outputs as OUT
 from ..sources.tables import read_or_empty
 from . import scoring as SQ
 from . import sqlfrag as S
@@ -94,46 +94,9 @@ def related_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         TX.after_first_line("text").alias("abstract"),
     )
     root = _scratch(spark, "outputs")
-    # score once: the scored table keeps similarities of related papers only;
-    # the related, detailed and report outputs are derived from it
-    paths = OUT.write_outputs(
-        root,
-        {
-            "scored": scored.select(
-                "paper_id",
-                "mean_similarity",
-                "n_top_above",
-                "is_related",
-                "reason",
-                F.when(F.col("is_related"), F.col("sims")).alias("related_sims"),
-            )
-        },
-    )
-    saved = spark.read.parquet(paths["scored"])
-    related = (
-        saved.filter(F.col("is_related"))
-        .withColumn("sims", F.col("related_sims"))
-        .drop("related_sims")
-        .join(docs, "paper_id", "left")
-    )
-    detailed = SC.sorted_detail(related, refs).select(
-        "title",
-        "abstract",
-        F.col("mean_similarity").alias("mean_abstract_similarity"),
-        OUT.similarity_map("detail", refs).alias("detailed_similarities"),
-    )
-    OUT.write_outputs(
-        root,
-        {
-            "related": related.orderBy(F.col("mean_similarity").desc(), "paper_id").select(
-                "title", "abstract", F.col("mean_similarity").alias("mean_abstract_similarity")
-            ),
-            "related_detailed": detailed,
-        },
-        fmt={"related": "csv", "related_detailed": "json"},
-    )
+    paths = write_triage_outputs(spark, scored, refs, root, SQ.CFG, texts=docs)
     schema = "title string, abstract string, mean_abstract_similarity double, detailed_similarities map<string,double>"
-    back = spark.read.schema(schema).json(f"{root}/related_detailed")
+    back = spark.read.schema(schema).json(paths["related_detailed"])
     return back.select(
         "title",
         F.round("mean_abstract_similarity", 6).alias("mean_abstract_similarity"),

@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as TX
 from ..operators import listing as LS
 from ..sources import pages as PG
 from ..sources.tables import read_table

@@ -70,9 +70,13 @@ def grouped_rank(
     """
     keyed = [F.col(c) for c in group_cols] + list(order_cols) + [F.col(unique_col)]
     numbered = global_row_number(df, keyed, "_g")
-    firsts = numbered.groupBy(*group_cols).agg(F.min("_g").alias("_first"), F.count(F.lit(1)).alias("group_n"))
-    ties = numbered.groupBy(*group_cols, *tie_cols).agg(F.min("_g").alias("_tie_first"))
-    out = numbered.join(firsts, group_cols).join(ties, group_cols + tie_cols)
+    # one pass over the rows per tie group; the per-group numbers come from
+    # that (much smaller) aggregate, not from a second pass over the rows
+    ties = numbered.groupBy(*group_cols, *tie_cols).agg(
+        F.min("_g").alias("_tie_first"), F.count(F.lit(1)).alias("_tie_n")
+    )
+    firsts = ties.groupBy(*group_cols).agg(F.min("_tie_first").alias("_first"), F.sum("_tie_n").alias("group_n"))
+    out = numbered.join(firsts, group_cols).join(ties.drop("_tie_n"), group_cols + tie_cols)
     out = out.withColumn("row_no", F.col("_g") - F.col("_first") + 1).withColumn(
         "rank", F.col("_tie_first") - F.col("_first") + 1
     )

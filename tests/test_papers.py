@@ -36,3 +36,13 @@ def test_append_new(spark):
     existing = spark.createDataFrame([(1, "a")], "paper_id long, k string")
     new = spark.createDataFrame([(2, "a"), (3, "b")], "paper_id long, k string")
     assert sorted(tuple(r) for r in PP.append_new(existing, new, "k").collect()) == [(1, "a"), (3, "b")]
+
+
+def test_spread_small_only_spreads_small_inputs(spark):
+    from papertriage.sources.tables import spread_small
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert spread_small(df, max_bytes=0) is df  # over the bound: untouched, no shuffle
+    spread = spread_small(df)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread.count() == df.count()

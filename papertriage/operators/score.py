@@ -284,6 +284,22 @@ def score_papers(
     )
 
 
+def collapse_reference_titles(
+    refs: DataFrame, pos_col: str = "ref_id", title_col: str = "title", abstract_col: str = "abstract"
+) -> DataFrame:
+    """E5 for the reference set: references whose normalised titles are equal
+    collapse to one entry, keeping the last abstract and the first position
+    (dict semantics in input order). One partially aggregated ``groupBy``."""
+    from ..functions.text import normalize_text
+
+    keyed = refs.withColumn("_norm_title", normalize_text(title_col))
+    return keyed.groupBy("_norm_title").agg(
+        F.min(pos_col).alias(pos_col),
+        F.min_by(title_col, pos_col).alias(title_col),
+        F.max_by(abstract_col, pos_col).alias(abstract_col),
+    ).drop("_norm_title")
+
+
 def exclude_reference_papers(papers: DataFrame, refs: ReferenceSet, title_col: str = "title") -> DataFrame:
     """V15 option: drop corpus papers that are themselves reference papers
     (normalised titles equal). The original scores them like any other.

@@ -97,3 +97,14 @@ def write_paper_csv(df: DataFrame, path: str, mode: str = "overwrite", partition
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
+
+
+def land_as_parquet(
+    spark: SparkSession, csv_path: str, out_path: str, pandas_missing: bool = False, mode: str = "overwrite"
+) -> DataFrame:
+    """Read per-venue paper CSVs once (``multiLine`` files are not splittable)
+    and write them as parquet partitioned by ``venue`` and ``year`` (A7), so
+    later jobs get split reads, pushdown and partition pruning."""
+    df = read_paper_csv(spark, csv_path, pandas_missing=pandas_missing, with_source=True)
+    df.write.mode(mode).partitionBy("venue", "year").parquet(out_path)
+    return spark.read.parquet(out_path)

@@ -59,3 +59,13 @@ def test_note_json_scan(spark):
     flat = flatten_notes(notes)
     assert [(r["title"], r["url"]) for r in accepted(flat).collect()] == [("T", "https://openreview.net/forum?id=a1")]
     assert [r["id"] for r in note_rejects(flat).collect()] == ["a2"]
+
+
+def test_land_as_parquet(spark):
+    d = tempfile.mkdtemp(prefix="pt-land-")
+    EDGE.to_csv(os.path.join(d, "cvpr_24.csv"), index=False)
+    EDGE.head(2).to_csv(os.path.join(d, "iccv_23.csv"), index=False)
+    out = CS.land_as_parquet(spark, os.path.join(d, "*.csv"), os.path.join(d, "landed"))
+    got = {(r["venue"], r["year"]): r["n"] for r in out.groupBy("venue", "year").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
+    assert got == {("cvpr", 24): 7, ("iccv", 23): 2}
+    assert out.filter("venue = 'iccv'").count() == 2  # partition pruning path

@@ -163,3 +163,12 @@ def test_row_blocks_and_partial_top_k(spark, monkeypatch):
         assert (a[3] is None and b[3] is None) or math.isnan(a[3]) and math.isnan(b[3]) or math.isclose(a[3], b[3], abs_tol=1e-12)
     out = SC.score_papers(_papers(spark, vecs[:3]), refs, cfg, keep_sims=False).first()
     assert out["sims"] == []
+
+
+def test_collapse_reference_titles(spark):
+    refs = spark.createDataFrame(
+        [(0, "Robust  Models", "a0"), (1, "Other", "b"), (2, "robust models", "a2")],
+        "ref_id long, title string, abstract string",
+    )
+    got = sorted(tuple(r) for r in SC.collapse_reference_titles(refs).select("ref_id", "title", "abstract").collect())
+    assert got == [(0, "Robust  Models", "a2"), (1, "Other", "b")]

@@ -63,13 +63,19 @@ _ARTICLE_TEXT = (
 _NAV = "regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1)"
 
 
+PAGE_TITLE_SQL = S.strip(_decode("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))
+PAGE_ABSTRACT_SQL = S.strip(_decode(_ARTICLE_TEXT))
+
+PAGE_FIELDS_SQL = f"""SELECT page_id,
+       {PAGE_TITLE_SQL} AS title,
+       {PAGE_ABSTRACT_SQL} AS abstract,
+       CAST(len(regexp_extract_all({_NAV}, '<a ', 0)) AS INTEGER) AS n_links
+FROM pages"""
+
+
 @query(
     "page_fields",
-    f"""SELECT page_id,
-       {S.strip(_decode("regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)"))} AS title,
-       {S.strip(_decode(_ARTICLE_TEXT))} AS abstract,
-       CAST(len(regexp_extract_all({_NAV}, '<a ', 0)) AS INTEGER) AS n_links
-FROM pages""",
+    PAGE_FIELDS_SQL,
     "J2 H7 (html.parser extraction with entity decoding, Arrow-batched UDF)",
 )
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,8 @@ from . import scoring as SQ
 from . import sqlfrag as S
 from .registry import query
 from .text_queries import kept_papers
+from . import pages_queries as PQ
+from ..sources.tables import read_table
 
 _KEYED = "WITH " + S.PAPERS_CTE.strip() + f", keyed AS (SELECT *, {S.title_key('title')} AS title_key FROM kept)"
 
@@ -69,3 +71,26 @@ def incremental_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     INC.run_to_end(INC.score_stream(spark, src, papers.schema, refs, SQ.CFG, sink, ckpt))
     out = spark.read.parquet(sink)
     return SQ._related_out(out)
+
+
+@query(
+    "incremental_pages",
+    f"""WITH f AS (
+  SELECT page_id, url, {PQ.PAGE_TITLE_SQL} AS title, {PQ.PAGE_ABSTRACT_SQL} AS abstract FROM pages)
+SELECT page_id, url, title, abstract FROM f WHERE title <> '' AND abstract <> ''""",
+    "I1 J2 C5 D1 (stored-page file stream -> extraction -> usable rows -> append-if-new by URL)",
+)
+def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    root = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
+    src, target, ckpt = f"{root}/incoming", f"{root}/papers", f"{root}/_checkpoint"
+
+    def run():
+        INC.run_to_end(INC.pages_stream(spark, src, target, ckpt, buckets=8))
+
+    # first drop: the English pages; second drop: a re-crawl of every page
+    pages.filter(F.col("url").contains("/en/")).write.parquet(f"{src}/drop=1")
+    run()
+    pages.write.parquet(f"{src}/drop=2")
+    run()
+    return spark.read.parquet(target).select("page_id", "url", "title", "abstract")

@@ -20,6 +20,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+PAGE_SCHEMA = T.StructType(
+    [
+        T.StructField("page_id", T.LongType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("html", T.StringType()),
+    ]
+)
+
 # Fixed regex rules for the fast path.
 H1_PATTERN = r"(?s)<h1[^>]*>(.*?)</h1>"
 TITLE_PATTERN = r"(?s)<title[^>]*>(.*?)</title>"

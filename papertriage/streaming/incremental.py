@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import TriageConfig
 from ..operators import papers as PP
 from ..operators import score as SC
+from ..sources import pages as PG
 from ..sources.tables import path_exists
 
 
@@ -98,6 +99,36 @@ def ingest_stream(
     return w.start()
 
 
+def pages_stream(
+    spark: SparkSession,
+    source_dir: str,
+    target_path: str,
+    checkpoint_path: str,
+    layout: str = "generic",
+    key: str = "url",
+    order_col: str = "page_id",
+    available_now: bool = True,
+    buckets: int = KEY_BUCKETS,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """I1 for the page collectors: stored pages ``(page_id, url, html)``
+    arriving as files -> field extraction (J2) -> usable rows (C5) ->
+    append-if-new by ``key`` (D1) into ``target_path``. Rows without a usable
+    title and abstract never reach the target."""
+    reader = spark.readStream.format("parquet").schema(PG.PAGE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.load(source_dir)
+    fields = src.select(order_col, key, PG.extract_fields("html", layout).alias("f")).select(
+        order_col, key, F.col("f.title").alias("title"), F.col("f.abstract").alias("abstract")
+    )
+    usable = fields.filter(PP.reject_reason(F.col("title"), F.col("abstract")).isNull())
+    fn = _append_new_batch(target_path, key, order_col, buckets, MAX_BROADCAST_KEYS)
+    w = usable.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_path)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
+
+
 def score_stream(
     spark: SparkSession,
     source_dir: str,

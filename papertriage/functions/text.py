@@ -137,8 +137,9 @@ def venue_id(conference: Column | str, yy: Column | str) -> Column:
 
 
 def listing_url(conference: Column | str, yy: Column | str, base: str) -> Column:
-    """Conference listing page ``{base}{CONF}20{yy}?day=all``."""
-    return F.concat(F.lit(base), F.upper(_c(conference)), F.lit("20"), _c(yy).cast("string"), F.lit("?day=all"))
+    """Conference listing page ``{base}{conference}20{yy}?day=all``
+    (the conference name as given; every conference gets a URL)."""
+    return F.concat(F.lit(base), _c(conference), F.lit("20"), _c(yy).cast("string"), F.lit("?day=all"))
 
 
 def absolute_url(prefix: str, link: Column | str) -> Column:

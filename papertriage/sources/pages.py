@@ -111,7 +111,7 @@ RULES = {
         strip_abstract_label=True,
     ),
     "cvf": PageRules(title=Selector(id="papertitle"), abstract=Selector(id="abstract"), links_in=Selector("dt")),
-    "eccv": PageRules(title=Selector("h1"), abstract=Selector(id="abstractExample")),
+    "eccv": PageRules(title=Selector("h1"), abstract=Selector(id="abstractExample"), links_in=Selector(id="paperlist")),
 }
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}

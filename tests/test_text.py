@@ -109,6 +109,6 @@ def test_first_line_split(spark):
 
 def test_listing_url_for_every_conference(spark):
     # the conference page URL is built the same way for every conference
-    df = spark.createDataFrame([("cvpr", "24"), ("wacv", "25")], "c string, y string")
+    df = spark.createDataFrame([("CVPR", "24"), ("WACV", "25")], "c string, y string")
     got = [r[0] for r in df.select(TX.listing_url("c", "y", "https://host/")).collect()]
     assert got == ["https://host/CVPR2024?day=all", "https://host/WACV2025?day=all"]

@@ -27,7 +27,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
        nullif(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '') AS title_raw,
        nullif(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '') AS html_title,
        nullif(regexp_extract(html, '<html[^>]*lang="([A-Za-z-]+)"', 1), '') AS lang,
-       nullif(regexp_extract(html, '<a[^>]*rel="next"[^>]*href="([^"]*)"', 1), '') AS next_url
+       nullif(regexp_extract(html, '<a[^>]*(?:rel|class)="next"[^>]*href="([^"]*)"', 1), '') AS next_url
 FROM pages""",
     "A5 H7 H9 (regex fast path over stored pages)",
 )

@@ -32,7 +32,7 @@ PAGE_SCHEMA = T.StructType(
 H1_PATTERN = r"(?s)<h1[^>]*>(.*?)</h1>"
 TITLE_PATTERN = r"(?s)<title[^>]*>(.*?)</title>"
 ANCHOR_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
-NEXT_PATTERN = r'<a[^>]*rel="next"[^>]*href="([^"]*)"'
+NEXT_PATTERN = r'<a[^>]*(?:rel|class)="next"[^>]*href="([^"]*)"'
 LANG_PATTERN = r'<html[^>]*lang="([A-Za-z-]+)"'
 
 
@@ -46,7 +46,8 @@ def first_h1_raw(html: Column | str) -> Column:
 
 
 def next_page_url(html: Column | str) -> Column:
-    """H9: ``href`` of the ``rel="next"`` link; NULL when there is none."""
+    """H9: ``href`` of the next-page link (``rel`` or ``class`` ``next``,
+    written before ``href``); NULL when there is none."""
     return F.nullif(F.regexp_extract(_c(html), NEXT_PATTERN, 1), F.lit(""))
 
 
@@ -108,6 +109,7 @@ RULES = {
         title=Selector("h1", classes=("page_title",)),
         abstract=Selector("section", classes=("item", "abstract")),
         abstract_inner=Selector("div"),
+        links_in=Selector("h3", classes=("title",)),
         strip_abstract_label=True,
     ),
     "cvf": PageRules(title=Selector(id="papertitle"), abstract=Selector(id="abstract"), links_in=Selector("dt")),
@@ -154,7 +156,8 @@ class _Extractor(HTMLParser):
         if self.rules.links_in is not None and self._links_depth is None and self.rules.links_in.matches(tag, a):
             self._links_depth = len(self.stack)
         if tag == "a":
-            if "next" in a.get("rel", "").split() and self.next_url is None:
+            marks = a.get("rel", "").split() + a.get("class", "").split()
+            if "next" in marks and self.next_url is None:
                 self.next_url = a.get("href")
             in_scope = self.rules.links_in is None or self._links_depth is not None
             self._anchor = {"href": a.get("href"), "parts": []} if in_scope else None

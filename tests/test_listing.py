@@ -62,6 +62,20 @@ def test_extract_layouts():
     assert (r["title"], r["abstract"], r["links"]) == ("T", "abs", [{"pos": 1, "text": "P1", "href": "/p1"}])
     r = extract_page('<p>x</p><a rel="next" href="/n">next</a>', RULES["generic"])
     assert r["next_url"] == "/n" and r["title"] is None
+    r = extract_page('<a class="next" href="/p2">Next</a>', RULES["aaai"])
+    assert r["next_url"] == "/p2"
+    listing = (
+        '<ul class="cmp_article_list articles"><li><div class="obj_article_summary">'
+        '<h3 class="title"><a href="/v/1">Paper one</a></h3><a href="/pdf/1">PDF</a></div></li></ul>'
+    )
+    assert extract_page(listing, RULES["aaai"])["links"] == [{"pos": 1, "text": "Paper one", "href": "/v/1"}]
+
+
+def test_next_page_fast_path(spark):
+    from papertriage.sources.pages import next_page_url
+
+    df = spark.createDataFrame([('<a class="next" href="/p2">n</a>',), ('<a rel="next" href="/p3">n</a>',), ("<p>",)], "h string")
+    assert [r[0] for r in df.select(next_page_url("h")).collect()] == ["/p2", "/p3", None]
 
 
 def test_extract_udf_matches_python(spark):

@@ -396,9 +396,11 @@ def score_papers_chunked(
     """Exact scoring for any reference count: rule inputs without ``sims``.
 
     References are split into hash chunks that each fit the broadcast bound;
-    every chunk scores all papers (a narrow Arrow UDF pass), then one
-    aggregation on ``paper_id`` merges per-chunk sums, counts and top-k lists.
-    No pair is materialised and no reference is dropped.
+    every chunk scores all papers (a narrow Arrow UDF pass over the papers'
+    embeddings, landed once in the scratch folder), then one aggregation on
+    ``paper_id`` merges per-chunk sums, counts and top-k lists. No pair is
+    materialised and no reference is dropped. The work is papers x references
+    by definition; the mean rule alone needs only ``reference_centroid``.
     """
     spark = papers.sparkSession
     n, d = reference_stats(refs, ref_emb_col)
@@ -415,6 +417,12 @@ def score_papers_chunked(
         keyed = spark.read.parquet(path)
     partials = []
     base = papers.select(F.col(id_col).alias("paper_id"), F.col(emb_col).alias("_emb"))
+    if n_chunks > 1:
+        # every chunk scans the papers: land their (id, embedding) once, so an
+        # upstream encoder runs a single time instead of once per chunk
+        emb_path = scratch_path(spark, f"paper-embeddings-{uuid.uuid4().hex}")
+        base.write.parquet(emb_path)
+        base = spark.read.parquet(emb_path)
     for c in range(n_chunks):
         chunk = collect_reference_set(
             keyed.filter(F.col("_chunk") == c), ref_id_col, ref_emb_col, max_bytes=cfg.max_reference_bytes

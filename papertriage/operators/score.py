@@ -70,7 +70,11 @@ def collect_reference_set(
     """Collect a reference table after checking it fits the broadcast bound."""
     n, d = stats if stats is not None else reference_stats(refs, emb_col)
     if n * max(d, 1) * 8 > max_bytes:
-        raise ReferenceSetTooLarge(f"{n} x {d} reference matrix exceeds {max_bytes} bytes")
+        raise ReferenceSetTooLarge(
+            f"{n} x {d} reference matrix exceeds {max_bytes} bytes: score with "
+            "score_papers_chunked (exact rules, chunked broadcasts) or raise "
+            "TriageConfig.max_reference_bytes"
+        )
     cols = [F.col(id_col).alias("ref_id"), F.col(emb_col).alias("embedding")]
     if title_col:
         cols.append(F.col(title_col).alias("ref_title"))

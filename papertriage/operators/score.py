@@ -53,10 +53,39 @@ class ReferenceSet:
         return int(self.matrix.shape[1]) if self.matrix.ndim == 2 else 0
 
 
-def reference_stats(refs: DataFrame, emb_col: str = "embedding") -> tuple[int, int]:
-    """(rows, max dimension) of a reference table, from one aggregate job."""
-    row = refs.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(emb_col)).alias("d")).first()
-    return int(row["n"] or 0), int(row["d"] or 0)
+def reference_stats(refs: DataFrame, emb_col: str = "embedding", title_col: str | None = None) -> tuple[int, int]:
+    """(rows, max dimension) of a reference table, from one aggregate job.
+    Title characters are counted into the rows' size as 8-byte units."""
+    aggs = [F.count(F.lit(1)).alias("n"), F.max(F.size(emb_col)).alias("d")]
+    if title_col:
+        aggs.append(F.sum(F.length(title_col)).alias("t"))
+    row = refs.agg(*aggs).first()
+    n, d = int(row["n"] or 0), int(row["d"] or 0)
+    extra = int(row["t"] or 0) if title_col else 0
+    # express title bytes as extra dimensions so one bound covers both
+    return n, d + (-(-extra // max(n, 1)) if n else 0)
+
+
+# Widest embedding / longest title the single-job path accepts.
+FAST_PATH_MAX_DIM = 4096
+FAST_PATH_MAX_TITLE = 4096
+
+
+def _build_reference_set(rows: list, title_col: str | None, d: int) -> ReferenceSet:
+    if any(r["embedding"] is None for r in rows):
+        raise ValueError("reference rows must have an embedding")
+    rows = sorted(rows, key=lambda r: r["ref_id"])
+    ids = np.array([r["ref_id"] for r in rows], dtype=np.int64)
+    if len(set(ids.tolist())) != len(ids):
+        raise ValueError("reference ids must be unique")
+    titles = [r["ref_title"] if title_col else None for r in rows]
+    if rows:
+        mat = np.array([r["embedding"] for r in rows], dtype=np.float64)
+        norms = np.maximum(np.linalg.norm(mat, axis=1), V.NORM_EPS)
+        mat = mat / norms[:, None]
+    else:
+        mat = np.zeros((0, d), dtype=np.float64)
+    return ReferenceSet(ids, titles, mat)
 
 
 def collect_reference_set(
@@ -67,31 +96,47 @@ def collect_reference_set(
     max_bytes: int = TriageConfig.max_reference_bytes,
     stats: tuple[int, int] | None = None,
 ) -> ReferenceSet:
-    """Collect a reference table after checking it fits the broadcast bound."""
-    n, d = stats if stats is not None else reference_stats(refs, emb_col)
+    """Collect a reference table after checking it fits the broadcast bound.
+
+    Common case in one job: at most ``max_bytes / (8 * FAST_PATH_MAX_DIM)``
+    rows are fetched, each with at most ``FAST_PATH_MAX_DIM`` values and a
+    title of at most ``FAST_PATH_MAX_TITLE`` characters, so the fetch itself
+    is bounded; more rows, or a wider row, switch to a counting job first.
+    """
+    cols = [F.col(id_col).alias("ref_id"), F.col(emb_col).alias("embedding")]
+    if title_col:
+        cols.append(F.col(title_col).alias("ref_title"))
+    if stats is None:
+        cap = max(1, max_bytes // (8 * (FAST_PATH_MAX_DIM + FAST_PATH_MAX_TITLE)))
+        fast = [
+            F.col(id_col).alias("ref_id"),
+            F.when(F.size(emb_col) <= FAST_PATH_MAX_DIM, F.col(emb_col)).alias("embedding"),
+            F.size(emb_col).alias("_d"),
+        ]
+        if title_col:
+            fast += [
+                F.when(F.length(title_col) <= FAST_PATH_MAX_TITLE, F.col(title_col)).alias("ref_title"),
+                F.coalesce(F.length(title_col), F.lit(0)).alias("_t"),
+            ]
+        rows = refs.select(*fast).limit(cap + 1).collect()
+        narrow = all(r["_d"] <= FAST_PATH_MAX_DIM and (not title_col or r["_t"] <= FAST_PATH_MAX_TITLE) for r in rows)
+        if len(rows) <= cap and narrow:
+            d = max([r["_d"] for r in rows], default=0)
+            n = len(rows)
+            t = sum(r["_t"] for r in rows) if title_col else 0
+            if n * max(d, 1) * 8 + t * 8 > max_bytes:
+                raise ReferenceSetTooLarge(f"{n} x {d} reference matrix exceeds {max_bytes} bytes")
+            return _build_reference_set(rows, title_col, d)
+        stats = reference_stats(refs, emb_col, title_col)
+    n, d = stats
     if n * max(d, 1) * 8 > max_bytes:
         raise ReferenceSetTooLarge(
             f"{n} x {d} reference matrix exceeds {max_bytes} bytes: score with "
             "score_papers_chunked (exact rules, chunked broadcasts) or raise "
             "TriageConfig.max_reference_bytes"
         )
-    cols = [F.col(id_col).alias("ref_id"), F.col(emb_col).alias("embedding")]
-    if title_col:
-        cols.append(F.col(title_col).alias("ref_title"))
-    rows = refs.select(*cols).orderBy("ref_id").collect()
-    if any(r["embedding"] is None for r in rows):
-        raise ValueError("reference rows must have an embedding")
-    ids = np.array([r["ref_id"] for r in rows], dtype=np.int64)
-    if len(set(ids.tolist())) != len(ids):
-        raise ValueError("reference ids must be unique")
-    titles = [r["ref_title"] if title_col else None for r in rows]
-    if rows:
-        mat = np.array([r["embedding"] for r in rows], dtype=np.float64)
-        norms = np.maximum(np.linalg.norm(mat, axis=1), V.NORM_EPS)
-        mat = mat / norms[:, None]
-    else:
-        mat = np.zeros((0, d), dtype=np.float64)
-    return ReferenceSet(ids, titles, mat)
+    rows = refs.select(*cols).collect()
+    return _build_reference_set(rows, title_col, d)
 
 
 SCORE_STRUCT = T.StructType(
@@ -271,17 +316,22 @@ def score_papers(
     """
     if plan == "arrow":
         s = similarity_struct(emb_col, refs, cfg, papers.sparkSession, with_sims=keep_sims)
-        scored = papers.withColumn("_score", s).select(
-            *[c for c in papers.columns],
+        with_score = papers.select(*papers.columns, s.alias("_score"))
+        mean, n_top = F.col("_score.mean_similarity"), F.col("_score.n_top_above")
+        mean_rule, top_rule = relevance_rules(mean, n_top, cfg)
+        # one projection for the outputs and the rules (fewer plan analyses)
+        return with_score.select(
+            *papers.columns,
             F.col("_score.sims").alias("sims"),
-            F.col("_score.mean_similarity").alias("mean_similarity"),
-            F.col("_score.n_top_above").alias("n_top_above"),
+            mean.alias("mean_similarity"),
+            n_top.alias("n_top_above"),
             F.col("_score.top_sims").alias("top_sims"),
+            (mean_rule | top_rule).alias("is_related"),
+            F.when(mean_rule, F.lit("mean")).when(top_rule, F.lit("top_k")).alias("reason"),
         )
-    elif plan == "sql":
-        scored = score_columns_sql(papers, emb_col, refs, cfg)
-    else:
+    if plan != "sql":
         raise ValueError(f"unknown plan {plan!r}")
+    scored = score_columns_sql(papers, emb_col, refs, cfg)
     mean_rule, top_rule = relevance_rules(F.col("mean_similarity"), F.col("n_top_above"), cfg)
     return scored.withColumn("is_related", mean_rule | top_rule).withColumn(
         "reason", F.when(mean_rule, F.lit("mean")).when(top_rule, F.lit("top_k"))

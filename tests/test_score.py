@@ -172,3 +172,15 @@ def test_collapse_reference_titles(spark):
     )
     got = sorted(tuple(r) for r in SC.collapse_reference_titles(refs).select("ref_id", "title", "abstract").collect())
     assert got == [(0, "Robust  Models", "a2"), (1, "Other", "b")]
+
+
+def test_reference_collect_paths(spark):
+    # 23 rows: one bounded fetch; 3000 rows: counted first, then collected
+    for n in (23, 3000):
+        df = spark.createDataFrame([(i, [float(i % 7), 1.0], f"t{i}") for i in range(n)],
+                                   "ref_id long, embedding array<double>, title string")
+        refs = SC.collect_reference_set(df.repartition(3), "ref_id", "embedding", "title")
+        assert refs.size == n and list(refs.ref_ids) == list(range(n))
+        assert refs.titles[5] == "t5"
+    wide = spark.createDataFrame([(0, [1.0] * 5000)], "ref_id long, embedding array<double>")
+    assert SC.collect_reference_set(wide).dim == 5000  # wider than the one-job path: counted path

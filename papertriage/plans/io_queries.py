@@ -88,7 +88,8 @@ FROM rel JOIN best USING (paper_id) LEFT JOIN documents d ON d.doc_id = rel.pape
 )
 def related_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, refs = SQ.scored_papers(spark, sf_dir, with_titles=True)
-    docs = SQ.read_table(spark, sf_dir, "documents").select(
+    # a join lookup: no need to spread the text first
+    docs = SQ.read_table(spark, sf_dir, "documents", spread=False).select(
         F.col("doc_id").alias("paper_id"),
         TX.first_line("text").alias("title"),
         TX.after_first_line("text").alias("abstract"),

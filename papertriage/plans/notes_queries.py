@@ -102,7 +102,7 @@ SELECT venue_key, any_value(venue_id) AS venue_id, CAST(count(*) AS BIGINT) AS n
     "A7 H10 H11 (venue id building, conference key, fan-in per venue)",
 )
 def venue_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    docs = read_table(spark, sf_dir, "documents", spread=False).select("doc_id")
     confs = F.array(*[F.lit(c) for c in TEST_CONFERENCES])
     conf = F.element_at(confs, (F.pmod("doc_id", F.lit(3)) + 1).cast("int"))
     yy = (F.lit(23) + F.pmod(F.expr("doc_id div 3"), F.lit(3))).cast("string")

@@ -28,7 +28,7 @@ def refs_frame(spark: SparkSession, sf_dir: str, with_titles: bool = False) -> D
     emb = read_table(spark, sf_dir, "embeddings")
     refs = emb.filter(F.col("vec_id") < R).select(F.col("vec_id").alias("ref_id"), "embedding")
     if with_titles:
-        docs = read_table(spark, sf_dir, "documents").select(
+        docs = read_table(spark, sf_dir, "documents", spread=False).select(
             F.col("doc_id").alias("ref_id"), TX.first_line("text").alias("ref_title")
         )
         refs = refs.join(docs.filter(F.col("ref_id") < R), "ref_id", "left")
@@ -210,7 +210,7 @@ FROM rel LEFT JOIN documents d ON d.doc_id = rel.paper_id LEFT JOIN top3 USING (
 @query("related_report", REPORT_SQL, "A13 B7 B8 F3 F5 (ranked report with titles from documents)")
 def related_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, refs = scored_papers(spark, sf_dir, with_titles=True)
-    docs = read_table(spark, sf_dir, "documents").select(
+    docs = read_table(spark, sf_dir, "documents", spread=False).select(
         F.col("doc_id").alias("paper_id"), TX.first_line("text").alias("title"), TX.after_first_line("text").alias("abstract")
     )
     return RP.related_report(SC.related_only(scored), refs, docs, CFG)

@@ -28,6 +28,31 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     )
 
 
+def page_link_dict(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """E5 + H8 without a shuffle: the links of a page come from one row, so
+    the dict is built inside that row. Links sorted by (text, position) give
+    each text's first position at the start of its run and, read backwards,
+    its last ``href`` at the start of the reversed run; O(n log n) per page."""
+    links = F.transform(PG.anchors(html_col), lambda a, i: F.struct(a["text"].alias("t"), (i + 1).alias("p"), a["href"].alias("h")))
+    ordered = F.array_sort(links)
+    rev = F.reverse(ordered)
+
+    def run_starts(arr):
+        # element_at is 1-based: element_at(arr, i) is the element before e
+        return F.filter(arr, lambda e, i: F.when(i == 0, F.lit(True)).otherwise(F.element_at(arr, i)["t"] != e["t"]))
+
+    firsts = run_starts(ordered)  # ascending text: first position per text
+    lasts = F.reverse(run_starts(rev))  # same text order: last href per text
+    merged = F.arrays_zip(firsts.alias("f"), lasts.alias("l"))
+    exploded = pages.select(id_col, F.explode_outer(merged).alias("e")).filter(F.col("e").isNotNull())
+    return exploded.select(
+        id_col,
+        F.col("e.f.t").alias("link_text"),
+        F.col("e.l.h").alias("href"),
+        F.col("e.f.p").cast("int").alias("pos"),
+    )
+
+
 def link_dict(links: DataFrame, id_col: str = "page_id") -> DataFrame:
     """E5: dict semantics of ``{text: href}`` built in page order: the last
     ``href`` wins, the entry keeps its first position."""

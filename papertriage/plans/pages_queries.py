@@ -94,10 +94,9 @@ x AS (SELECT page_id, CAST(i AS INTEGER) AS pos, hrefs[i] AS href, texts[i] AS l
 SELECT page_id, link_text, arg_max(href, pos) AS href, min(pos) AS pos FROM x GROUP BY page_id, link_text"""
 
 
-@query("page_links", _LINKS_SQL, "H8 E5 (anchor list in order, dict semantics per link text)")
+@query("page_links", _LINKS_SQL, "H8 E5 (anchor list in order, dict semantics per link text, no shuffle)")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = LS.page_links(_pages(spark, sf_dir))
-    return LS.link_dict(links)
+    return LS.page_link_dict(_pages(spark, sf_dir))
 
 
 _LISTING_SQL = """WITH listing AS (

@@ -37,6 +37,8 @@ def test_link_dict_last_href_first_position(spark):
     df = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = sorted((r["link_text"], r["href"], r["pos"]) for r in LS.link_dict(LS.page_links(df)).collect())
     assert got == [("A", "/c", 1), ("B", "/b", 2)]
+    in_row = sorted((r["link_text"], r["href"], r["pos"]) for r in LS.page_link_dict(df).collect())
+    assert in_row == got
     assert {k: v for k, v in {"A": "/a", "B": "/b", "A": "/c"}.items()} == {"A": "/c", "B": "/b"}  # noqa: F601
 
 

@@ -37,3 +37,41 @@ def test_title_key_alphabet(spark, rows):
     got = _apply(spark, rows, TX.title_key)
     exp = ["".join(c for c in r if c.isascii() and c.isalnum()).lower() for r in rows]
     assert got == exp
+
+
+def _crawl(tracks, target):
+    """Sequential statement of the documented crawl: pages in order, tracks
+    in page order; an older year ends the crawl at once, later years are
+    skipped, equal or unknown years are processed; after a page that held a
+    target-year track the crawl ends."""
+    kept = []
+    for page in sorted({p for p, _, _ in tracks}):
+        found = False
+        for p, pos, year in sorted(t for t in tracks if t[0] == page):
+            if year is not None and year < target:
+                return kept
+            if year is not None and year > target:
+                continue
+            if year == target:
+                found = True
+            kept.append((p, pos))
+        if found:
+            return kept
+    return kept
+
+
+YEARS = st.sampled_from([None, 22, 23, 24, 24, 25, 26])
+TRACKS = st.lists(st.tuples(st.integers(1, 6), st.integers(1, 5), YEARS), min_size=1, max_size=25, unique_by=lambda t: (t[0], t[1]))
+
+
+@SETTINGS
+@given(st.lists(TRACKS, min_size=3, max_size=6))
+def test_take_while_matches_sequential_crawl(spark, archives):
+    from papertriage.operators.listing import take_while
+
+    rows = [(f"v{a}", p, pos, y) for a, tracks in enumerate(archives) for p, pos, y in tracks]
+    df = spark.createDataFrame(rows, "venue string, page_no int, pos int, year int")
+    routed = df.withColumn("route", TX.year_route(F.col("year"), 24))
+    got = sorted((r["venue"], r["page_no"], r["pos"]) for r in take_while(routed, 24, ["venue"]).collect())
+    exp = sorted((f"v{a}", p, pos) for a, tracks in enumerate(archives) for p, pos in _crawl(tracks, 24))
+    assert got == exp

@@ -75,3 +75,40 @@ def test_take_while_matches_sequential_crawl(spark, archives):
     got = sorted((r["venue"], r["page_no"], r["pos"]) for r in take_while(routed, 24, ["venue"]).collect())
     exp = sorted((f"v{a}", p, pos) for a, tracks in enumerate(archives) for p, pos in _crawl(tracks, 24))
     assert got == exp
+
+
+ROWS = st.lists(
+    st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b", "c"]), st.integers(0, 5)), min_size=5, max_size=80
+)
+
+
+@SETTINGS
+@given(ROWS)
+def test_grouped_rank_matches_brute_force(spark, rows):
+    from papertriage.operators.ranking import grouped_rank
+
+    data = [(g, i, float(v)) for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, id long, v double")
+    got = {r["id"]: (r["rank"], r["row_no"], r["group_n"]) for r in grouped_rank(
+        df, ["g"], [F.col("v").desc()], ["v"], "id").collect()}
+    for g, i, v in data:
+        same = [(vv, ii) for gg, ii, vv in data if gg == g]
+        rank = 1 + sum(1 for vv, _ in same if vv > v)
+        row_no = 1 + sum(1 for vv, ii in same if (-vv, ii) < (-v, i))
+        assert got[i] == (rank, row_no, len(same))
+
+
+@SETTINGS
+@given(ROWS)
+def test_keep_first_matches_brute_force(spark, rows):
+    from papertriage.operators.papers import keep_first_per_key
+
+    data = [(i, g, f"t{v}") for i, (g, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "paper_id long, k string, title string")
+    got = sorted(tuple(r) for r in keep_first_per_key(df, "k", "paper_id", "n").select("k", "paper_id", "title", "n").collect())
+    exp = {}
+    for i, k, t in data:
+        if k not in exp:
+            exp[k] = [k, i, t, 0]
+        exp[k][3] += 1
+    assert got == sorted(tuple(v) for v in exp.values())

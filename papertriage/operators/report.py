@@ -33,8 +33,8 @@ def top_refs_text(detail_col: str, refs: ReferenceSet, n: int = 3):
     index = F.create_map(*[x for i, ref in enumerate(ids) for x in (F.lit(ref), F.lit(i + 1))])
 
     def fmt(d):
-        title = F.element_at(titles, F.element_at(index, d["ref_id"]))
-        return F.format_string("%s (%.4f)", title, d["similarity"])
+        title = F.coalesce(F.element_at(titles, F.element_at(index, d["ref_id"])), F.lit("None"))
+        return F.concat(title, F.lit(" ("), TX.fmt4(d["similarity"]), F.lit(")"))
 
     return F.concat_ws("; ", F.transform(F.slice(F.col(detail_col), 1, n), fmt))
 

@@ -112,3 +112,11 @@ def test_keep_first_matches_brute_force(spark, rows):
             exp[k] = [k, i, t, 0]
         exp[k][3] += 1
     assert got == sorted(tuple(v) for v in exp.values())
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.floats(-1e6, 1e6, allow_nan=False), st.integers(-10**9, 10**9).map(lambda n: n / 10**5)), min_size=20, max_size=80))
+def test_fmt4_is_python_format(spark, vals):
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i int, x double")
+    got = [r[0] for r in df.select(TX.fmt4("x"), "i").orderBy("i").collect()]
+    assert got == [f"{float(v):.4f}" for v in vals]

@@ -101,6 +101,15 @@ def test_prompt_snippet_fmt(spark):
     assert r["f"] == "0.1235"
 
 
+def test_fmt4_rounds_the_exact_binary_value(spark):
+    vals = [0.55555, 2.675, 0.00005, -0.00005, 1e-20, -1e-20, 0.99995, 12345.67895, float("nan")]
+    got = [
+        r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+        .select(TX.fmt4("x"), "i").orderBy("i").collect()
+    ]
+    assert got == [f"{v:.4f}" for v in vals]
+
+
 def test_first_line_split(spark):
     df = spark.createDataFrame([("T\nA\nB",), ("only",), ("\nx",)], "s string")
     got = [(r[0], r[1]) for r in df.select(TX.first_line("s"), TX.after_first_line("s")).collect()]

@@ -301,6 +301,21 @@ def relevance_rules(mean: Column, n_top: Column, cfg: TriageConfig) -> tuple[Col
     return mean_rule, top_rule
 
 
+# Largest per-batch similarity array (bytes) a Python worker returns.
+MAX_SIMS_BATCH_BYTES = 1 << 30
+
+
+def _check_sims_batch(spark, m: int) -> None:
+    """With ``keep_sims`` each Arrow batch returns ``rows x m`` doubles; fail
+    early (with the fix) rather than exhaust a worker on a wide reference set."""
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    if rows * m * 8 > MAX_SIMS_BATCH_BYTES:
+        raise ValueError(
+            f"{rows} rows x {m} references per Arrow batch exceeds {MAX_SIMS_BATCH_BYTES} bytes: "
+            "lower spark.sql.execution.arrow.maxRecordsPerBatch or score with keep_sims=False"
+        )
+
+
 def score_papers(
     papers: DataFrame,
     refs: ReferenceSet,
@@ -315,6 +330,8 @@ def score_papers(
     ``plan='sql'`` stays in the JVM (interpreted lambdas, no Python).
     """
     if plan == "arrow":
+        if keep_sims:
+            _check_sims_batch(papers.sparkSession, refs.size)
         s = similarity_struct(emb_col, refs, cfg, papers.sparkSession, with_sims=keep_sims)
         with_score = papers.select(*papers.columns, s.alias("_score"))
         mean, n_top = F.col("_score.mean_similarity"), F.col("_score.n_top_above")

@@ -184,3 +184,12 @@ def test_reference_collect_paths(spark):
         assert refs.titles[5] == "t5"
     wide = spark.createDataFrame([(0, [1.0] * 5000)], "ref_id long, embedding array<double>")
     assert SC.collect_reference_set(wide).dim == 5000  # wider than the one-job path: counted path
+
+
+def test_wide_similarity_batches_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(SC, "MAX_SIMS_BATCH_BYTES", 1000)
+    refs = _refs(np.eye(4))
+    with pytest.raises(ValueError, match="maxRecordsPerBatch"):
+        SC.score_papers(_papers(spark, [E[0]]), refs, FIXTURE_CONFIG, keep_sims=True)
+    # the rules alone never hold the full array
+    assert SC.score_papers(_papers(spark, [E[0]]), refs, FIXTURE_CONFIG, keep_sims=False).count() == 1

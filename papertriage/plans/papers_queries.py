@@ -58,6 +58,20 @@ def title_key_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PP.keep_first_per_key(keyed, "title_key", "paper_id", count_col="n_rows")
 
 
+@query(
+    "title_key_dedupe_unicode",
+    _WITH
+    + """, keyed AS (SELECT *, lower(regexp_replace(title, '[^\\p{L}\\p{N}]', '', 'g')) AS title_key FROM kept)
+SELECT title_key, min(paper_id) AS paper_id, arg_min(title, paper_id) AS title, CAST(count(*) AS BIGINT) AS n_rows
+FROM keyed WHERE title_key <> '' GROUP BY title_key""",
+    "H2 E4 V11 (Unicode title keys; the empty key never matches)",
+)
+def title_key_dedupe_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = _tagged(spark, sf_dir)
+    keyed = PP.drop_empty_key(PP.with_title_key(kept.select("paper_id", "title"), unicode_key=True))
+    return PP.keep_first_per_key(keyed, "title_key", "paper_id", count_col="n_rows")
+
+
 _ANTI_KEY_SQL = (
     _KEYED
     + """,

@@ -200,7 +200,9 @@ def fmt_fixed(x: Column | str, decimals: int = 4) -> Column:
         F.lit("."),
         F.lpad(F.pmod(mag, unit).cast("string"), decimals, "0"),
     )
-    sign = F.when((k < 0) | ((k == 0) & (x < 0)), F.lit("-")).otherwise(F.lit(""))
+    # negative values that round to zero, and -0.0 itself, keep their sign
+    negative = x.cast("string").startswith("-")
+    sign = F.when((k < 0) | ((k == 0) & negative), F.lit("-")).otherwise(F.lit(""))
     return (
         F.when(x.isNull(), F.lit(None).cast("string"))
         .when(F.isnan(x), F.lit("nan"))

@@ -102,7 +102,7 @@ def test_prompt_snippet_fmt(spark):
 
 
 def test_fmt4_rounds_the_exact_binary_value(spark):
-    vals = [0.55555, 2.675, 0.00005, -0.00005, 1e-20, -1e-20, 0.99995, 12345.67895, float("nan")]
+    vals = [0.55555, 2.675, 0.00005, -0.00005, 1e-20, -1e-20, 0.99995, 12345.67895, float("nan"), -0.0, 0.0]
     got = [
         r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
         .select(TX.fmt4("x"), "i").orderBy("i").collect()

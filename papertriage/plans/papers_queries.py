@@ -117,6 +117,7 @@ WHERE url NOT IN (SELECT url FROM pages WHERE url LIKE '%/en/%')""",
     "D1 G2 (pages whose URL is not saved yet)",
 )
 def anti_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    # URL-only work: no CPU-heavy step to spread
+    pages = read_table(spark, sf_dir, "pages", spread=False).select("page_id", "url")
     saved = pages.filter(F.col("url").contains("/en/"))
     return PP.not_already_saved(pages, saved, "url")

@@ -120,3 +120,20 @@ def test_fmt4_is_python_format(spark, vals):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i int, x double")
     got = [r[0] for r in df.select(TX.fmt4("x"), "i").orderBy("i").collect()]
     assert got == [f"{float(v):.4f}" for v in vals]
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.one_of(st.floats(-1, 1, allow_nan=False), st.just(float("nan"))), min_size=1, max_size=60),
+    st.integers(1, 8),
+)
+def test_top_k_selection_matches_full_sort(values, k):
+    # partial selection (np.partition) and a full sort agree, NaN counted as largest
+    import numpy as np
+
+    from papertriage.operators.score import top_k_ascending
+
+    row = np.array([values], dtype=np.float64)
+    got = top_k_ascending(row, k)[0]
+    exp = np.sort(row, axis=1)[0][-k:]
+    assert np.array_equal(got, exp, equal_nan=True)

@@ -28,7 +28,7 @@ _SPLIT = re.compile(
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
 # entries in a generation of a worker's cache
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 
 def _byte_letters() -> dict[int, str]:

@@ -50,12 +50,6 @@ def dot(a: Column | str, b: Column | str) -> Column:
     return F.aggregate(products, F.lit(0.0).cast("double"), lambda acc, x: acc + x)
 
 
-def cosine(a: Column | str, b: Column | str) -> Column:
-    a, b = _col(a), _col(b)
-    denom = F.greatest(l2_norm(a), F.lit(NORM_EPS)) * F.greatest(l2_norm(b), F.lit(NORM_EPS))
-    return dot(a, b) / denom
-
-
 def literal_vector(values: Sequence[float]) -> Column:
     """A bounded vector as a literal ``array<double>``."""
     return F.array(*[F.lit(float(x)).cast("double") for x in values])

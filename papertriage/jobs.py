@@ -38,12 +38,11 @@ Encoder = Callable[[], Callable[[list[str]], np.ndarray]]
 
 
 def _with_ids(papers: DataFrame) -> DataFrame:
-    """A deterministic ``paper_id`` when the input has none (a hash of the
-    row's text; ties in ordering fall back to it)."""
+    """A ``paper_id`` of its own for every row, in input order, when the input
+    has none; equal rows keep distinct ids."""
     if "paper_id" in papers.columns:
         return papers
-    cols = [F.coalesce(F.col(c), F.lit("")) for c in ("title", "abstract", "url") if c in papers.columns]
-    return papers.withColumn("paper_id", F.xxhash64(*cols))
+    return papers.withColumn("paper_id", F.monotonically_increasing_id())
 
 
 def _embed(df: DataFrame, encoder: Encoder | None, batch_size: int) -> DataFrame:
@@ -79,7 +78,9 @@ def triage_job(
     if "ref_id" not in refs.columns:
         # ids only have to be unique within the one collect of the bounded set
         refs = refs.withColumn("ref_id", F.monotonically_increasing_id())
-    ref_emb = _embed(refs.select("ref_id", "title", "abstract"), encoder, cfg.batch_size)
+    # equal normalised titles are one reference before anything is encoded
+    refs = SC.collapse_reference_titles(refs.select("ref_id", "title", "abstract"))
+    ref_emb = _embed(refs, encoder, cfg.batch_size)
     ref_set = SC.collect_reference_set(
         ref_emb.select("ref_id", "embedding", F.col("title").alias("ref_title")),
         "ref_id",
@@ -136,16 +137,16 @@ def write_triage_outputs(
     related = saved.filter(F.col("is_related")).withColumn("sims", F.col("related_sims")).drop("related_sims")
     if texts is not None:
         related = related.join(texts.select("paper_id", "title", "abstract"), "paper_id", "left")
-    detailed = SC.sorted_detail(related, ref_set).select(
+    detailed = SC.sorted_detail(RP.ranked_output(related), ref_set).select(
         "title",
         "abstract",
         F.col("mean_similarity").alias("mean_abstract_similarity"),
         OUT.similarity_map("detail", ref_set).alias("detailed_similarities"),
     )
     report = RP.related_report(
-        related.select("paper_id", "sims", "mean_similarity", "n_top_above", "reason"),
+        related.select("paper_id", "title", "abstract", "sims", "mean_similarity", "n_top_above", "reason"),
         ref_set,
-        related.select("paper_id", "title", "abstract"),
+        None,
         cfg,
     )
     tables = {

@@ -8,6 +8,9 @@ a window ordered over a whole archive would put that archive in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,28 +32,10 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
 
 
 def page_link_dict(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """E5 + H8 without a shuffle: the links of a page come from one row, so
-    the dict is built inside that row. Links sorted by (text, position) give
-    each text's first position at the start of its run and, read backwards,
-    its last ``href`` at the start of the reversed run; O(n log n) per page."""
-    links = F.transform(PG.anchors(html_col), lambda a, i: F.struct(a["text"].alias("t"), (i + 1).alias("p"), a["href"].alias("h")))
-    ordered = F.array_sort(links)
-    rev = F.reverse(ordered)
-
-    def run_starts(arr):
-        # element_at is 1-based: element_at(arr, i) is the element before e
-        return F.filter(arr, lambda e, i: F.when(i == 0, F.lit(True)).otherwise(F.element_at(arr, i)["t"] != e["t"]))
-
-    firsts = run_starts(ordered)  # ascending text: first position per text
-    lasts = F.reverse(run_starts(rev))  # same text order: last href per text
-    merged = F.arrays_zip(firsts.alias("f"), lasts.alias("l"))
-    exploded = pages.select(id_col, F.explode_outer(merged).alias("e")).filter(F.col("e").isNotNull())
-    return exploded.select(
-        id_col,
-        F.col("e.f.t").alias("link_text"),
-        F.col("e.l.h").alias("href"),
-        F.col("e.f.p").cast("int").alias("pos"),
-    )
+    """E5 + H8: the link dict of each page. The page's anchors are extracted
+    once and exploded, then aggregated per (page, text) with partial
+    aggregation, so a page of thousands of links takes linear time."""
+    return link_dict(page_links(pages, id_col, html_col), id_col).select(id_col, "link_text", "href", "pos")
 
 
 def link_dict(links: DataFrame, id_col: str = "page_id") -> DataFrame:
@@ -116,14 +101,16 @@ def take_while(routed: DataFrame, target: int, archive_cols: list[str]) -> DataF
     last_page = F.when(
         first.isNotNull() & _before(first["page_no"], first["pos"], F.col("_stop")), first["page_no"]
     )
+    # a null archive is an archive too: joined null-safe, it stops like others
+    same_archive = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in archive_cols))
     kept = (
         routed.filter(F.col("route") == "process")
-        .join(bounds, archive_cols, "left")
+        .join(bounds.select(*[F.col(c).alias(f"_{c}") for c in archive_cols], "_stop", "_first_target"), same_archive, "left")
         .withColumn("_last_page", last_page)
         .filter(_before(F.col("page_no"), F.col("pos"), F.col("_stop")))
         .filter(F.col("_last_page").isNull() | (F.col("page_no") <= F.col("_last_page")))
     )
-    return kept.drop("_stop", "_first_target", "_last_page")
+    return kept.drop("_stop", "_first_target", "_last_page", *[f"_{c}" for c in archive_cols])
 
 
 def page_flags(routed: DataFrame, target: int, archive_cols: list[str]) -> DataFrame:

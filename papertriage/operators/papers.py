@@ -56,6 +56,8 @@ def keep_first_per_key(df: DataFrame, key: str, order_col: str, count_col: str |
     ``groupBy(key).agg(min(struct(order, row)))``: partial aggregation keeps
     one candidate per key per map task before the shuffle."""
     others = [c for c in df.columns if c not in (key, order_col)]
+    if not others:  # a plain minimum is hash-aggregated
+        return df.groupBy(key).agg(F.min(order_col).alias(order_col), *([F.count(F.lit(1)).alias(count_col)] if count_col else []))
     aggs = [F.min(F.struct(F.col(order_col), *[F.col(c) for c in others])).alias("_first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
@@ -66,9 +68,15 @@ def keep_first_per_key(df: DataFrame, key: str, order_col: str, count_col: str |
     return out.select(*cols)
 
 
-def drop_empty_key(df: DataFrame, key: str = "title_key") -> DataFrame:
-    """The empty key never matches anything in Unicode-key mode."""
-    return df.filter(F.col(key) != "")
+def keep_first_nonempty(df: DataFrame, key: str, order_col: str, count_col: str | None = None) -> DataFrame:
+    """E4 in Unicode-key mode (V11): an empty or null key never matches, so
+    rows without a key are all kept, the others keep the first per key."""
+    empty = F.coalesce(F.col(key), F.lit("")) == ""
+    first = keep_first_per_key(df.filter(~empty), key, order_col, count_col)
+    alone = df.filter(empty)
+    if count_col:
+        alone = alone.withColumn(count_col, F.lit(1).cast("bigint"))
+    return first.unionByName(alone.select(*first.columns))
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:

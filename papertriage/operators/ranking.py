@@ -10,6 +10,9 @@ shared checkpoint folder first, so a lost executor cannot renumber them.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +56,13 @@ def global_row_number(
     )
 
 
+def _same(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Inner join on ``cols`` in which nulls equal each other."""
+    right = right.select([F.col(c).alias(f"_r_{c}") if c in cols else F.col(c) for c in right.columns])
+    on = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols))
+    return left.join(right, on).drop(*[f"_r_{c}" for c in cols])
+
+
 def grouped_rank(
     df: DataFrame,
     group_cols: list[str],
@@ -76,7 +86,9 @@ def grouped_rank(
         F.min("_g").alias("_tie_first"), F.count(F.lit(1)).alias("_tie_n")
     )
     firsts = ties.groupBy(*group_cols).agg(F.min("_tie_first").alias("_first"), F.sum("_tie_n").alias("group_n"))
-    out = numbered.join(firsts, group_cols).join(ties.drop("_tie_n"), group_cols + tie_cols)
+    # null-safe: a null group is a group, null order values tie with each other
+    out = _same(numbered, firsts, group_cols)
+    out = _same(out, ties.drop("_tie_n"), group_cols + tie_cols)
     out = out.withColumn("row_no", F.col("_g") - F.col("_first") + 1).withColumn(
         "rank", F.col("_tie_first") - F.col("_first") + 1
     )

@@ -42,24 +42,31 @@ def top_refs_text(detail_col: str, refs: ReferenceSet, n: int = 3):
 def related_report(
     related: DataFrame,
     refs: ReferenceSet,
-    docs: DataFrame,
+    docs: DataFrame | None,
     cfg: TriageConfig,
     id_col: str = "paper_id",
 ) -> DataFrame:
     """One report row per related paper: running number in input order (F5),
-    title, mean at 4 decimals, reason, 100-character snippet, top 3."""
+    title, mean at 4 decimals, reason, 100-character snippet, top 3.
+
+    Titles and abstracts come with ``related``, or from ``docs`` (one row per
+    id): the snippet is cut before anything is joined or exchanged."""
     detail = sorted_detail(related, refs, id_col)
+    if docs is not None:
+        short = docs.select(id_col, "title", TX.snippet("abstract").alias("snippet"))
+        detail = detail.drop("title", "abstract").join(short, id_col, "left")
+    else:
+        detail = detail.withColumn("snippet", TX.snippet("abstract"))
     numbered = ranking.global_row_number(
-        detail.select(id_col, "mean_similarity", "n_top_above", "reason", "detail"), [F.col(id_col)], "related_no"
+        detail.select(id_col, "title", "snippet", "mean_similarity", "n_top_above", "reason", "detail"), [F.col(id_col)], "related_no"
     )
-    joined = numbered.join(docs, id_col, "left")
-    return joined.select(
+    return numbered.select(
         id_col,
         F.col("related_no").cast("bigint").alias("related_no"),
         "title",
         TX.fmt4("mean_similarity").alias("mean_text"),
         reason_text(F.col("reason"), F.col("mean_similarity"), F.col("n_top_above"), cfg).alias("reason_text"),
-        TX.snippet("abstract").alias("snippet"),
+        "snippet",
         top_refs_text("detail", refs).alias("top_refs"),
     )
 

@@ -118,7 +118,7 @@ def triage_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = SC.collect_reference_set(
         encoded_papers(spark, sf_dir, refs_only=True), "paper_id", "embedding", max_bytes=HASH_CFG.max_reference_bytes
     )
-    scored = SC.score_papers(enc, refs, HASH_CFG)
+    scored = SC.score_papers(enc, refs, HASH_CFG, keep_sims=False)
     return SC.related_only(scored).select(
         "paper_id",
         F.round("mean_similarity", 6).alias("mean_similarity"),

@@ -14,6 +14,7 @@ from ..jobs import write_triage_outputs
 from ..operators import score as SC
 from ..session import scratch_path
 from ..sources import csv as CS
+from ..operators.papers import not_already_saved
 from ..sources.tables import read_or_empty
 from . import scoring as SQ
 from . import sqlfrag as S
@@ -45,15 +46,15 @@ PAPER_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CS.PAPER_
 @query(
     "csv_append",
     _WITH + "\nSELECT title, url FROM kept",
-    "A3 A9 A10 G1 (absent table reads as empty, two appends, read back)",
+    "A3 A9 A10 G1 (append-if-new onto an absent table, then onto its stored rows)",
 )
 def csv_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = kept_papers(spark, sf_dir).select(*CS.PAPER_COLUMNS, "lang")
     path = _scratch(spark, "append")
-    existing = read_or_empty(spark, path, PAPER_SCHEMA, fmt="csv")
-    assert existing.schema == PAPER_SCHEMA
-    CS.write_paper_csv(kept.filter(F.col("lang") == "en").select(*CS.PAPER_COLUMNS), path, mode="append")
-    CS.write_paper_csv(kept.filter(F.col("lang") != "en").select(*CS.PAPER_COLUMNS), path, mode="append")
+    run = kept.select(*CS.PAPER_COLUMNS)
+    for new in (run.filter(kept["lang"] == "en"), run):  # first onto an absent table, then onto stored rows
+        existing = read_or_empty(spark, path, PAPER_SCHEMA, fmt="csv")
+        CS.write_paper_csv(not_already_saved(new, existing, "url").select(*CS.PAPER_COLUMNS), path, mode="append")
     return CS.read_paper_csv(spark, path).select("title", "url")
 
 
@@ -88,8 +89,7 @@ FROM rel JOIN best USING (paper_id) LEFT JOIN documents d ON d.doc_id = rel.pape
 )
 def related_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, refs = SQ.scored_papers(spark, sf_dir, with_titles=True)
-    # a join lookup: no need to spread the text first
-    docs = SQ.read_table(spark, sf_dir, "documents", spread=False).select(
+    docs = SQ.read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("paper_id"),
         TX.first_line("text").alias("title"),
         TX.after_first_line("text").alias("abstract"),
@@ -105,3 +105,17 @@ def related_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.array_max(F.map_values("detailed_similarities")), 6).alias("best_similarity"),
     )
 
+
+
+@query(
+    "csv_mixed_headers",
+    _WITH + "\nSELECT title, abstract, url FROM kept",
+    "A1 A2 A7 (files with other column orders and header names in one folder)",
+)
+def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = kept_papers(spark, sf_dir).select(*CS.PAPER_COLUMNS, "lang")
+    path = _scratch(spark, "mixed")
+    plain, other = kept.filter(F.col("lang") == "en").drop("lang"), kept.filter(F.col("lang") != "en").drop("lang")
+    CS.write_paper_csv(plain, path, mode="append")
+    CS.write_paper_csv(other.select("url", F.col("abstract").alias("Abstract"), F.col("title").alias("Title")), path, mode="append")
+    return CS.read_paper_csv(spark, path)

@@ -61,15 +61,19 @@ def title_key_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "title_key_dedupe_unicode",
     _WITH
-    + """, keyed AS (SELECT *, lower(regexp_replace(title, '[^\\p{L}\\p{N}]', '', 'g')) AS title_key FROM kept)
+    + """, some_signs AS (SELECT * REPLACE (CASE WHEN paper_id % 50 = 0 THEN '*** ...' ELSE title END AS title) FROM kept),
+keyed AS (SELECT *, lower(regexp_replace(title, '[^\\p{L}\\p{N}]', '', 'g')) AS title_key FROM some_signs)
 SELECT title_key, min(paper_id) AS paper_id, arg_min(title, paper_id) AS title, CAST(count(*) AS BIGINT) AS n_rows
-FROM keyed WHERE title_key <> '' GROUP BY title_key""",
-    "H2 E4 V11 (Unicode title keys; the empty key never matches)",
+FROM keyed WHERE title_key <> '' GROUP BY title_key
+UNION ALL SELECT title_key, paper_id, title, 1 FROM keyed WHERE title_key = ''""",
+    "H2 E4 V11 (Unicode title keys; rows with an empty key match nothing and all stay)",
 )
 def title_key_dedupe_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, _ = _tagged(spark, sf_dir)
-    keyed = PP.drop_empty_key(PP.with_title_key(kept.select("paper_id", "title"), unicode_key=True))
-    return PP.keep_first_per_key(keyed, "title_key", "paper_id", count_col="n_rows")
+    # every 50th title is signs only, so that empty keys occur
+    title = F.when(F.col("paper_id") % 50 == 0, F.lit("*** ...")).otherwise(F.col("title"))
+    keyed = PP.with_title_key(kept.select("paper_id", title.alias("title")), unicode_key=True)
+    return PP.keep_first_nonempty(keyed, "title_key", "paper_id", count_col="n_rows")
 
 
 _ANTI_KEY_SQL = (
@@ -117,7 +121,6 @@ WHERE url NOT IN (SELECT url FROM pages WHERE url LIKE '%/en/%')""",
     "D1 G2 (pages whose URL is not saved yet)",
 )
 def anti_by_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # URL-only work: no CPU-heavy step to spread
-    pages = read_table(spark, sf_dir, "pages", spread=False).select("page_id", "url")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     saved = pages.filter(F.col("url").contains("/en/"))
     return PP.not_already_saved(pages, saved, "url")

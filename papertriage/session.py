@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,9 +47,24 @@ def build_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, which import it in the Arrow
+    functions. Not needed where it is installed on every node."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="papertriage-"), "papertriage.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("papertriage", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -85,7 +101,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = base.rstrip("/")
     # checkpoint dirs get a random UUID suffix per context; keep tables beside it
     return f"{base}/tables/{name}"
-
-
-def default_sf_dir() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

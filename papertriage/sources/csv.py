@@ -8,6 +8,8 @@ file is not splittable, so land CSV input as parquet once and work on that.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,23 @@ def _reader(spark: SparkSession):
     )
 
 
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files grouped by their first line, which names their columns: Spark
+    takes one file's header for all. The lines are reduced to one per file in
+    the tasks; what reaches the driver is as long as the file listing."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    return [r["files"] for r in heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()]
+
+
+def _aliased(df: DataFrame) -> DataFrame:
+    for old, new in HEADER_ALIASES.items():
+        if old in df.columns and new not in df.columns:
+            df = df.withColumnRenamed(old, new)
+    cols = [c for c in PAPER_COLUMNS if c in df.columns]
+    return df.select(*cols, F.col("_metadata.file_path").alias("_file"))
+
+
 def read_paper_csv(spark: SparkSession, path: str, pandas_missing: bool = False, with_source: bool = False) -> DataFrame:
     """A1/A2: paper rows from CSV; header names decide the columns, with the
     ``Title``/``Abstract`` aliases; every column is a string.
@@ -60,19 +79,19 @@ def read_paper_csv(spark: SparkSession, path: str, pandas_missing: bool = False,
     ``pandas_missing`` maps pandas' default missing-value strings to NULL
     (Spark keeps ``NA``/``None`` as text). ``with_source`` adds
     ``venue``/``year`` from ``<conference>_<yy>.csv`` file names (A7)."""
-    df = _reader(spark).csv(path)
-    for old, new in HEADER_ALIASES.items():
-        if old in df.columns and new not in df.columns:
-            df = df.withColumnRenamed(old, new)
-    cols = [c for c in PAPER_COLUMNS if c in df.columns]
-    out = df.select(*cols)
+    groups = _files_by_header(spark, path)
+    parts = [_aliased(_reader(spark).csv(files)) for files in groups] if len(groups) > 1 else [_aliased(_reader(spark).csv(path))]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    cols = [c for c in PAPER_COLUMNS if c in out.columns]
+    extra = ["_file"] if with_source else []
+    out = out.select(*cols, *extra)
     if pandas_missing:
-        out = out.select(*[missing_to_null(F.col(c)).alias(c) for c in cols])
+        out = out.select(*[missing_to_null(F.col(c)).alias(c) for c in cols], *extra)
     if with_source:
-        src = F.input_file_name()
+        src = F.col("_file")
         out = out.withColumn("venue", F.lower(F.regexp_extract(src, VENUE_FILE_PATTERN, 1))).withColumn(
             "year", F.regexp_extract(src, VENUE_FILE_PATTERN, 2).cast("int")
-        )
+        ).drop("_file")
     return out
 
 

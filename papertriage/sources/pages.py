@@ -31,7 +31,7 @@ PAGE_SCHEMA = T.StructType(
 # Fixed regex rules for the fast path.
 H1_PATTERN = r"(?s)<h1[^>]*>(.*?)</h1>"
 TITLE_PATTERN = r"(?s)<title[^>]*>(.*?)</title>"
-ANCHOR_PATTERN = r'<a href="([^"]*)">([^<]*)</a>'
+ANCHOR_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a\s*>"""
 NEXT_PATTERN = r'<a[^>]*(?:rel|class)="next"[^>]*href="([^"]*)"'
 LANG_PATTERN = r'<html[^>]*lang="([A-Za-z-]+)"'
 
@@ -56,12 +56,16 @@ def page_lang(html: Column | str) -> Column:
 
 
 def anchors(html: Column | str) -> Column:
-    """H8 fast path: ``array<struct<href, text>>`` of simple anchors, in order."""
-    h = _c(html)
-    return F.arrays_zip(
-        F.regexp_extract_all(h, F.lit(ANCHOR_PATTERN), F.lit(1)).alias("href"),
-        F.regexp_extract_all(h, F.lit(ANCHOR_PATTERN), F.lit(2)).alias("text"),
-    )
+    """H8 fast path: ``array<struct<href, text>>`` of the anchors in order, with
+    any other attributes and quoting; markup inside the text is left out."""
+    whole = F.regexp_extract_all(_c(html), F.lit(ANCHOR_PATTERN), F.lit(0))
+
+    def fields(a):
+        href = F.concat(*(F.regexp_extract(a, ANCHOR_PATTERN, k) for k in (1, 2, 3)))
+        text = F.regexp_replace(F.regexp_extract(a, ANCHOR_PATTERN, 4), r"(?s)<[^>]*>", "")
+        return F.struct(href.alias("href"), text.alias("text"))
+
+    return F.transform(whole, fields)
 
 
 # --- html.parser extraction -------------------------------------------------

@@ -1,8 +1,9 @@
-"""Parquet table access, table-exists scans and table sinks."""
+"""Parquet table access and table-exists scans (A3, A5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TABLES = (
@@ -24,45 +25,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Tables up to this estimated size are spread over all cores after the scan.
-SPREAD_MAX_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a plan (file sizes for a plain scan)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread_small(df: DataFrame, max_bytes: int = SPREAD_MAX_BYTES) -> DataFrame:
-    """Round-robin a small input over ``defaultParallelism`` partitions.
-
-    A file with one row group is read by one task, so per-row CPU work (regex,
-    hashing, UDFs) runs single-threaded. Only inputs whose estimated size is
-    under ``max_bytes`` are spread; large inputs already arrive as many splits
-    and are left as they are (no extra shuffle at scale). Filters and column
-    pruning still reach the scan below the repartition.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if target <= 1 or estimated_bytes(df) > max_bytes:
-        return df
-    return df.repartition(target)
-
+# Partitions that the scan of a text table is dealt to. Unset (the default):
+# the scan's own splits, which large tables have in plenty. Tables of one row
+# group are read by one task; where CPU-heavy work follows, set this setting.
+SCAN_PARTITIONS = "spark.papertriage.scanPartitions"
 
 # Text tables whose per-row work (regex, hashing, HTML parsing) is CPU-bound.
 TEXT_TABLES = {"documents", "pages"}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """Read one parquet table. Column pruning and filters reach the scan.
-
-    Text tables are spread over all cores when small (see ``spread_small``)."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one parquet table. Column pruning and filters reach the scan."""
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
     df = reader.parquet(table_path(sf_dir, name))
-    if spread is None:
-        spread = name in TEXT_TABLES
-    return spread_small(df) if spread else df
+    n = int(spark.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(n) if n and name in TEXT_TABLES else df
 
 
 def _jvm_fs(spark: SparkSession, path: str):
@@ -85,23 +64,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     make every row look new.
     """
     if path_exists(spark, path):
+        if fmt == "csv":  # columns by header name, quoted multi-line fields
+            from .csv import read_paper_csv
+
+            return read_paper_csv(spark, path).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         return spark.read.format(fmt).schema(schema).load(path)
     return spark.createDataFrame([], schema)
-
-
-def write_table(
-    df: DataFrame,
-    path: str,
-    mode: str = "overwrite",
-    fmt: str = "parquet",
-    partition_by: list[str] | None = None,
-    **options,
-) -> None:
-    """Overwrite or append a table (A8/A9). An empty result writes an empty
-    table rather than nothing (A12, deliberate), so readers see the schema."""
-    w = df.write.mode(mode).format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    for k, v in options.items():
-        w = w.option(k, v)
-    w.save(path)

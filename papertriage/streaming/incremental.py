@@ -35,36 +35,30 @@ from ..sources.tables import path_exists
 # Partitions of the target by key hash: a micro-batch reads only the
 # partitions its own keys fall into.
 KEY_BUCKETS = 256
-# Distinct keys of one micro-batch that may be broadcast against the target.
-MAX_BROADCAST_KEYS = 1_000_000
-
 
 def key_bucket(key: str, buckets: int = KEY_BUCKETS):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
-def _append_new_batch(target_path: str, key: str, order_col: str, buckets: int, max_keys: int):
+def _append_new_batch(target_path: str, key: str, order_col: str, buckets: int):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         firsts = PP.keep_first_per_key(batch, key, order_col).select(*batch.columns)
         firsts = firsts.withColumn("key_bucket", key_bucket(key, buckets)).persist()
         try:
+            fresh = firsts
             if path_exists(spark, target_path):
-                stats = firsts.agg(
-                    F.count(F.lit(1)).alias("n"), F.collect_set("key_bucket").alias("b")
-                ).first()  # one small job; at most ``buckets`` bucket ids
-                saved = spark.read.parquet(target_path).select(key, "key_bucket")
-                saved = saved.filter(F.col("key_bucket").isin(list(stats["b"])))  # partition pruning
-                if stats["n"] <= max_keys:
-                    # the batch's keys are the small, size-checked side: the
-                    # target is streamed past them (semi join), never shuffled
-                    seen = saved.join(F.broadcast(firsts.select(key)), key, "left_semi").select(key)
-                    firsts_new = firsts.join(seen.distinct(), key, "left_anti")
-                else:
-                    firsts_new = PP.not_already_saved(firsts, saved.select(key), key)
-            else:
-                firsts_new = firsts
-            firsts_new.write.mode("append").partitionBy("key_bucket").parquet(target_path)
+                # at most ``buckets`` bucket ids; the target is read with the
+                # batch's schema, so a bare folder is an empty table
+                touched = [r[0] for r in firsts.select("key_bucket").distinct().collect()]
+                saved = spark.read.schema(firsts.schema).parquet(target_path).select(key, "key_bucket")
+                saved = saved.filter(F.col("key_bucket").isin(touched))  # partition pruning
+                # a null key is one key, so that a replay finds it again; the
+                # adaptive plan broadcasts the side that measures small
+                keys = saved.select(F.col(key).alias("_saved_key")).distinct()
+                fresh = firsts.join(keys, F.col(key).eqNullSafe(F.col("_saved_key")), "left_anti")
+            # one task per touched bucket writes one file
+            fresh.repartition("key_bucket").write.mode("append").partitionBy("key_bucket").parquet(target_path)
         finally:
             firsts.unpersist()
 
@@ -82,7 +76,6 @@ def ingest_stream(
     fmt: str = "parquet",
     available_now: bool = True,
     buckets: int = KEY_BUCKETS,
-    max_broadcast_keys: int = MAX_BROADCAST_KEYS,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the append-if-new stream from ``source_dir`` into
@@ -93,7 +86,7 @@ def ingest_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.load(source_dir)
-    fn = _append_new_batch(target_path, key, order_col, buckets, max_broadcast_keys)
+    fn = _append_new_batch(target_path, key, order_col, buckets)
     w = src.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
@@ -123,7 +116,7 @@ def pages_stream(
         order_col, key, F.col("f.title").alias("title"), F.col("f.abstract").alias("abstract")
     )
     usable = fields.filter(PP.reject_reason(F.col("title"), F.col("abstract")).isNull())
-    fn = _append_new_batch(target_path, key, order_col, buckets, MAX_BROADCAST_KEYS)
+    fn = _append_new_batch(target_path, key, order_col, buckets)
     w = usable.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
@@ -145,7 +138,7 @@ def score_stream(
     """Score each new paper once against the broadcast references and
     append the (related) rows. Stateless: no shuffle, no state store."""
     src = spark.readStream.format("parquet").schema(schema).load(source_dir)
-    scored = SC.score_papers(src, refs, cfg, emb_col=emb_col)
+    scored = SC.score_papers(src, refs, cfg, emb_col=emb_col, keep_sims=False)
     if related_only:
         scored = SC.related_only(scored)
     out = scored.select(id_col, "mean_similarity", "n_top_above", "reason")

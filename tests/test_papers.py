@@ -38,11 +38,19 @@ def test_append_new(spark):
     assert sorted(tuple(r) for r in PP.append_new(existing, new, "k").collect()) == [(1, "a"), (3, "b")]
 
 
-def test_spread_small_only_spreads_small_inputs(spark):
-    from papertriage.sources.tables import spread_small
-
-    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert spread_small(df, max_bytes=0) is df  # over the bound: untouched, no shuffle
-    spread = spread_small(df)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread.count() == df.count()
+def test_scan_partitions_is_a_setting(spark):
+    from papertriage.sources.tables import SCAN_PARTITIONS, read_table
+
+    plain = read_table(spark, "/root/testdata/sf0.001", "documents")
+    spark.conf.set(SCAN_PARTITIONS, "3")
+    try:
+        dealt = read_table(spark, "/root/testdata/sf0.001", "documents")
+    finally:
+        spark.conf.unset(SCAN_PARTITIONS)
+    assert dealt.rdd.getNumPartitions() == 3 and dealt.count() == plain.count()
+
+
+def test_rows_without_a_key_all_stay(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, ""), (4, ""), (5, None)], "paper_id long, title_key string")
+    got = PP.keep_first_nonempty(df, "title_key", "paper_id", count_col="n").collect()
+    assert sorted((r["paper_id"], r["n"]) for r in got) == [(1, 2), (3, 1), (4, 1), (5, 1)]

@@ -293,7 +293,8 @@ def predict(model: Model, batch_texts: list[str]) -> list[tuple[str, float]]:
     out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(batch_texts)
     with_letter = [i for i, t in enumerate(batch_texts) if model.langs and _LETTER.search(t)]
     if with_letter:
-        p = model.document_probabilities([batch_texts[i].encode("utf-8") for i in with_letter])
+        # rounded, so that a text's result does not depend on its neighbours in a batch
+        p = np.round(model.document_probabilities([batch_texts[i].encode("utf-8") for i in with_letter]), 4)
         for i, k, s in zip(with_letter, p.argmax(axis=1), p.max(axis=1)):
             out[i] = (model.langs[k], min(1.0, float(s)))
     return out
@@ -326,7 +327,7 @@ def identify_languages(docs: DataFrame, model: Model | None = None, id_col: str
     return rows.mapInArrow(_predictor(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.4) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.3) -> DataFrame:
     """The rows of ``docs`` in a recognised language, with all their columns:
     ``und`` goes, and so do texts whose best language has under ``min_score``."""
     model = fit(docs, id_col, text_col, lang_col) if model is None else model

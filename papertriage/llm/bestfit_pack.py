@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import worker_encoder
-from .common import cut_lineage, slices, texts
+from .common import bound_batches, cut_lineage, slices, texts
 
 CAPACITY = 2048
 TOKENIZER = "byte_bpe_50k.json"
@@ -134,13 +134,14 @@ def _cutter(tokenizer: str, capacity: int):
                     piece, start, stop = piece + 1, stop, stop + capacity
             ids_ = b.column("doc_id").take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids_, *(pa.array(c, f.type) for c, f in zip(cols, list(_PIECE_ARROW)[1:]))], schema=_PIECE_ARROW)
+        encoder.forget()
 
     return run
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, tokenizer: str = TOKENIZER) -> DataFrame:
     """Token pieces with their running number ``nth`` per (task, length)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_cutter(tokenizer, capacity), _PIECE)
 
 

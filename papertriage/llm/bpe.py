@@ -28,7 +28,7 @@ _SPLIT = re.compile(
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
 # entries in a generation of a worker's cache
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -68,6 +68,11 @@ class _Cache(dict):
         return value
 
 
+    def forget(self) -> None:
+        self._old = {}
+        self.clear()
+
+
 class _Tiered(dict):
     """A fixed table in front of a cache."""
 
@@ -123,6 +128,11 @@ class BpeEncoder:
             return array("I", self._library(text)).tobytes()
         return b"".join(map(self._ids.__getitem__, pre))
 
+    def forget(self) -> None:
+        """Empty the caches: a worker waits for its next task without them."""
+        self._ids.forget()
+        self._cached_counts.forget()
+
     def tiers(self, frequent: dict[str, int]) -> dict[str, int]:
         """Lookup of counts: the given table first, then the worker's cache."""
         return _Tiered(frequent, self._cached_counts)
@@ -137,5 +147,6 @@ class BpeEncoder:
 
 @lru_cache(maxsize=2)
 def worker_encoder(path: str) -> BpeEncoder:
-    """The worker's encoder of one file; its caches outlive a task."""
+    """The worker's encoder of one file (reading it takes longer than a task's
+    start); tasks empty its caches when they end."""
     return BpeEncoder(path)

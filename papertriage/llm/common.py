@@ -31,11 +31,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Rows that Spark hands to a Python worker at a time (Spark's default is ten
+# times as many, which whole documents make hundreds of megabytes)
+BATCH_ROWS = 1000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` where it is larger."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut into views of at most ``rows`` rows (nothing is copied)."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
+    # workers outlive a task: what it has freed goes back to the system
+    pa.default_memory_pool().release_unused()
 
 
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:

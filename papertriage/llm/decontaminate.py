@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts, whole_text
+from .common import bound_batches, slices, texts, whole_text
 
 SEED_WORDS = 5
 THRESHOLD = 0.8
@@ -188,7 +188,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     must stand in one piece. Items with equal texts are each reported, as are
     repeated rows. Empty tables give no rows; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = None
     for items in benchmark_blocks(benchmark, block_bytes=block_bytes):
         part = rows.mapInArrow(_finder(items, seed_words, threshold), _OUT)
@@ -209,5 +209,5 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", t
     """The rows of ``docs`` that leak no item, with all their columns; one
     narrow pass per benchmark block."""
     for items in benchmark_blocks(benchmark, block_bytes=block_bytes):
-        docs = docs.mapInArrow(_dropper(items, text_col, seed_words, threshold), docs.schema)
+        docs = bound_batches(docs).mapInArrow(_dropper(items, text_col, seed_words, threshold), docs.schema)
     return docs

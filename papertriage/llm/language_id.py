@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, texts
+from .common import bound_batches, slices, texts
 
 UNDETERMINED = "und"
 HIDDEN = 12
@@ -274,7 +274,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     languages give ``SAMPLE_WINDOWS`` windows each: under 10 MB on the driver,
     whatever the table's size. Rows are chosen by a hash of the identifier.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = bound_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where((fold(F.col("id")) != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
     if not sizes:
@@ -323,7 +323,7 @@ def identify_languages(docs: DataFrame, model: Model | None = None, id_col: str
     not read.
     """
     model = fit(docs, id_col, text_col, lang_col) if model is None else model
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(fold(F.col(id_col)) == 2, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
+    rows = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(fold(F.col(id_col)) == 2, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_predictor(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
@@ -337,4 +337,4 @@ def keep_identified(docs: DataFrame, model: Model | None = None, id_col: str = "
             keep = [lang != UNDETERMINED and score >= min_score for lang, score in predict(model, texts(b, text_col))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bound_batches(docs).mapInArrow(run, docs.schema)

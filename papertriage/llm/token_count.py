@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import BpeEncoder, split_safe, worker_encoder
-from .common import slices, texts, whole_text
+from .common import bound_batches, slices, texts, whole_text
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -74,6 +74,7 @@ def _counter(path_name: str, packed: tuple[str, bytes], limit: int):
                 [b.column("doc_id"), pa.array(size, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())],
                 schema=_ARROW,
             )
+        encoder.forget()
 
     return run
 
@@ -87,5 +88,5 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     through, an empty table gives no rows, other columns are not read.
     """
     packed = _pack_table(frequent_lengths(docs, public_tokenizers.path(tokenizer), text_col, sample_docs))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_counter(tokenizer, packed, limit), _OUT)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import bound_batches, cut_lineage
 
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 4 * 1024 * 1024
@@ -217,7 +217,7 @@ def write_bundles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     url has no target header. Null identifiers are responses only where no
     page of the group has one; repeated identifiers give a record each.
     """
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    src = bound_batches(pages).select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
     second = revisits(src)
     keyed = src.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")), 256))
     second = second.select(F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "refers_to")

@@ -124,7 +124,7 @@ def entropy_spans(text: str) -> list[tuple[int, int, int]]:
     out: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
         run, at = m.group(), m.start()
-        if run.isalpha() or run.isdigit():
+        if allowed(run):  # the whole candidate is ordinary text
             continue
         hot = sorted({s for c in CLASSES for s in hot_spans(run, c)})
         joined: list[tuple[int, int]] = []

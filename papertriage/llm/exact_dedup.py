@@ -28,6 +28,9 @@ from .common import cut_lineage, whole_text
 FAN_IN = 16
 KEY = ["digest", "n_bytes", "check_hash"]
 _RUN_SCHEMA = "digest binary, n_bytes int, check_hash long, run int, id_key long, n_rows long"
+_RUN_ARROW = pa.schema(
+    [("digest", pa.binary()), ("n_bytes", pa.int32()), ("check_hash", pa.int64()), ("run", pa.int32()), ("id_key", pa.int64()), ("n_rows", pa.int64())]
+)
 # identifiers are stored as id_key: the identifier itself (smallest stays) or
 # its bitwise complement (largest stays, and the order is reversed without
 # overflow), so that every fold keeps the smallest id_key
@@ -39,7 +42,7 @@ def _fold_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: pa.Table | None = None
     keys = ["run", *KEY]
     for b in batches:
-        t = pa.Table.from_batches([b])
+        t = pa.Table.from_arrays(b.columns, schema=_RUN_ARROW)
         if held is not None:
             t = pa.concat_tables([held, t])
         if t.num_rows == 0:

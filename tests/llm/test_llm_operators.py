@@ -556,3 +556,15 @@ def test_queries_read_whole_tables(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op1_license_scan", "op2_language_id", "op6_token_count", "op10_secret_scan"):
         assert queries.QUERIES[name](spark, SF).count() == n
+
+
+def test_small_arrow_batches_change_nothing(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    name = "op9_exact_dedup"
+    want = rows_of(queries.QUERIES[name](spark, SF))
+    spark.conf.set(key, "7")
+    try:
+        assert rows_of(queries.QUERIES[name](spark, SF)) == want
+    finally:
+        spark.conf.set(key, before)

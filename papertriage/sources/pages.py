@@ -12,7 +12,7 @@ Two paths:
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -20,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import py_strip, strip_label_prefix
+
 PAGE_SCHEMA = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
@@ -102,7 +104,8 @@ class PageRules:
     # container whose anchors are the listing; None = every anchor
     links_in: Selector | None = None
     strip_abstract_label: bool = False
-    extra_skip: tuple[str, ...] = field(default=())
+    # text as a browser shows it: line breaks and block elements end a line
+    rendered: bool = False
 
 
 # Selector rules of the three page layouts, plus the layout of
@@ -116,12 +119,13 @@ RULES = {
         links_in=Selector("h3", classes=("title",)),
         strip_abstract_label=True,
     ),
-    "cvf": PageRules(title=Selector(id="papertitle"), abstract=Selector(id="abstract"), links_in=Selector("dt")),
-    "eccv": PageRules(title=Selector("h1"), abstract=Selector(id="abstractExample"), links_in=Selector(id="paperlist")),
+    "cvf": PageRules(title=Selector(id="papertitle"), abstract=Selector(id="abstract"), links_in=Selector("dt"), rendered=True),
+    "eccv": PageRules(title=Selector("h1"), abstract=Selector(id="abstractExample"), links_in=Selector(id="paperlist"), rendered=True),
 }
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _RAW_SKIP = {"script", "style"}
+_LINE_END = set("br hr p div section article header footer ul ol li dl dt dd table tr h1 h2 h3 h4 h5 h6 blockquote pre".split())
 
 
 class _Extractor(HTMLParser):
@@ -144,8 +148,15 @@ class _Extractor(HTMLParser):
         if sel.matches(tag, attrs):
             self.targets[name] = {"depth": len(self.stack), "parts": [], "skip_depth": None, "sel": sel, "open": True}
 
+    def _end_line(self, tag: str) -> None:
+        if self.rules.rendered and tag in _LINE_END:
+            for t in self.targets.values():
+                if t["open"] and t["skip_depth"] is None:
+                    t["parts"].append("\n")
+
     def handle_starttag(self, tag, attrs):
         a = {k: (v or "") for k, v in attrs}
+        self._end_line(tag)
         if tag in _VOID:
             return
         self.stack.append(tag)
@@ -182,6 +193,7 @@ class _Extractor(HTMLParser):
             if top == "a" and self._anchor is not None:
                 self.links.append(("".join(self._anchor["parts"]), self._anchor["href"]))
                 self._anchor = None
+            self._end_line(top)
             if top == tag:
                 break
 
@@ -199,32 +211,23 @@ class _Extractor(HTMLParser):
 
 
 def extract_page(html: str | None, rules: PageRules) -> dict:
-    """Plain-Python extraction of one page (also the UDF's per-row step)."""
+    """Raw texts and links of one page (the UDF's per-row step)."""
     if html is None:
-        return {"title": None, "abstract": None, "links": None, "next_url": None}
+        return dict.fromkeys(PAGE_PARTS.names)
     p = _Extractor(rules)
     p.feed(html)
     p.close()
     if p._anchor is not None:
         p.links.append(("".join(p._anchor["parts"]), p._anchor["href"]))
-    title = p.text("title")
-    title = title.strip() if title is not None else None
-    inner = p.text("inner")
-    abstract = p.text("abstract")
-    if inner is not None:
-        abstract = inner.strip()
-    elif abstract is not None:
-        abstract = abstract.strip()
-        if rules.strip_abstract_label and abstract.startswith("Abstract"):
-            abstract = abstract[len("Abstract"):].strip()
     links = [{"pos": i + 1, "text": t, "href": h} for i, (t, h) in enumerate(p.links)]
-    return {"title": title, "abstract": abstract, "links": links, "next_url": p.next_url}
+    return {"title": p.text("title"), "section": p.text("abstract"), "inner": p.text("inner"), "links": links, "next_url": p.next_url}
 
 
-PAGE_FIELDS = T.StructType(
+PAGE_PARTS = T.StructType(
     [
         T.StructField("title", T.StringType()),
-        T.StructField("abstract", T.StringType()),
+        T.StructField("section", T.StringType()),
+        T.StructField("inner", T.StringType()),
         T.StructField(
             "links",
             T.ArrayType(
@@ -244,14 +247,20 @@ PAGE_FIELDS = T.StructType(
 
 def extract_fields(html: Column | str, layout: str = "generic") -> Column:
     """``struct<title, abstract, links, next_url>`` per page, parsed with
-    ``html.parser`` inside an Arrow-batched pandas UDF."""
+    ``html.parser`` inside an Arrow-batched pandas UDF; stripping and the
+    label rule (H6) are column functions on its raw texts."""
     rules = RULES[layout]
 
-    @F.pandas_udf(PAGE_FIELDS)
+    @F.pandas_udf(PAGE_PARTS)
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in batches:
-            rows = [extract_page(h, rules) for h in s]
-            yield pd.DataFrame(rows, columns=["title", "abstract", "links", "next_url"])
+            yield pd.DataFrame([extract_page(h, rules) for h in s], columns=PAGE_PARTS.names)
+
+    def clean(f: Column) -> Column:
+        section = strip_label_prefix(f["section"]) if rules.strip_abstract_label else py_strip(f["section"])
+        abstract = F.coalesce(py_strip(f["inner"]), section)
+        return F.struct(py_strip(f["title"]).alias("title"), abstract.alias("abstract"), f["links"].alias("links"), f["next_url"].alias("next_url"))
 
-    # evaluated once where written (see operators.score.similarity_struct)
-    return parse.asNondeterministic()(_c(html))
+    # evaluated once where written (see operators.score.similarity_struct): the
+    # lambda's argument, which it may read more than once
+    return F.transform(F.array(parse.asNondeterministic()(_c(html))), clean)[0]

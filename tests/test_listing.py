@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from papertriage.operators import listing as LS
-from papertriage.sources.pages import RULES, extract_page
+from papertriage.sources.pages import RULES, extract_fields, extract_page
 
 
 def test_take_while_fixture_example(spark):
@@ -50,27 +50,35 @@ def test_detail_join_rejects(spark):
     assert [(r["pos"], r["reason"]) for r in rejects.collect()] == [(2, "page not stored")]
 
 
-def test_extract_layouts():
+def test_extract_layouts(spark):
+    def extract(html, layout):
+        df = spark.createDataFrame([(html,)], "h string").select(extract_fields("h", layout).alias("f")).select("f.*")
+        return df.first().asDict(recursive=True)
+
     aaai = (
         '<h1 class="page_title"> A &amp; B </h1><section class="item abstract">'
         "<h2 class=label>Abstract</h2> The  text </section>"
     )
-    r = extract_page(aaai, RULES["aaai"])
+    r = extract(aaai, "aaai")
     assert r["title"] == "A & B" and r["abstract"] == "The  text"
-    r = extract_page('<section class="item abstract">Abstract<div> inner </div></section>', RULES["aaai"])
+    r = extract('<section class="item abstract">Abstract<div> inner </div></section>', "aaai")
     assert r["abstract"] == "inner"
     cvf = '<div id="papertitle">T</div><div id="abstract"> abs </div><dl><dt><a href="/p1">P1</a></dt></dl>'
-    r = extract_page(cvf, RULES["cvf"])
+    r = extract(cvf, "cvf")
     assert (r["title"], r["abstract"], r["links"]) == ("T", "abs", [{"pos": 1, "text": "P1", "href": "/p1"}])
-    r = extract_page('<p>x</p><a rel="next" href="/n">next</a>', RULES["generic"])
+    r = extract('<p>x</p><a rel="next" href="/n">next</a>', "generic")
     assert r["next_url"] == "/n" and r["title"] is None
-    r = extract_page('<a class="next" href="/p2">Next</a>', RULES["aaai"])
+    r = extract('<a class="next" href="/p2">Next</a>', "aaai")
     assert r["next_url"] == "/p2"
     listing = (
         '<ul class="cmp_article_list articles"><li><div class="obj_article_summary">'
         '<h3 class="title"><a href="/v/1">Paper one</a></h3><a href="/pdf/1">PDF</a></div></li></ul>'
     )
-    assert extract_page(listing, RULES["aaai"])["links"] == [{"pos": 1, "text": "Paper one", "href": "/v/1"}]
+    assert extract(listing, "aaai")["links"] == [{"pos": 1, "text": "Paper one", "href": "/v/1"}]
+    broken = '<div id="papertitle">On<br>time</div><div id="abstract">one.<br>Two<p>three</p>four <b>fi</b>ve</div>'
+    r = extract(broken, "cvf")
+    assert r["title"].split("\n") == ["On", "time"] and r["abstract"].split() == ["one.", "Two", "three", "four", "five"]
+    assert extract(None, "cvf")["abstract"] is None
 
 
 def test_next_page_fast_path(spark):
@@ -82,10 +90,9 @@ def test_next_page_fast_path(spark):
 
 def test_extract_udf_matches_python(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
-    from papertriage.sources.pages import extract_fields
 
     got = {r["page_id"]: r["f"]["title"] for r in pages.select("page_id", extract_fields("html").alias("f")).collect()}
-    exp = {r["page_id"]: extract_page(r["html"], RULES["generic"])["title"] for r in pages.collect()}
+    exp = {r["page_id"]: (extract_page(r["html"], RULES["generic"])["title"] or "").strip() or None for r in pages.collect()}
     assert got == exp
 
 

@@ -156,7 +156,7 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: st
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     for k in range(n):
-        yield [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k).collect()]
+        yield [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
 _OUT = "doc_id long, item_id long, coverage double, n_tiles int, longest_tile int"

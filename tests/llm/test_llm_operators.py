@@ -169,11 +169,11 @@ def test_gradients_agree_with_differences():
 # ---- 3 n-gram Jaccard join -------------------------------------------------
 
 
-def jaccard_brute(rows, threshold=90):
+def jaccard_brute(rows, threshold=90, n=3):
     sets = []
     for _, t in rows:
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", (t or "").translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))) if x]
-        sets.append({tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else ({tuple(w)} if w else set()))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set()))
     comp = list(range(len(rows)))
 
     def root(i):
@@ -224,6 +224,13 @@ def test_jaccard_join_near_copies(spark, monkeypatch, seed):
     assert rows_of(jaccard_join.similar_components(df)) == jaccard_brute(rows)
 
 
+def test_jaccard_join_other_parameters(spark):
+    rows = near_copies(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = rows_of(jaccard_join.similar_components(df, threshold=80, words=5))
+    assert got == jaccard_brute(rows, 80, 5) != jaccard_brute(rows)
+
+
 def test_tile_keys_meet_and_bitmaps_bound():
     rng = random.Random(5)
     similar = 0

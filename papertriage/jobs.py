@@ -5,6 +5,8 @@
   related_detailed (JSON), rejects and report tables under one output root.
 * ``notes_job``: exported submission notes -> accepted paper table.
 * ``pages_job``: stored listing/detail pages -> paper table and rejects.
+* ``collect_job``: the whole collector: listing pages -> links not yet saved ->
+  stored detail pages -> extraction -> new papers and rejects.
 
 Example::
 
@@ -16,15 +18,12 @@ Example::
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 
-import numpy as np
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import TriageConfig
-from .functions import text as TX
-from .functions import vectors as V
 from .operators import encode as EN
 from .operators import listing as LS
 from .operators import notes as NT
@@ -32,11 +31,9 @@ from .operators import papers as PP
 from .operators import report as RP
 from .operators import score as SC
 from .sources import outputs as OUT
+from .session import scratch_path
 from .sources import pages as PG
 
-Encoder = Callable[[], Callable[[list[str]], np.ndarray]]
-
-
 def _with_ids(papers: DataFrame) -> DataFrame:
     """A ``paper_id`` of its own for every row, in input order, when the input
     has none; equal rows keep distinct ids."""
@@ -45,21 +42,13 @@ def _with_ids(papers: DataFrame) -> DataFrame:
     return papers.withColumn("paper_id", F.monotonically_increasing_id())
 
 
-def _embed(df: DataFrame, encoder: Encoder | None, batch_size: int) -> DataFrame:
-    prompt = TX.prompt_text(TX.normalize_text("title"), TX.normalize_text("abstract"))
-    if encoder is None:
-        counts = df.withColumn("_counts", EN.hashing_counts(EN.token_buckets(prompt)))
-        return counts.withColumn("embedding", V.l2_normalize("_counts")).drop("_counts")
-    return df.withColumn("embedding", EN.encode_with(prompt, encoder, batch_size))
-
-
 def triage_job(
     spark: SparkSession,
     papers: DataFrame,
     refs: DataFrame,
     out_root: str,
     cfg: TriageConfig = TriageConfig(),
-    encoder: Encoder | None = None,
+    encoder: EN.Encoder | None = None,
     exclude_ref_titles: bool = False,
 ) -> dict:
     """Score every paper against the reference papers and write the outputs.
@@ -80,7 +69,7 @@ def triage_job(
         refs = refs.withColumn("ref_id", F.monotonically_increasing_id())
     # equal normalised titles are one reference before anything is encoded
     refs = SC.collapse_reference_titles(refs.select("ref_id", "title", "abstract"))
-    ref_emb = _embed(refs, encoder, cfg.batch_size)
+    ref_emb = EN.embed_papers(refs, encoder, cfg.batch_size)
     ref_set = SC.collect_reference_set(
         ref_emb.select("ref_id", "embedding", F.col("title").alias("ref_title")),
         "ref_id",
@@ -91,7 +80,7 @@ def triage_job(
     if exclude_ref_titles:
         kept = SC.exclude_reference_papers(kept, ref_set)
 
-    embedded = _embed(kept, encoder, cfg.batch_size)
+    embedded = EN.embed_papers(kept, encoder, cfg.batch_size)
     scored = SC.score_papers(embedded, ref_set, cfg)
     rejects = rejects.select(*[c for c in ("paper_id", "title", "url", "reason") if c in rejects.columns])
     return write_triage_outputs(spark, scored, ref_set, out_root, cfg, rejects=rejects)
@@ -187,3 +176,49 @@ def pages_job(
         missing.select(key, "reason")
     )
     return papers, rejects
+
+
+def collect_job(
+    spark: SparkSession,
+    listings: DataFrame,
+    pages: DataFrame,
+    saved: DataFrame,
+    layout: str = "generic",
+    listing_id: str = "listing_id",
+) -> tuple[DataFrame, DataFrame]:
+    """The collector as one batch job: (new papers ``url, title, abstract,
+    title_key, listing_id, pos``, rejects ``url, reason``).
+
+    ``listings``: ``(listing_id, html)`` stored listing pages; ``pages``:
+    ``(page_id, url, html)`` stored detail pages; ``saved``: ``(url,
+    title_key)`` of the papers already collected. Links are taken in listing
+    order (H8), a URL counts once at its first place, saved URLs are left out
+    (D1). Of several stored pages of one URL the first is read. Links without
+    stored page and pages without title or abstract are rejects (D5, C5, A14).
+    Of equal title keys the first in listing order is kept (E4) unless a saved
+    paper has it (D2); an empty key matches nothing.
+
+    Pages are extracted once, before the join: the extracted and joined rows
+    are written to the scratch folder, and both outputs read that table. Every
+    step per key is a partial aggregation or a join, so no listing, URL or
+    title key is gathered in one task.
+    """
+    links = LS.page_links(listings, listing_id).select(F.col("href").alias("url"), F.struct(listing_id, "pos").alias("place"))
+    first = links.groupBy("url").agg(F.min("place").alias("place"))
+    todo = PP.not_already_saved(first, saved, "url")
+    fields = pages.select("page_id", "url", PG.extract_fields("html", layout).alias("f")).select(
+        "page_id", "url", F.col("f.title").alias("title"), F.col("f.abstract").alias("abstract")
+    )
+    stored = PP.keep_first_per_key(fields, "url", "page_id").withColumn("_stored", F.lit(True))
+    reason = F.when(F.col("_stored").isNull(), F.lit("page not stored")).otherwise(
+        PP.reject_reason(F.col("title"), F.col("abstract"))
+    )
+    tagged = PP.with_title_key(todo.join(stored, "url", "left").withColumn("reason", reason))
+    path = scratch_path(spark, f"collect-{uuid.uuid4().hex}")
+    tagged.drop("_stored", "page_id").write.parquet(path)
+    done = spark.read.parquet(path)
+    usable = done.filter(F.col("reason").isNull()).drop("reason")
+    fresh = PP.not_already_saved(usable, saved.filter("title_key <> ''"), "title_key")
+    kept = PP.keep_first_nonempty(fresh, "title_key", "place")
+    papers = kept.select("url", "title", "abstract", "title_key", f"place.{listing_id}", "place.pos")
+    return papers, done.filter(F.col("reason").isNotNull()).select("url", "reason")

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,22 +93,14 @@ def encode_with(
     return encode.asNondeterministic()(_c(text))  # see score.similarity_struct
 
 
-def hashing_encoder_factory(dim: int = HASH_DIM) -> Callable[[], Callable[[list[str]], np.ndarray]]:
-    """The hashing encoder as a batch encoder for ``encode_with``, applied to
-    already normalised text (``functions.text.normalize_text`` in Spark):
-    split on single spaces, bucket each token by md5, count."""
+Encoder = Callable[[], Callable[[list[str]], np.ndarray]]
 
-    def make():
-        import hashlib
 
-        def enc(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for i, t in enumerate(texts):
-                for tok in t.split(" "):
-                    if tok:
-                        out[i, int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:4], 16) % dim] += 1
-            return out
-
-        return enc
-
-    return make
+def embed_papers(papers: DataFrame, encoder: Encoder | None = None, batch_size: int = 64) -> DataFrame:
+    """Add ``embedding``: the encoded prompt of normalised title and abstract.
+    Without ``encoder`` the hashing encoder is used."""
+    prompt = TX.prompt_text(TX.normalize_text("title"), TX.normalize_text("abstract"))
+    if encoder is None:
+        counts = papers.withColumn("_counts", hashing_counts(token_buckets(prompt)))
+        return counts.withColumn("embedding", V.l2_normalize("_counts")).drop("_counts")
+    return papers.withColumn("embedding", encode_with(prompt, encoder, batch_size))

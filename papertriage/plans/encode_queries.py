@@ -3,6 +3,7 @@ the end-to-end triage of documents (normalise -> prompt -> encode -> score)."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,46 @@ def encode_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+BYTE_DIM = 64
+TOP_BUCKETS = 5
+
+
+def byte_encoder():
+    """A model for ``encode_with``: counts of the UTF-8 bytes modulo ``BYTE_DIM``."""
+
+    def encode(texts: list[str]) -> np.ndarray:
+        data = [np.frombuffer(t.encode("utf-8"), np.uint8) for t in texts]
+        row = np.repeat(np.arange(len(data)), [len(d) for d in data])
+        flat = np.concatenate(data).astype(np.int64) % BYTE_DIM
+        return np.bincount(row * BYTE_DIM + flat, minlength=len(data) * BYTE_DIM).reshape(-1, BYTE_DIM)
+
+    return encode
+
+
+@query(
+    "encode_with_batches",
+    f"""WITH h AS (SELECT doc_id, unnest(regexp_extract_all(hex(encode(text)), '..')) AS h FROM documents),
+p AS (SELECT doc_id, h, count(*) AS n FROM h GROUP BY ALL),
+b AS (SELECT doc_id, CAST('0x' || h AS INTEGER) % {BYTE_DIM} AS bucket, sum(n) AS n FROM p GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, bucket) AS k FROM b)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_buckets,
+       string_agg(CAST(bucket AS VARCHAR), ',' ORDER BY k) FILTER (k <= {TOP_BUCKETS}) AS top_buckets, 1.0::DOUBLE AS norm
+FROM r GROUP BY doc_id""",
+    "J1 E9 (a batch encoder through encode_with over every whole document)",
+)
+def encode_with_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").filter(F.length("text") > 0)
+    e = docs.select("doc_id", EN.encode_with("text", byte_encoder, batch_size=64).alias("e"))
+    filled = F.filter(F.transform("e", lambda x, i: F.struct((-x).alias("x"), i.alias("i"))), lambda s: s["x"] < 0)
+    top = F.slice(F.array_sort(filled), 1, TOP_BUCKETS)
+    return e.select(
+        "doc_id",
+        F.size(filled).cast("bigint").alias("n_buckets"),
+        F.array_join(F.transform(top, lambda s: s["i"].cast("string")), ",").alias("top_buckets"),
+        F.round(F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))), 4).alias("norm"),
+    )
+
+
 # Hashing-encoder thresholds: lexical similarity of whole prompts is high for
 # every pair, so the cut-offs sit far above the neural-model fixture ones.
 HASH_CFG = TriageConfig(similarity_threshold=0.75, top_k=3, min_top_papers=2, individual_sim_threshold=0.85)

@@ -3,12 +3,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
 from ..operators import notes as NT
-from ..sources.notes import TEST_VENUES, notes_from_documents
+from ..session import scratch_path
+from ..sources.notes import TEST_VENUES, notes_from_documents, read_notes
 from ..sources.tables import read_table
 from .registry import query
 
@@ -51,6 +54,17 @@ def note_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(spark, sf_dir).select("id", "venue", "decision", "url")
 
 
+@query(
+    "note_scan",
+    _NOTES_SQL + "\nSELECT id, title, abstract, venue, decision, url FROM f",
+    "A4 B4 (JSON note dump written from documents and scanned with the nested schema)",
+)
+def note_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, f"notes-{uuid.uuid4().hex}")
+    notes_from_documents(read_table(spark, sf_dir, "documents")).select("id", "content").write.json(path)
+    return NT.flatten_notes(read_notes(spark, path)).select("id", "title", "abstract", "venue", "decision", "url")
+
+
 @query(
     "accepted_only",
     _NOTES_SQL + "\nSELECT title, abstract, url FROM f WHERE contains(decision, 'Accepted')",

@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..jobs import collect_job
 from ..operators import listing as LS
+from ..operators import papers as PP
 from ..sources import pages as PG
 from ..sources.tables import read_table
 from . import sqlfrag as S
@@ -123,6 +125,79 @@ def listing_detail_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- the collector, on listing pages derived from pages -----------------------
+
+LINKS_PER_LISTING = 20
+
+# Stored detail pages of the collector queries: some have lost their content.
+STORED_CTE = f"""WITH pages_ AS (
+  SELECT page_id, url, CASE WHEN page_id % 9 = 4 THEN regexp_replace(html, '(?s)<article.*</article>', '') ELSE html END AS html
+  FROM pages),
+f AS (SELECT page_id, url, {PAGE_TITLE_SQL} AS title, {PAGE_ABSTRACT_SQL} AS abstract FROM pages_)"""
+
+
+def stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = F.regexp_replace("html", "(?s)<article.*</article>", "")
+    html = F.when(F.col("page_id") % 9 == 4, cut).otherwise(F.col("html")).alias("html")
+    return _pages(spark, sf_dir).select("page_id", "url", html)
+
+
+def listing_pages(pages: DataFrame) -> DataFrame:
+    """Listing pages ``(listing_id, html)``: ``LINKS_PER_LISTING`` entries each;
+    some entries link to a page's address without query and fragment, some
+    are there twice."""
+    pid = F.col("page_id")
+    href = F.when(pid % 7 == 3, F.regexp_replace("url", r"[?#].*$", "")).otherwise(F.col("url"))
+    entry = F.concat(F.lit('<dt class="ptitle"><a class="link" href="'), href, F.lit('"><b>paper</b> '), pid.cast("string"), F.lit("</a></dt>"))
+    entry = F.when(pid % 5 == 0, F.concat(entry, entry)).otherwise(entry)
+    # at most LINKS_PER_LISTING rows of a group by its definition
+    entries = F.transform(F.array_sort(F.collect_list(F.struct(pid, entry.alias("e")))), lambda x: x["e"])
+    groups = pages.groupBy(F.expr(f"page_id div {LINKS_PER_LISTING}").alias("listing_id"))
+    return groups.agg(F.concat(F.lit("<html><body><dl>"), F.array_join(entries, "\n"), F.lit("</dl></body></html>")).alias("html"))
+
+
+_COLLECT_SQL = (
+    STORED_CTE
+    + f""",
+k AS (SELECT *, {S.title_key('title')} AS title_key FROM f),
+saved AS (SELECT url, title_key FROM k WHERE page_id % 10 = 0 AND title <> '' AND abstract <> ''),
+entry AS (SELECT page_id AS place, CASE WHEN page_id % 7 = 3 THEN regexp_replace(url, '[?#].*$', '') ELSE url END AS url FROM pages),
+todo AS (SELECT url, min(place) AS place FROM entry WHERE url NOT IN (SELECT url FROM saved) GROUP BY url),
+one AS (SELECT * FROM k WHERE page_id = (SELECT min(o.page_id) FROM k o WHERE o.url = k.url)),
+done AS (
+  SELECT t.url, t.place, title, abstract, title_key,
+         CASE WHEN one.url IS NULL THEN 'page not stored' WHEN title = '' THEN 'missing title'
+              WHEN abstract = '' THEN 'missing abstract' END AS reason
+  FROM todo t LEFT JOIN one ON one.url = t.url),
+fresh AS (SELECT * FROM done WHERE reason IS NULL AND (title_key = '' OR title_key NOT IN (SELECT title_key FROM saved)))"""
+)
+
+
+def _collected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    pages = stored_pages(spark, sf_dir)
+    f = pages.filter(F.col("page_id") % 10 == 0).select("url", PG.extract_fields("html", "generic").alias("f"))
+    f = f.select("url", "f.title", "f.abstract").filter("title <> '' AND abstract <> ''")
+    saved = PP.with_title_key(f).select("url", "title_key")
+    return collect_job(spark, listing_pages(_pages(spark, sf_dir)), pages, saved)
+
+
+@query(
+    "collect_pages",
+    _COLLECT_SQL
+    + """
+SELECT url, title, abstract FROM fresh a
+WHERE title_key = '' OR place = (SELECT min(b.place) FROM fresh b WHERE b.title_key = a.title_key)""",
+    "H8 D1 D5 J2 C5 E4 D2 (the collector: listing pages -> links -> stored pages -> new papers)",
+)
+def collect_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collected(spark, sf_dir)[0].select("url", "title", "abstract")
+
+
+@query("collect_rejects", _COLLECT_SQL + "\nSELECT url, reason FROM done WHERE reason IS NOT NULL", "A14 D5 C5 (rejects of the collector)")
+def collect_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _collected(spark, sf_dir)[1]
+
+
 # --- issue archive derived from pages ----------------------------------------
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import papers as PP
+from ..operators import score as SC
 from ..session import scratch_path
 from ..streaming import incremental as INC
+from . import encode_queries as EQ
 from . import scoring as SQ
 from . import sqlfrag as S
 from .registry import query
@@ -94,3 +96,46 @@ def incremental_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages.write.parquet(f"{src}/drop=2")
     run()
     return spark.read.parquet(target).select("page_id", "url", "title", "abstract")
+
+
+@query(
+    "incremental_triage",
+    EQ._TRIAGE_SQL,
+    "I2 J1 B2 C5 (paper text file stream -> prompts -> encoder -> scores, references encoded once)",
+)
+def incremental_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    papers = PP.papers_from_documents(docs, S.URL_PREFIX).select("paper_id", "title", "abstract", "lang")
+    refs = SC.collect_reference_set(
+        EQ.encoded_papers(spark, sf_dir, refs_only=True), "paper_id", "embedding", max_bytes=EQ.HASH_CFG.max_reference_bytes
+    )
+    root = scratch_path(spark, f"triage-{uuid.uuid4().hex}")
+    src, sink, ckpt = f"{root}/incoming", f"{root}/related", f"{root}/_checkpoint"
+    english = F.col("lang").eqNullSafe("en")
+    for k, drop in enumerate((papers.filter(english), papers.filter(~english)), 1):
+        drop.write.parquet(f"{src}/drop={k}")
+        INC.run_to_end(INC.triage_stream(spark, src, papers.schema, refs, EQ.HASH_CFG, sink, ckpt))
+    return spark.read.parquet(sink).select(
+        "paper_id",
+        F.round("mean_similarity", 6).alias("mean_similarity"),
+        F.col("n_top_above").cast("bigint").alias("n_top_above"),
+        "reason",
+    )
+
+
+@query(
+    "incremental_rejects",
+    PQ.STORED_CTE + """
+SELECT page_id, url, CASE WHEN title = '' THEN 'missing title' ELSE 'missing abstract' END AS reason
+FROM f WHERE title = '' OR abstract = ''""",
+    "I1 A14 (stored-page file stream: unusable pages to the rejects table, once per URL)",
+)
+def incremental_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = PQ.stored_pages(spark, sf_dir)
+    root = scratch_path(spark, f"rejects-{uuid.uuid4().hex}")
+    src, target, rejects, ckpt = (f"{root}/{x}" for x in ("incoming", "papers", "rejects", "_checkpoint"))
+    # first drop: the English pages; second drop: a re-crawl of every page
+    for k, drop in enumerate((pages.filter(F.col("url").contains("/en/")), pages), 1):
+        drop.write.parquet(f"{src}/drop={k}")
+        INC.run_to_end(INC.pages_stream(spark, src, target, ckpt, buckets=8, rejects_path=rejects))
+    return spark.read.parquet(rejects).select("page_id", "url", "reason")

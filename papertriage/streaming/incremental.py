@@ -15,7 +15,8 @@ broadcast keys (a size-checked semi join), so the growing target is never
 shuffled.
 
 ``score_stream``: a file source of embedded papers -> stateless broadcast
-scoring (the Arrow block product) -> append of scored rows.
+scoring (the Arrow block product) -> append of scored rows. ``triage_stream``
+does the same from texts: usable papers are encoded in the stream.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import TriageConfig
+from ..operators import encode as EN
 from ..operators import papers as PP
 from ..operators import score as SC
 from ..sources import pages as PG
@@ -103,11 +105,13 @@ def pages_stream(
     available_now: bool = True,
     buckets: int = KEY_BUCKETS,
     max_files_per_trigger: int | None = None,
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """I1 for the page collectors: stored pages ``(page_id, url, html)``
     arriving as files -> field extraction (J2) -> usable rows (C5) ->
     append-if-new by ``key`` (D1) into ``target_path``. Rows without a usable
-    title and abstract never reach the target."""
+    title and abstract never reach the target; with ``rejects_path`` they are
+    appended there, once per ``key``, with their reason (A14)."""
     reader = spark.readStream.format("parquet").schema(PG.PAGE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -115,9 +119,20 @@ def pages_stream(
     fields = src.select(order_col, key, PG.extract_fields("html", layout).alias("f")).select(
         order_col, key, F.col("f.title").alias("title"), F.col("f.abstract").alias("abstract")
     )
-    usable = fields.filter(PP.reject_reason(F.col("title"), F.col("abstract")).isNull())
-    fn = _append_new_batch(target_path, key, order_col, buckets)
-    w = usable.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_path)
+    tagged = fields.withColumn("reason", PP.reject_reason(F.col("title"), F.col("abstract")))
+    keep = _append_new_batch(target_path, key, order_col, buckets)
+    reject = _append_new_batch(rejects_path, key, order_col, buckets) if rejects_path else None
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.persist()  # the pages are extracted once for both tables
+        try:
+            keep(batch.filter(F.col("reason").isNull()).drop("reason"), epoch_id)
+            if reject:
+                reject(batch.filter(F.col("reason").isNotNull()).select(order_col, key, "reason"), epoch_id)
+        finally:
+            batch.unpersist()
+
+    w = tagged.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
@@ -138,6 +153,42 @@ def score_stream(
     """Score each new paper once against the broadcast references and
     append the (related) rows. Stateless: no shuffle, no state store."""
     src = spark.readStream.format("parquet").schema(schema).load(source_dir)
+    return _score_rows(src, refs, cfg, sink_path, checkpoint_path, id_col, emb_col, related_only, available_now)
+
+
+def triage_stream(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType,
+    refs: SC.ReferenceSet,
+    cfg: TriageConfig,
+    sink_path: str,
+    checkpoint_path: str,
+    encoder: EN.Encoder | None = None,
+    id_col: str = "paper_id",
+    related_only: bool = True,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """I2 from texts: papers ``(paper_id, title, abstract)`` arriving as files
+    -> usable rows (C5) -> prompt and encoder (B2, J1) -> scores -> append.
+    The references are encoded once, before the stream starts."""
+    src = spark.readStream.format("parquet").schema(schema).load(source_dir)
+    kept, _ = PP.split_usable(src)
+    embedded = EN.embed_papers(kept, encoder, cfg.batch_size)
+    return _score_rows(embedded, refs, cfg, sink_path, checkpoint_path, id_col, "embedding", related_only, available_now)
+
+
+def _score_rows(
+    src: DataFrame,
+    refs: SC.ReferenceSet,
+    cfg: TriageConfig,
+    sink_path: str,
+    checkpoint_path: str,
+    id_col: str,
+    emb_col: str,
+    related_only: bool,
+    available_now: bool,
+) -> StreamingQuery:
     scored = SC.score_papers(src, refs, cfg, emb_col=emb_col, keep_sims=False)
     if related_only:
         scored = SC.related_only(scored)
@@ -152,4 +203,3 @@ def run_to_end(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-

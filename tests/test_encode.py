@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -5,11 +7,27 @@ from papertriage.functions.text import normalize_text
 from papertriage.operators import encode as EN
 
 
+def hashing_encoder(dim=EN.HASH_DIM):
+    """The hashing encoder as a batch encoder over normalised texts."""
+
+    def make():
+        def enc(texts):
+            out = np.zeros((len(texts), dim), dtype=np.float32)
+            for i, t in enumerate(texts):
+                for tok in filter(None, t.split(" ")):
+                    out[i, int(hashlib.md5(tok.encode("utf-8")).hexdigest()[:4], 16) % dim] += 1
+            return out
+
+        return enc
+
+    return make
+
+
 def test_hashing_jvm_path_equals_python_encoder(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     jvm = EN.hashing_embedding(docs, "text").select("doc_id", "embedding")
     normalised = docs.select("doc_id", normalize_text("text").alias("t"))
-    py = normalised.select("doc_id", EN.encode_with("t", EN.hashing_encoder_factory(), batch_size=64).alias("embedding"))
+    py = normalised.select("doc_id", EN.encode_with("t", hashing_encoder(), batch_size=64).alias("embedding"))
     a = {r["doc_id"]: np.array(r["embedding"]) for r in jvm.collect()}
     b = {r["doc_id"]: np.array(r["embedding"]) for r in py.collect()}
     assert a.keys() == b.keys()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from papertriage import jobs
 from papertriage.functions.text import normalize_text
+from papertriage.operators import encode as EN
 from papertriage.operators import papers as PP
 from papertriage.operators import score as SC
 from papertriage.plans.encode_queries import HASH_CFG, encoded_papers
@@ -22,7 +23,7 @@ def collapsed_related(spark, refs):
         first[2] = r["abstract"]
     assert len(by_title) < refs.count()  # the table has such references
     rows = spark.createDataFrame([tuple(v) for v in by_title.values()], "ref_id long, title string, abstract string")
-    ref_set = SC.collect_reference_set(jobs._embed(rows, None, 32), "ref_id", "embedding")
+    ref_set = SC.collect_reference_set(EN.embed_papers(rows, None, 32), "ref_id", "embedding")
     return SC.related_only(SC.score_papers(encoded_papers(spark, SF), ref_set, HASH_CFG))
 
 

@@ -29,8 +29,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by shingle similarity one stays."""
-    return jaccard_join.keep_representatives(docs)
+    """Of each group of documents linked by similarity (80 percent of their
+    shingles of five words, the rule of the stages) one stays."""
+    return jaccard_join.keep_representatives(docs, threshold=80, words=5)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

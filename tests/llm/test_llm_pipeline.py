@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from test_llm_operators import EDGE, frame, jaccard_brute
 
-from papertriage.llm import decontaminate, language_id
+from papertriage.llm import decontaminate, exact_dedup, language_id
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,6 +43,19 @@ def test_stages_on_given_documents(spark):
         docs = out
 
 
+def test_near_copy_stage_takes_five_words_and_80_percent(spark):
+    docs = exact_dedup.drop_exact_duplicates(spark.read.parquet(f"{SF}/documents.parquet")).cache()
+    before = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    out = P.drop_near_copies(spark, docs, SF).cache()
+    want, narrow = ({i for i, _, c in jaccard_brute(before, *rule) if i == c} for rule in ((80, 5), (90, 3)))
+    assert out.columns == docs.columns
+    assert {r["doc_id"] for r in out.collect()} == want != narrow
+    bench = decontaminate.BenchmarkIndex([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+    clean = P.drop_benchmark_leaks(spark, out, SF).cache()
+    assert {r["doc_id"] for r in clean.collect()} == {i for i, t in before if i in want and not bench.leaks(t)}
+    assert {r["doc_id"] for r in P.pack_sequences(spark, clean, SF).collect()} == {r["doc_id"] for r in clean.collect()}
+
+
 def test_run_on_edge_cases(spark, tmp_path):
     rows = EDGE + [(20, "It is the same long text of many words, told twice."), (21, "It is the same long text of many words, told twice.")]
     frame(spark, rows).withColumn("lang", F.lit("en")).drop("length", "piece", "rank", "task", "nth").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")

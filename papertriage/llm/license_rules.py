@@ -103,7 +103,7 @@ cc-by-nd | cc by | cc by nd(?: [1-4] [05])?
 cc-by-3.0 | cc by | cc by 3 0
 cc-by-4.0 | cc by | cc by 4 0
 cc0-1.0 | cc0 | cc0(?: 1 0)?(?: universal)?
-cc0-1.0 | public domain dedication | creative commons (?:zero|public domain dedication)
+cc0-1.0 | creative commons | creative commons (?:zero|public domain dedication)
 mpl | mozilla | mozilla public licen[cs]e
 mpl-1.0 | mozilla | mozilla public licen[cs]e (?:version |v ?)?1 0
 mpl-1.1 | mozilla | mozilla public licen[cs]e (?:version |v ?)?1 1
@@ -174,8 +174,9 @@ hpnd | historical permission | historical permission notice and disclaimer
 cecill | cecill | cecill(?: [bc])?(?: licen[cs]e)?
 mulan-psl-2.0 | mulan | mulan permissive software licen[cs]e(?: (?:version |v ?)?2)?
 blueoak-1.0.0 | blue oak | blue oak model licen[cs]e(?: 1 0 0)?
-openrail | openrail | (?:creativeml )?open ?rail(?: [mads])?(?: licen[cs]e)?
-llama-community | community license | llama [234](?: [123])? community licen[cs]e
+openrail | openrail | (?:creativeml )?openrail(?: [mads])?(?: licen[cs]e)?
+openrail | open rail | (?:creativeml )?open rail(?: [mads])?(?: licen[cs]e)?
+llama-community | llama | llama [234](?: [123])? community licen[cs]e
 """
 
 # label | keyword | weight | regex: families and phrases (priority 1)

@@ -4,6 +4,7 @@ columns whose names clash with the operator's own."""
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -118,6 +119,44 @@ def test_license_scan(spark, edge, docs):
     assert got == sorted(((i, *license_brute(t, table)) for i, t in pairs(src)), key=repr)
 
 
+def expansions(parsed):
+    """All texts that a parsed regex of bounded repeats matches."""
+    out = {""}
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = {chr(arg)}
+        elif name == "IN":
+            more = {chr(c) for kind, v in arg for c in ([v] if str(kind) == "LITERAL" else range(v[0], v[1] + 1))}
+        elif name == "SUBPATTERN":
+            more = expansions(arg[-1])
+        elif name == "BRANCH":
+            more = set().union(*map(expansions, arg[1]))
+        else:
+            assert name == "MAX_REPEAT", name
+            once = expansions(arg[2])
+            more = {"".join(x) for n in range(arg[0], int(arg[1]) + 1) for x in itertools.product(once, repeat=n)}
+        out = {a + b for a in out for b in more}
+    return out
+
+
+def test_license_keywords_stand_in_every_match():
+    table = rules()
+    gate = license_scan.gate_literals(table)
+    for r in table:
+        for t in expansions(re._parser.parse(r.regex)):
+            assert re.fullmatch(r.regex, t)
+            assert r.keyword in t and any(k in t for k in gate), (r, t)
+
+
+def test_license_rules_with_two_wordings(spark):
+    texts = ["under Creative Commons Zero", "the Open RAIL-M license", "CreativeML Open RAIL", "Llama 3.1 Community Licence", "CreativeML OpenRAIL-M", "Llama 2 Community License"]
+    src = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = rows_of(license_scan.scan_licenses(src))
+    assert [(r[6], r[7]) for r in got] == [("cc0-1.0", 0.9), ("openrail", 0.9), ("openrail", 0.9), ("llama-community", 0.9), ("openrail", 0.9), ("llama-community", 0.9)]
+    assert got == [(i, *license_brute(t, rules())) for i, t in enumerate(texts)]
+
+
 # ---- 2 language ID ---------------------------------------------------------
 
 

@@ -270,6 +270,16 @@ def test_jaccard_join_other_parameters(spark):
     assert got == jaccard_brute(rows, 80, 5) != jaccard_brute(rows)
 
 
+def test_jaccard_join_keeps_each_group_of_a_repeated_doc_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (9, a + " more"), (5, b), (5, b + " more"), (3, c), (5, c + " more"), (7, "!"), (8, " "), (8, "  "), (5, a)]
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        kept = rows_of(jaccard_join.keep_representatives(df))
+        smallest = min(b, b + " more", key=lambda t: hashlib.sha256(t.encode()).digest())
+        assert kept == sorted([(5, a), (5, smallest), (3, c), (7, "!"), (8, " "), (8, "  ")], key=repr)
+
+
 def test_tile_keys_meet_and_bitmaps_bound():
     rng = random.Random(5)
     similar = 0

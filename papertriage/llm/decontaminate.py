@@ -7,8 +7,9 @@ marked first and may not overlap, and the length is lowered until it is the
 seed length. An item is leaked when marked words cover at least ``threshold``
 of it, wherever in the document and in whatever order its passages stand.
 
-The benchmark is read in blocks of bounded size; a block's seed table goes to
-every task (its size is checked against ``BLOCK_BYTES``) and the documents are
+The benchmark's distinct items are read in blocks of bounded size, measured
+against ``BLOCK_BYTES`` before a block is collected (an item is not cut, so one
+above it makes a larger block); a block's seed table goes to every task and the documents are
 passed over once per block, so a benchmark of any size is handled and nothing
 of the documents is exchanged.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, slices, texts, whole_text
+from .common import bound_batches, cut_lineage, slices, texts, whole_text
 
 SEED_WORDS = 5
 THRESHOLD = 0.8
@@ -150,28 +151,41 @@ class BenchmarkIndex:
         return sorted(out)
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_bytes`` of text, one at a time."""
-    items = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("item_id"), whole_text(text_col).alias("text"))
+def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, named: bool = True) -> Iterator[list[tuple[int, str, int]]]:
+    """Distinct (item_id, text, number of rows) in blocks of at most
+    ``block_bytes`` of text, one at a time. Rows without an identifier are left
+    out; with ``named=False`` identifiers are not read and texts are distinct."""
+    if named:
+        items = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("item_id"), whole_text(text_col).alias("text"))
+    else:
+        items = benchmark.select(F.lit(0).cast("long").alias("item_id"), whole_text(text_col).alias("text"))
+    items = cut_lineage(items.groupBy("item_id", "text").agg(F.count("*").alias("n_rows")))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    for k in range(n):
-        yield [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
+    bucket = F.pmod(F.xxhash64("item_id", "text"), F.lit(16 * max(1, -(-total // block_bytes))))
+    # neighbouring buckets are joined up to the bound
+    blocks: list[list[int]] = []  # first bucket, last bucket, bytes
+    for k, size in items.groupBy(bucket.alias("k")).agg(F.sum(F.octet_length("text"))).orderBy("k").collect():
+        if blocks and blocks[-1][2] + size <= block_bytes:
+            blocks[-1][1:] = k, blocks[-1][2] + size
+        else:
+            blocks.append([k, k, size])
+    for first, last, _ in blocks or [[0, 0, 0]]:
+        yield [(r["item_id"], r["text"], r["n_rows"]) for r in items.where(bucket.between(first, last)).collect()]
 
 
-_OUT = "doc_id long, item_id long, coverage double, n_tiles int, longest_tile int"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int32()), ("longest_tile", pa.int32())])
+_OUT = "doc_id long, item_id long, coverage double, n_tiles int, longest_tile int, n_rows long"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int32()), ("longest_tile", pa.int32()), ("n_rows", pa.int64())])
 
 
-def _finder(items: list[tuple[int, str]], seed_words: int, threshold: float):
+def _finder(items: list[tuple[int, str, int]], seed_words: int, threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = BenchmarkIndex(items, seed_words, threshold)
+        index = BenchmarkIndex([(k, text) for k, (_, text, _) in enumerate(items)], seed_words, threshold)
         for b in slices(batches):
-            row, cols = [], [[], [], [], []]
+            row, cols = [], [[], [], [], [], []]
             for at, t in enumerate(texts(b, "text")):
-                for leak in index.leaks(t):
+                for k, *leak in index.leaks(t):
                     row.append(at)
-                    for c, v in zip(cols, leak):
+                    for c, v in zip(cols, (items[k][0], *leak, items[k][2])):
                         c.append(v)
             ids = b.column("doc_id").take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, f.type) for c, f in zip(cols, list(_ARROW)[1:]))], schema=_ARROW)
@@ -193,12 +207,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     for items in benchmark_blocks(benchmark, block_bytes=block_bytes):
         part = rows.mapInArrow(_finder(items, seed_words, threshold), _OUT)
         out = part if out is None else out.unionByName(part)
-    return out
+    # a repeated benchmark row is compared once and reported as often as it stands
+    return out.withColumn("n_rows", F.explode(F.sequence(F.lit(1).cast("long"), "n_rows"))).drop("n_rows")
 
 
-def _dropper(items: list[tuple[int, str]], text_col: str, seed_words: int, threshold: float):
+def _dropper(items: list[tuple[int, str, int]], text_col: str, seed_words: int, threshold: float):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = BenchmarkIndex(items, seed_words, threshold)
+        index = BenchmarkIndex([(k, text) for k, text, _ in items], seed_words, threshold)
         for b in slices(batches):
             yield b.filter(pa.array([not index.leaks(t) for t in texts(b, text_col)], pa.bool_()))
 
@@ -207,7 +222,7 @@ def _dropper(items: list[tuple[int, str]], text_col: str, seed_words: int, thres
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, seed_words: int = SEED_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns; one
-    narrow pass per benchmark block."""
-    for items in benchmark_blocks(benchmark, block_bytes=block_bytes):
+    narrow pass per benchmark block. Items without an identifier count too."""
+    for items in benchmark_blocks(benchmark, block_bytes=block_bytes, named=False):
         docs = bound_batches(docs).mapInArrow(_dropper(items, text_col, seed_words, threshold), docs.schema)
     return docs

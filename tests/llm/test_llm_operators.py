@@ -375,6 +375,18 @@ def test_decontaminate(spark, edge):
     assert decontaminate.find_leaks(edge, bench).collect() == []
 
 
+def test_decontaminate_reads_each_benchmark_text_once(spark):
+    bench = spark.createDataFrame([(None, "un deux trois quatre cinq six")] + [(1, "one two three four five six seven")] * 50 + [(2, "one two three four five six seven"), (3, "a b c d e f g")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x un deux trois quatre cinq six y"), (2, "one two three four five six seven"), (3, "clean")], "doc_id long, text string")
+    for size in (decontaminate.BLOCK_BYTES, 40):
+        assert [r["doc_id"] for r in decontaminate.drop_leaked(docs, bench, block_bytes=size).collect()] == [3]
+        got = rows_of(decontaminate.find_leaks(docs, bench, block_bytes=size).select("doc_id", "item_id"))
+        assert got == [(2, 1)] * 50 + [(2, 2)]
+        blocks = list(decontaminate.benchmark_blocks(bench, block_bytes=size))
+        assert sorted(x[::2] for b in blocks for x in b) == [(1, 50), (2, 1), (3, 1)]
+        assert all(sum(len(x[1]) for x in b) <= size for b in blocks)
+
+
 # ---- 5 packing and 6 token counts ------------------------------------------
 
 

@@ -83,7 +83,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def merge_runs(rows: DataFrame, n_runs: int, keep: str = "largest", fan_in: int = FAN_IN) -> DataFrame:
-    """One row (KEY, keep_id, group_size) per distinct digest, by binomial rounds."""
+    """One row (KEY, keep_id, group_size) per distinct digest, by rounds of ``fan_in`` runs."""
     if keep not in ("largest", "smallest"):
         raise ValueError("keep must be 'largest' or 'smallest'")
     flip = (lambda c: F.bitwise_not(c)) if keep == "largest" else (lambda c: c)

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_repair, exact_dedup, jaccard_join, url_filter, warc
+from . import conversation_repair, exact_dedup, jaccard_join, lexical_search, url_filter, warc
 from .bestfit_pack import pack_documents
 from .common import read
 from .decontaminate import find_leaks
@@ -60,13 +60,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(read(spark, sf_dir, "conversations"))
 
 
 _ALL = (
     op1_license_scan, op2_language_id, op3_jaccard_join, op4_decontaminate, op5_bestfit_pack,
-    op6_token_count, op7_warc, op8_url_filter, op9_exact_dedup, op10_secret_scan, op13_conversation_repair,
+    op6_token_count, op7_warc, op8_url_filter, op9_exact_dedup, op10_secret_scan, op11_lexical_search, op13_conversation_repair,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {
@@ -74,5 +78,6 @@ SQL: dict[str, str] = {
     "op7_warc": warc.SQL,
     "op8_url_filter": url_filter.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_lexical_search": lexical_search.SQL,
     "op13_conversation_repair": conversation_repair.SQL,
 }

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_repair, exact_dedup, jaccard_join, lexical_search, url_filter, warc
+from . import conversation_repair, exact_dedup, jaccard_join, lexical_search, suffix_dedup, url_filter, warc
 from .bestfit_pack import pack_documents
 from .common import read
 from .decontaminate import find_leaks
@@ -64,13 +64,17 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeat_digests(read(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(read(spark, sf_dir, "conversations"))
 
 
 _ALL = (
     op1_license_scan, op2_language_id, op3_jaccard_join, op4_decontaminate, op5_bestfit_pack,
-    op6_token_count, op7_warc, op8_url_filter, op9_exact_dedup, op10_secret_scan, op11_lexical_search, op13_conversation_repair,
+    op6_token_count, op7_warc, op8_url_filter, op9_exact_dedup, op10_secret_scan, op11_lexical_search, op12_suffix_dedup, op13_conversation_repair,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {
@@ -79,5 +83,6 @@ SQL: dict[str, str] = {
     "op8_url_filter": url_filter.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op11_lexical_search": lexical_search.SQL,
+    "op12_suffix_dedup": suffix_dedup.SQL,
     "op13_conversation_repair": conversation_repair.SQL,
 }

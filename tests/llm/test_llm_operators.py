@@ -601,7 +601,8 @@ def test_secret_scan(spark, edge, docs):
             assert any(set(joined.split(",")) - {""} <= set(r["spans"].split(",")) for r in out if r["doc_id"] == i)
         assert sorted((r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in out if r["doc_id"] == i) == sorted(want)
     spans = {r["doc_id"]: r["spans"] for r in out}
-    assert spans[100_002] == f"entropy:6:{6 + len(key)}" and not any(spans[k] for k in (100_005, 100_006, 100_007))
+    assert spans[100_002] == f"entropy:6:{6 + len(key)}" and not any(spans[k] for k in (100_005, 100_006))
+    assert spans[100_007] == "hex:0:26"  # a base span, digits alone are no entropy span
 
 
 # ---- registered queries ----------------------------------------------------
@@ -610,7 +611,7 @@ def test_secret_scan(spark, edge, docs):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     res = con.sql(queries.SQL[name])
@@ -620,7 +621,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_queries_read_whole_tables(spark):
-    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(k) for k in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(k) for k in range(1, 14)}
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name in ("op1_license_scan", "op2_language_id", "op6_token_count", "op10_secret_scan"):
         assert queries.QUERIES[name](spark, SF).count() == n

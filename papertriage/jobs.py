@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import TriageConfig
+from .operators import blocks as BL
 from .operators import encode as EN
 from .operators import listing as LS
 from .operators import notes as NT
@@ -54,7 +55,8 @@ def triage_job(
     """Score every paper against the reference papers and write the outputs.
 
     ``papers``: ``title, abstract`` (+ optional ``url, venue, paper_id``).
-    ``refs``: ``title, abstract`` (+ optional ``ref_id``), a bounded set.
+    ``refs``: ``title, abstract`` (+ optional ``ref_id``), of any number: up to
+    ``cfg.max_reference_bytes`` they are broadcast, beyond it scored in blocks.
     ``encoder``: a factory for a batch encoder (``encode_with``); the default
     is the lexical hashing encoder, whose thresholds differ from a model's.
     Returns the output paths and, under ``summary``, the run counts.
@@ -65,35 +67,34 @@ def triage_job(
     rejects = tagged.filter(F.col("reason").isNotNull())
 
     if "ref_id" not in refs.columns:
-        # ids only have to be unique within the one collect of the bounded set
         refs = refs.withColumn("ref_id", F.monotonically_increasing_id())
     # equal normalised titles are one reference before anything is encoded
     refs = SC.collapse_reference_titles(refs.select("ref_id", "title", "abstract"))
     ref_emb = EN.embed_papers(refs, encoder, cfg.batch_size)
-    ref_set = SC.collect_reference_set(
-        ref_emb.select("ref_id", "embedding", F.col("title").alias("ref_title")),
-        "ref_id",
-        "embedding",
-        "ref_title",
-        max_bytes=cfg.max_reference_bytes,
-    )
-    if exclude_ref_titles:
-        kept = SC.exclude_reference_papers(kept, ref_set)
-
+    ref_rows = ref_emb.select("ref_id", "embedding", "title")
     embedded = EN.embed_papers(kept, encoder, cfg.batch_size)
-    scored = SC.score_papers(embedded, ref_set, cfg)
     rejects = rejects.select(*[c for c in ("paper_id", "title", "url", "reason") if c in rejects.columns])
-    return write_triage_outputs(spark, scored, ref_set, out_root, cfg, rejects=rejects)
+    if exclude_ref_titles:
+        embedded = SC.exclude_titles(embedded, refs)
+    stats = SC.reference_stats(ref_rows, "embedding", "title")
+    if stats.n_bytes <= cfg.max_reference_bytes:
+        ref_set = SC.collect_reference_set(ref_rows, "ref_id", "embedding", "title", cfg.max_reference_bytes, stats)
+        scored = SC.score_papers(embedded, ref_set, cfg)
+        return write_triage_outputs(spark, scored, ref_set, out_root, cfg, rejects=rejects)
+    # beyond the broadcast bound: both sides as matrix blocks, paired in a grid
+    scored = BL.score_blocks(BL.with_row_key(embedded), ref_rows, cfg)
+    return write_triage_outputs(spark, scored, None, out_root, cfg, rejects=rejects, refs=ref_rows)
 
 
 def write_triage_outputs(
     spark: SparkSession,
     scored: DataFrame,
-    ref_set: SC.ReferenceSet,
+    ref_set: SC.ReferenceSet | None,
     out_root: str,
     cfg: TriageConfig,
     texts: DataFrame | None = None,
     rejects: DataFrame | None = None,
+    refs: DataFrame | None = None,
 ) -> dict:
     """Write ``scored`` once, then derive ``related`` (CSV, ranked),
     ``related_detailed`` (JSON lines with the similarity map) and ``report``
@@ -101,16 +102,21 @@ def write_triage_outputs(
 
     The scored table keeps the per-reference similarities of related papers
     only. ``texts`` (``paper_id, title, abstract``) supplies titles when
-    ``scored`` has none. Returns the paths and the run counts (``summary``),
-    gathered by an ``Observation`` during the write (no extra job)."""
+    ``scored`` has none. Without ``ref_set``, ``scored`` comes from
+    ``score_blocks`` and ``refs`` (``ref_id, title, embedding``) are paired
+    again with the related rows only. Returns the paths and the run counts
+    (``summary``), gathered by an ``Observation`` during the write (no extra
+    job)."""
     keep_cols = [c for c in ("paper_id", "title", "abstract", "url", "venue") if c in scored.columns]
+    when_related = lambda c: F.when(F.col("is_related"), F.col(c))
+    shown = [BL.ROW, when_related("embedding").alias("embedding")] if ref_set is None else [when_related("sims").alias("related_sims")]
     scored_out = scored.select(
         *keep_cols,
         "mean_similarity",
         "n_top_above",
         "is_related",
         "reason",
-        F.when(F.col("is_related"), F.col("sims")).alias("related_sims"),
+        *shown,
     )
     summary = Observation("triage_summary")
     scored_out = scored_out.observe(
@@ -123,20 +129,21 @@ def write_triage_outputs(
     paths = OUT.write_outputs(out_root, {"scored": scored_out})
     paths["summary"] = summary.get
     saved = spark.read.parquet(paths["scored"])
-    related = saved.filter(F.col("is_related")).withColumn("sims", F.col("related_sims")).drop("related_sims")
+    related = saved.filter(F.col("is_related"))
     if texts is not None:
         related = related.join(texts.select("paper_id", "title", "abstract"), "paper_id", "left")
-    detailed = SC.sorted_detail(RP.ranked_output(related), ref_set).select(
+    if ref_set is None:
+        related = BL.related_detail(related, refs, cfg).drop("embedding")
+    else:
+        related = SC.sorted_detail(related.withColumnRenamed("related_sims", "sims"), ref_set).drop("sims")
+    detailed = RP.ranked_output(related).select(
         "title",
         "abstract",
         F.col("mean_similarity").alias("mean_abstract_similarity"),
         OUT.similarity_map("detail", ref_set).alias("detailed_similarities"),
     )
-    report = RP.related_report(
-        related.select("paper_id", "title", "abstract", "sims", "mean_similarity", "n_top_above", "reason"),
-        ref_set,
-        None,
-        cfg,
+    report = RP.numbered_report(
+        related.select("paper_id", "title", "abstract", "detail", "mean_similarity", "n_top_above", "reason"), ref_set, cfg
     )
     tables = {
         "related": RP.ranked_output(related).select(

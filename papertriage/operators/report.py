@@ -26,8 +26,12 @@ def reason_text(reason, mean, n_top, cfg: TriageConfig):
     )
 
 
-def top_refs_text(detail_col: str, refs: ReferenceSet, n: int = 3):
-    """``title (0.1234); ...`` for the ``n`` most similar references."""
+def top_refs_text(detail_col: str, refs: ReferenceSet | None, n: int = 3):
+    """``title (0.1234); ...`` for the ``n`` most similar references
+    (without ``refs`` the detail entries carry their ``ref_title``)."""
+    if refs is None:
+        show = lambda d: F.concat(F.coalesce(d["ref_title"], F.lit("None")), F.lit(" ("), TX.fmt4(d["similarity"]), F.lit(")"))
+        return F.concat_ws("; ", F.transform(F.slice(F.col(detail_col), 1, n), show))
     titles = F.array(*[F.lit(t).cast("string") for t in refs.titles])
     ids = [int(i) for i in refs.ref_ids]
     index = F.create_map(*[x for i, ref in enumerate(ids) for x in (F.lit(ref), F.lit(i + 1))])
@@ -52,6 +56,11 @@ def related_report(
     Titles and abstracts come with ``related``, or from ``docs`` (one row per
     id): the snippet is cut before anything is joined or exchanged."""
     detail = sorted_detail(related, refs, id_col)
+    return numbered_report(detail, refs, cfg, id_col, docs)
+
+
+def numbered_report(detail: DataFrame, refs: ReferenceSet | None, cfg: TriageConfig, id_col: str = "paper_id", docs: DataFrame | None = None) -> DataFrame:
+    """``related_report`` of rows that have their ``detail``."""
     if docs is not None:
         short = docs.select(id_col, "title", TX.snippet("abstract").alias("snippet"))
         detail = detail.drop("title", "abstract").join(short, id_col, "left")

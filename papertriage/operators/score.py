@@ -7,14 +7,12 @@ Plan shape (single reference chunk, the normal case)::
 No join and no shuffle: the reference matrix is a bounded broadcast (its size
 is checked before it is collected), each Arrow batch of papers is multiplied
 with it as one ``[b, d] x [d, m]`` numpy product. Reference sets above the
-broadcast bound are scored in hash chunks (each chunk is a checked broadcast)
-and the per-chunk partials are merged by one aggregation on ``paper_id``.
+broadcast bound are scored block against block (``operators.blocks``).
 """
 
 from __future__ import annotations
 
-import math
-import uuid
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +23,6 @@ from pyspark.sql import types as T
 
 from ..config import TriageConfig
 from ..functions import vectors as V
-from ..session import scratch_path
 
 
 class ReferenceSetTooLarge(ValueError):
@@ -53,27 +50,28 @@ class ReferenceSet:
         return int(self.matrix.shape[1]) if self.matrix.ndim == 2 else 0
 
 
-def reference_stats(refs: DataFrame, emb_col: str = "embedding", title_col: str | None = None) -> tuple[int, int]:
-    """(rows, max dimension) of a reference table, from one aggregate job.
-    Title characters are counted into the rows' size as 8-byte units."""
-    aggs = [F.count(F.lit(1)).alias("n"), F.max(F.size(emb_col)).alias("d")]
-    if title_col:
-        aggs.append(F.sum(F.length(title_col)).alias("t"))
-    row = refs.agg(*aggs).first()
-    n, d = int(row["n"] or 0), int(row["d"] or 0)
-    extra = int(row["t"] or 0) if title_col else 0
-    # express title bytes as extra dimensions so one bound covers both
-    return n, d + (-(-extra // max(n, 1)) if n else 0)
+@dataclass(frozen=True)
+class ReferenceStats:
+    """What one aggregation knows of a reference table before any row of it
+    is fetched."""
+
+    rows: int
+    dim: int
+    title_bytes: int
+    without_embedding: int
+
+    @property
+    def n_bytes(self) -> int:
+        return self.rows * max(self.dim, 1) * 8 + self.title_bytes
 
 
-# Widest embedding / longest title the single-job path accepts.
-FAST_PATH_MAX_DIM = 4096
-FAST_PATH_MAX_TITLE = 4096
+def reference_stats(refs: DataFrame, emb_col: str = "embedding", title_col: str | None = None) -> ReferenceStats:
+    titles = F.coalesce(F.sum(F.octet_length(title_col)), F.lit(0)) if title_col else F.lit(0)
+    row = refs.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size(emb_col)), F.lit(0)), titles, F.count_if(F.col(emb_col).isNull())).first()
+    return ReferenceStats(*(max(0, int(x)) for x in row))
 
 
 def _build_reference_set(rows: list, title_col: str | None, d: int) -> ReferenceSet:
-    if any(r["embedding"] is None for r in rows):
-        raise ValueError("reference rows must have an embedding")
     rows = sorted(rows, key=lambda r: r["ref_id"])
     ids = np.array([r["ref_id"] for r in rows], dtype=np.int64)
     if len(set(ids.tolist())) != len(ids):
@@ -94,49 +92,22 @@ def collect_reference_set(
     emb_col: str = "embedding",
     title_col: str | None = None,
     max_bytes: int = TriageConfig.max_reference_bytes,
-    stats: tuple[int, int] | None = None,
+    stats: ReferenceStats | None = None,
 ) -> ReferenceSet:
-    """Collect a reference table after checking it fits the broadcast bound.
-
-    Common case in one job: at most ``max_bytes / (8 * FAST_PATH_MAX_DIM)``
-    rows are fetched, each with at most ``FAST_PATH_MAX_DIM`` values and a
-    title of at most ``FAST_PATH_MAX_TITLE`` characters, so the fetch itself
-    is bounded; more rows, or a wider row, switch to a counting job first.
-    """
+    """Collect a reference table once an aggregation has shown that its
+    matrix and titles are at most ``max_bytes``."""
+    stats = reference_stats(refs, emb_col, title_col) if stats is None else stats
+    if stats.without_embedding:
+        raise ValueError(f"{stats.without_embedding} reference rows have no embedding")
+    if stats.n_bytes > max_bytes:
+        raise ReferenceSetTooLarge(
+            f"{stats.rows} x {stats.dim} reference matrix and titles exceed {max_bytes} bytes: score with "
+            "operators.blocks.score_blocks, or raise TriageConfig.max_reference_bytes"
+        )
     cols = [F.col(id_col).alias("ref_id"), F.col(emb_col).alias("embedding")]
     if title_col:
         cols.append(F.col(title_col).alias("ref_title"))
-    if stats is None:
-        cap = max(1, max_bytes // (8 * (FAST_PATH_MAX_DIM + FAST_PATH_MAX_TITLE)))
-        fast = [
-            F.col(id_col).alias("ref_id"),
-            F.when(F.size(emb_col) <= FAST_PATH_MAX_DIM, F.col(emb_col)).alias("embedding"),
-            F.size(emb_col).alias("_d"),
-        ]
-        if title_col:
-            fast += [
-                F.when(F.length(title_col) <= FAST_PATH_MAX_TITLE, F.col(title_col)).alias("ref_title"),
-                F.coalesce(F.length(title_col), F.lit(0)).alias("_t"),
-            ]
-        rows = refs.select(*fast).limit(cap + 1).collect()
-        narrow = all(r["_d"] <= FAST_PATH_MAX_DIM and (not title_col or r["_t"] <= FAST_PATH_MAX_TITLE) for r in rows)
-        if len(rows) <= cap and narrow:
-            d = max([r["_d"] for r in rows], default=0)
-            n = len(rows)
-            t = sum(r["_t"] for r in rows) if title_col else 0
-            if n * max(d, 1) * 8 + t * 8 > max_bytes:
-                raise ReferenceSetTooLarge(f"{n} x {d} reference matrix exceeds {max_bytes} bytes")
-            return _build_reference_set(rows, title_col, d)
-        stats = reference_stats(refs, emb_col, title_col)
-    n, d = stats
-    if n * max(d, 1) * 8 > max_bytes:
-        raise ReferenceSetTooLarge(
-            f"{n} x {d} reference matrix exceeds {max_bytes} bytes: score with "
-            "score_papers_chunked (exact rules, chunked broadcasts) or raise "
-            "TriageConfig.max_reference_bytes"
-        )
-    rows = refs.select(*cols).collect()
-    return _build_reference_set(rows, title_col, d)
+    return _build_reference_set(refs.select(*cols).collect(), title_col, stats.dim)
 
 
 SCORE_STRUCT = T.StructType(
@@ -206,6 +177,37 @@ def _list_array(values: np.ndarray, width: int, mask: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(values.reshape(-1), type=pa.float64()), mask=pa.array(mask))
 
 
+def _score_array(col: pa.Array, r: np.ndarray, dim: int, k: int, individual: float, strict: bool, with_sims: bool) -> pa.StructArray:
+    """``SCORE_STRUCT`` of each embedding, in row blocks of at most BLOCK_ELEMS similarities."""
+    m = len(r)
+    width_top, width_sims = min(k, m), m if with_sims else 0
+    rows_per_block = max(1, BLOCK_ELEMS // max(m, 1))
+    valid, dense = _dense_rows(col, dim)
+    n = len(valid)
+    idx = np.flatnonzero(valid)
+    sims = np.zeros((n, width_sims))
+    mean = np.zeros(n)
+    n_top = np.zeros(n, dtype=np.int32)
+    top = np.zeros((n, width_top))
+    for lo in range(0, len(dense), rows_per_block):
+        rows = idx[lo : lo + rows_per_block]
+        s, mu, c, t = score_matrix(dense[lo : lo + rows_per_block], r, k, individual, strict)
+        mean[rows], n_top[rows], top[rows] = mu, c, t
+        if with_sims:
+            sims[rows] = s
+    null = ~valid
+    return pa.StructArray.from_arrays(
+        [
+            _list_array(sims, width_sims, null),
+            pa.array(mean, type=pa.float64(), mask=null),
+            pa.array(n_top, type=pa.int32(), mask=null),
+            _list_array(top, width_top, null),
+        ],
+        names=[f.name for f in SCORE_STRUCT.fields],
+        mask=pa.array(null),
+    )
+
+
 def similarity_struct(
     emb: Column | str, refs: ReferenceSet, cfg: TriageConfig, spark, with_sims: bool = True
 ) -> Column:
@@ -218,39 +220,12 @@ def similarity_struct(
     bounded for any reference count under the broadcast bound.
     """
     bc = spark.sparkContext.broadcast(refs.matrix)
-    dim, m, k = refs.dim, refs.size, cfg.top_k
+    dim, k = refs.dim, cfg.top_k
     individual, strict = cfg.individual_sim_threshold, cfg.strict_float32
-    width_top = min(k, m)
-    width_sims = m if with_sims else 0
-    rows_per_block = max(1, BLOCK_ELEMS // max(m, 1))
 
     @F.arrow_udf(SCORE_STRUCT)
     def score_batch(col: pa.Array) -> pa.Array:
-        r = bc.value
-        valid, dense = _dense_rows(col, dim)
-        n = len(valid)
-        idx = np.flatnonzero(valid)
-        sims = np.zeros((n, width_sims))
-        mean = np.zeros(n)
-        n_top = np.zeros(n, dtype=np.int32)
-        top = np.zeros((n, width_top))
-        for lo in range(0, len(dense), rows_per_block):
-            rows = idx[lo : lo + rows_per_block]
-            s, mu, c, t = score_matrix(dense[lo : lo + rows_per_block], r, k, individual, strict)
-            mean[rows], n_top[rows], top[rows] = mu, c, t
-            if with_sims:
-                sims[rows] = s
-        null = ~valid
-        return pa.StructArray.from_arrays(
-            [
-                _list_array(sims, width_sims, null),
-                pa.array(mean, type=pa.float64(), mask=null),
-                pa.array(n_top, type=pa.int32(), mask=null),
-                _list_array(top, width_top, null),
-            ],
-            names=[f.name for f in SCORE_STRUCT.fields],
-            mask=pa.array(null),
-        )
+        return _score_array(col, bc.value, dim, k, individual, strict, with_sims)
 
     # nondeterministic only to pin the evaluation point: Catalyst would otherwise
     # copy filters on the result below exchanges and run the product twice
@@ -301,19 +276,24 @@ def relevance_rules(mean: Column, n_top: Column, cfg: TriageConfig) -> tuple[Col
     return mean_rule, top_rule
 
 
-# Largest per-batch similarity array (bytes) a Python worker returns.
-MAX_SIMS_BATCH_BYTES = 1 << 30
+# Largest similarity array (bytes) a Python worker returns at once.
+MAX_SIMS_BATCH_BYTES = 1 << 28
 
 
-def _check_sims_batch(spark, m: int) -> None:
-    """With ``keep_sims`` each Arrow batch returns ``rows x m`` doubles; fail
-    early (with the fix) rather than exhaust a worker on a wide reference set."""
-    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
-    if rows * m * 8 > MAX_SIMS_BATCH_BYTES:
-        raise ValueError(
-            f"{rows} rows x {m} references per Arrow batch exceeds {MAX_SIMS_BATCH_BYTES} bytes: "
-            "lower spark.sql.execution.arrow.maxRecordsPerBatch or score with keep_sims=False"
-        )
+def _scored_in_slices(papers: DataFrame, refs: ReferenceSet, cfg: TriageConfig, emb_col: str, rows: int) -> DataFrame:
+    """Add ``_score`` with all similarities, in Arrow batches of ``rows`` rows:
+    a wide reference set makes an input batch's similarities too large for one."""
+    bc = papers.sparkSession.sparkContext.broadcast(refs.matrix)
+    dim, k, individual, strict = refs.dim, cfg.top_k, cfg.individual_sim_threshold, cfg.strict_float32
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                part = b.slice(at, rows)
+                score = _score_array(part.column(emb_col), bc.value, dim, k, individual, strict, True)
+                yield pa.RecordBatch.from_arrays([*part.columns, score], names=[*part.schema.names, "_score"])
+
+    return papers.mapInArrow(run, T.StructType([*papers.schema.fields, T.StructField("_score", SCORE_STRUCT)]))
 
 
 def score_papers(
@@ -330,10 +310,12 @@ def score_papers(
     ``plan='sql'`` stays in the JVM (interpreted lambdas, no Python).
     """
     if plan == "arrow":
-        if keep_sims:
-            _check_sims_batch(papers.sparkSession, refs.size)
-        s = similarity_struct(emb_col, refs, cfg, papers.sparkSession, with_sims=keep_sims)
-        with_score = papers.select(*papers.columns, s.alias("_score"))
+        rows = max(1, MAX_SIMS_BATCH_BYTES // (8 * max(refs.size, 1)))
+        if keep_sims and rows < int(papers.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")):
+            with_score = _scored_in_slices(papers, refs, cfg, emb_col, rows)
+        else:
+            s = similarity_struct(emb_col, refs, cfg, papers.sparkSession, with_sims=keep_sims)
+            with_score = papers.select(*papers.columns, s.alias("_score"))
         mean, n_top = F.col("_score.mean_similarity"), F.col("_score.n_top_above")
         mean_rule, top_rule = relevance_rules(mean, n_top, cfg)
         # one projection for the outputs and the rules (fewer plan analyses)
@@ -389,6 +371,14 @@ def exclude_reference_papers(papers: DataFrame, refs: ReferenceSet, title_col: s
     return papers.filter(~F.coalesce(normalize_text(title_col).isin(keys), F.lit(False)))
 
 
+def exclude_titles(papers: DataFrame, refs: DataFrame, title_col: str = "title") -> DataFrame:
+    """V15 option for any number of references: an anti join on the normalised title."""
+    from ..functions.text import normalize_text
+
+    keys = refs.select(normalize_text(title_col).alias("_key")).where("_key IS NOT NULL").distinct()
+    return papers.withColumn("_key", normalize_text(title_col)).join(keys, "_key", "left_anti").drop("_key")
+
+
 def related_only(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("is_related"))
 
@@ -453,85 +443,3 @@ def centroid_mean(emb: Column | str, centroid: list[float]) -> Column:
     emb = F.col(emb) if isinstance(emb, str) else emb
     norm = F.greatest(V.l2_norm(emb), F.lit(V.NORM_EPS))
     return V.dot(emb, V.literal_vector(centroid)) / norm
-
-
-def score_papers_chunked(
-    papers: DataFrame,
-    refs: DataFrame,
-    cfg: TriageConfig,
-    id_col: str = "paper_id",
-    emb_col: str = "embedding",
-    ref_id_col: str = "ref_id",
-    ref_emb_col: str = "embedding",
-) -> DataFrame:
-    """Exact scoring for any reference count: rule inputs without ``sims``.
-
-    References are split into hash chunks that each fit the broadcast bound;
-    every chunk scores all papers (a narrow Arrow UDF pass over the papers'
-    embeddings, landed once in the scratch folder), then one aggregation on
-    ``paper_id`` merges per-chunk sums, counts and top-k lists. No pair is
-    materialised and no reference is dropped. The work is papers x references
-    by definition; the mean rule alone needs only ``reference_centroid``.
-    """
-    spark = papers.sparkSession
-    n, d = reference_stats(refs, ref_emb_col)
-    per_chunk = max(1, cfg.max_reference_bytes // (8 * max(d, 1)))
-    n_chunks = max(1, math.ceil(2 * n / per_chunk)) if n > per_chunk else 1
-    keyed = refs.select(
-        F.col(ref_id_col), F.col(ref_emb_col), F.pmod(F.xxhash64(F.col(ref_id_col)), F.lit(n_chunks)).alias("_chunk")
-    )
-    if n_chunks > 1:
-        # one pass writes the chunks as partitions; each chunk collect then
-        # reads only its own files (partition pruning) instead of the table
-        path = scratch_path(spark, f"ref-chunks-{uuid.uuid4().hex}")
-        keyed.write.partitionBy("_chunk").parquet(path)
-        keyed = spark.read.parquet(path)
-    partials = []
-    base = papers.select(F.col(id_col).alias("paper_id"), F.col(emb_col).alias("_emb"))
-    if n_chunks > 1:
-        # every chunk scans the papers: land their (id, embedding) once, so an
-        # upstream encoder runs a single time instead of once per chunk
-        emb_path = scratch_path(spark, f"paper-embeddings-{uuid.uuid4().hex}")
-        base.write.parquet(emb_path)
-        base = spark.read.parquet(emb_path)
-    for c in range(n_chunks):
-        chunk = collect_reference_set(
-            keyed.filter(F.col("_chunk") == c), ref_id_col, ref_emb_col, max_bytes=cfg.max_reference_bytes
-        )
-        if chunk.size == 0:
-            continue
-        s = similarity_struct("_emb", chunk, cfg, spark, with_sims=False)
-        partials.append(
-            base.withColumn("_s", s).select(
-                "paper_id",
-                (F.col("_s.mean_similarity") * F.lit(chunk.size)).alias("sum_sim"),
-                F.lit(chunk.size).cast("bigint").alias("n_ref"),
-                F.col("_s.top_sims").alias("top_sims"),
-                F.col("_emb").isNull().alias("no_emb"),
-            )
-        )
-    if not partials:
-        raise ValueError("empty reference set")
-    merged = partials[0]
-    for p in partials[1:]:
-        merged = merged.unionByName(p)
-    k = cfg.top_k
-    agg = merged.groupBy("paper_id").agg(
-        F.sum("sum_sim").alias("sum_sim"),
-        F.sum("n_ref").alias("n_ref"),
-        F.flatten(F.collect_list("top_sims")).alias("cand"),
-        F.max("no_emb").alias("no_emb"),
-    )
-    ordered = F.array_sort(F.col("cand"))
-    size = F.size(ordered)
-    top = F.slice(ordered, F.greatest(size - k + 1, F.lit(1)), k)
-    t = F.lit(cfg.individual_sim_threshold)
-    out = agg.select(
-        "paper_id",
-        F.when(~F.col("no_emb") & (F.col("n_ref") > 0), F.col("sum_sim") / F.col("n_ref")).alias("mean_similarity"),
-        F.when(~F.col("no_emb"), F.size(F.filter(top, lambda s: (s >= t) & ~F.isnan(s)))).cast("int").alias("n_top_above"),
-    )
-    mean_rule, top_rule = relevance_rules(F.col("mean_similarity"), F.col("n_top_above"), cfg)
-    return out.withColumn("is_related", mean_rule | top_rule).withColumn(
-        "reason", F.when(mean_rule, F.lit("mean")).when(top_rule, F.lit("top_k"))
-    )

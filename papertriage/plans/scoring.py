@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG, REFERENCE_COUNT, TriageConfig
 from ..functions import text as TX
+from ..operators import blocks as BL
 from ..operators import report as RP
 from ..operators import score as SC
 from ..sources.tables import read_table
@@ -96,13 +97,28 @@ def related_papers_jvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _related_out(SC.related_only(scored))
 
 
-@query("related_papers_chunked", RELATED_SQL, "same result, reference set split into broadcast chunks")
+@query("related_papers_chunked", RELATED_SQL, "same result, references and papers as matrix blocks paired in a grid of cells")
 def related_papers_chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # a bound of ~6 reference rows forces several chunks on the 23 references
-    cfg = CFG.with_(max_reference_bytes=6 * 64 * 8)
-    scored = SC.score_papers_chunked(
-        papers_frame(spark, sf_dir), refs_frame(spark, sf_dir), cfg, "paper_id", "embedding", "ref_id", "embedding"
-    )
+    # small blocks: several reference groups, states merged in a tree
+    scored = BL.score_blocks(papers_frame(spark, sf_dir), refs_frame(spark, sf_dir), CFG, block_bytes=16 * 64 * 8, cell_bytes=16 * 64 * 8)
+    return _related_out(SC.related_only(scored))
+
+
+@query(
+    "related_papers_blocks",
+    f"""WITH p AS (SELECT vec_id, vec_id // 3 AS paper_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id >= {R}),
+r AS (SELECT CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label % 2 = 0),
+agg AS (SELECT vec_id, any_value(paper_id) AS paper_id, avg(list_cosine_similarity(p.e, r.e)) AS mean_sim,
+  least({CFG.top_k}, count(*) FILTER (WHERE list_cosine_similarity(p.e, r.e) >= 0.6)) AS n_top FROM p CROSS JOIN r GROUP BY vec_id)
+SELECT paper_id, round(mean_sim, 6) AS mean_similarity, CAST(n_top AS BIGINT) AS n_top_above, CASE WHEN mean_sim > 0.02 THEN 'mean' ELSE 'top_k' END AS reason
+FROM agg WHERE mean_sim > 0.02 OR n_top >= {CFG.min_top_papers}""",
+    "A6 D3 E1 E2 C6 (a reference set that grows with the table, repeated paper ids)",
+)
+def related_papers_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = read_table(spark, sf_dir, "embeddings")
+    papers = emb.filter(F.col("vec_id") >= R).select(F.floor(F.col("vec_id") / 3).alias("paper_id"), "embedding")
+    refs = emb.filter(F.col("label") % 2 == 0).select(F.col("vec_id").alias("ref_id"), "embedding")
+    scored = BL.score_blocks(papers, refs, CFG.with_(similarity_threshold=0.02, individual_sim_threshold=0.6))
     return _related_out(SC.related_only(scored))
 
 

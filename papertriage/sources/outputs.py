@@ -8,6 +8,8 @@ similarities as a map ordered by similarity (Spark keeps entry order).
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +19,20 @@ from ..operators.score import ReferenceSet
 OUTPUT_TABLES = ("scored", "related", "related_detailed", "rejects", "report")
 
 
-def similarity_map(detail_col: str, refs: ReferenceSet) -> Column:
+def similarity_map(detail_col: str, refs: ReferenceSet | None) -> Column:
     """``map<ref_title, similarity>`` in detail order. A title that
-    repeats keeps its first (highest) entry, so map keys are unique."""
+    repeats keeps its first (highest) entry, so map keys are unique; only
+    titles that stand twice in the reference set are looked up again.
+
+    Without ``refs`` the detail entries carry their ``ref_title``, and one
+    entry a title (the job collapses equal titles beforehand)."""
+    if refs is None:
+        name = lambda d: F.coalesce(d["ref_title"], d["ref_id"].cast("string"))
+        return F.map_from_entries(F.transform(F.col(detail_col), lambda d: F.struct(name(d).alias("k"), d["similarity"].alias("v"))))
     titles = F.array(*[F.lit(t).cast("string") for t in refs.titles])
     ids = [int(i) for i in refs.ref_ids]
     index = F.create_map(*[x for i, ref in enumerate(ids) for x in (F.lit(ref), F.lit(i + 1))])
+    met = Counter(str(i) if t is None else t for i, t in zip(ids, refs.titles))
     named = F.transform(
         F.col(detail_col),
         lambda d: F.struct(
@@ -30,8 +40,11 @@ def similarity_map(detail_col: str, refs: ReferenceSet) -> Column:
             d["similarity"].alias("v"),
         ),
     )
+    twice = [t for t, n in met.items() if n > 1]
+    if not twice:
+        return F.map_from_entries(named)
     keys = F.transform(named, lambda e: e["k"])
-    first_only = F.filter(named, lambda e, i: ~F.array_contains(F.slice(keys, 1, i), e["k"]))
+    first_only = F.filter(named, lambda e, i: ~e["k"].isin(twice) | ~F.array_contains(F.slice(keys, 1, i), e["k"]))
     return F.map_from_entries(first_only)
 
 

@@ -45,6 +45,21 @@ def test_triage_job_matches_query(spark):
     assert detailed.count() == want.count()
 
 
+def test_triage_job_has_no_reference_limit(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    papers, _ = PP.split_usable(PP.papers_from_documents(docs, "https://papers.example.org/paper/"))
+    papers = papers.select("paper_id", "title", "abstract", "url").filter("paper_id < 60")
+    refs = papers.filter(F.col("paper_id") < 23).select(F.col("paper_id").alias("ref_id"), "title", "abstract")
+    out = []
+    for cfg in (HASH_CFG, HASH_CFG.with_(max_reference_bytes=100)):
+        paths = jobs.triage_job(spark, papers, refs, scratch_path(spark, f"job-{uuid.uuid4().hex}"), cfg, exclude_ref_titles=True)
+        schema = "title string, abstract string, mean_abstract_similarity double, detailed_similarities map<string,double>"
+        detailed = [(r[0], round(r[2], 9), [(k, round(v, 9)) for k, v in r[3].items()]) for r in spark.read.schema(schema).json(paths["related_detailed"]).collect()]
+        report = sorted(tuple(r) for r in spark.read.parquet(paths["report"]).collect())
+        out.append((paths["summary"], sorted(detailed), report))
+    assert out[0] == out[1] and out[0][0]["n_related"] > 0
+
+
 def test_notes_job(spark):
     notes = notes_from_documents(spark.read.parquet(f"{SF}/documents.parquet"))
     accepted, rejects = jobs.notes_job(notes)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from papertriage.config import FIXTURE_CONFIG, TriageConfig
+from papertriage.operators import blocks as BL
 from papertriage.operators import score as SC
 
 
@@ -99,19 +100,47 @@ def test_top_k_must_be_positive():
         TriageConfig(top_k=0)
 
 
-def test_chunked_equals_single(spark):
+@pytest.mark.parametrize("block_rows,cell_rows", [(4, 8), (1000, 1000)])
+@pytest.mark.parametrize("strict", [False, True])
+def test_blocks_equal_single(spark, block_rows, cell_rows, strict):
     rng = np.random.default_rng(3)
-    refs_m = rng.normal(size=(9, 8))
-    vecs = rng.normal(size=(50, 8))
-    cfg = TriageConfig(similarity_threshold=0.05, top_k=3, min_top_papers=2, individual_sim_threshold=0.3)
+    refs_m = np.concatenate([rng.normal(size=(30, 8)), np.zeros((1, 8))])
+    vecs = list(rng.normal(size=(60, 8))) + [None, [float("nan")] * 8, [0.0] * 8]
+    cfg = TriageConfig(similarity_threshold=0.05, top_k=3, min_top_papers=2, individual_sim_threshold=0.3, strict_float32=strict)
     single = _score(spark, vecs, _refs(refs_m), cfg, "arrow")
-    refs_df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(refs_m)],
-                                    "ref_id bigint, embedding array<double>")
-    chunked = SC.score_papers_chunked(_papers(spark, vecs), refs_df, cfg.with_(max_reference_bytes=3 * 8 * 8))
-    got = [(r["is_related"], r["reason"], r["n_top_above"], r["mean_similarity"])
-           for r in chunked.orderBy("paper_id").collect()]
-    for a, b in zip(single, got):
-        assert a[:3] == b[:3] and math.isclose(a[3], b[3], abs_tol=1e-12)
+    # reference ids repeat and are null; every paper id stands twice
+    refs_df = spark.createDataFrame([(None if i % 5 == 0 else i // 2, [float(x) for x in r]) for i, r in enumerate(refs_m)],
+                                    "ref_id bigint, embedding array<double>").repartition(3)
+    twice = _papers(spark, vecs).withColumn("n", F.lit(1)).union(_papers(spark, vecs).withColumn("n", F.lit(2))).repartition(5)
+    size = 8 * 8
+    out = BL.score_blocks(twice, refs_df, cfg, block_bytes=block_rows * size, cell_bytes=cell_rows * size)
+    assert out.columns == ["paper_id", "embedding", "n", "mean_similarity", "n_top_above", "top_sims", "is_related", "reason"]
+    got = [(r["is_related"], r["reason"], r["n_top_above"], r["mean_similarity"]) for r in out.orderBy("paper_id", "n").collect()]
+    assert len(got) == 2 * len(single)
+    for a, x, y in zip(single, got[::2], got[1::2]):
+        for b in (x, y):
+            assert a[:3] == b[:3]
+            assert a[3] is b[3] or (math.isnan(a[3]) and math.isnan(b[3])) or math.isclose(a[3], b[3], abs_tol=1e-6 if strict else 1e-12)
+
+
+def test_blocks_refuse_what_cannot_be_compared(spark):
+    papers = _papers(spark, [E[0]])
+    for rows, text in (([(0, None)], "must have an embedding"), ([], "empty reference set"), ([(0, [1.0, 2.0])], "cannot be compared")):
+        with pytest.raises(ValueError, match=text):
+            BL.score_blocks(papers, spark.createDataFrame(rows, "ref_id long, embedding array<double>"), FIXTURE_CONFIG)
+
+
+def test_related_detail_equals_sorted_detail(spark):
+    rng = np.random.default_rng(4)
+    refs_m, vecs = rng.normal(size=(7, 4)), rng.normal(size=(9, 4))
+    refs_m[3] = refs_m[1]  # a tie
+    refs = _refs(refs_m)
+    refs_df = spark.createDataFrame([(i, f"r{i}", [float(x) for x in r]) for i, r in enumerate(refs_m)], "ref_id long, title string, embedding array<double>")
+    want = SC.sorted_detail(SC.score_papers(_papers(spark, vecs), refs, FIXTURE_CONFIG), refs).orderBy("paper_id").collect()
+    got = BL.related_detail(BL.with_row_key(_papers(spark, vecs)), refs_df, FIXTURE_CONFIG, block_bytes=64, cell_bytes=128).orderBy("paper_id").collect()
+    for a, b in zip(want, got):
+        assert [(d["ref_id"], f"r{d['ref_id']}") for d in a["detail"]] == [(d["ref_id"], d["ref_title"]) for d in b["detail"]]
+        assert np.allclose([d["similarity"] for d in a["detail"]], [d["similarity"] for d in b["detail"]])
 
 
 def test_reference_size_check(spark):
@@ -174,8 +203,7 @@ def test_collapse_reference_titles(spark):
     assert got == [(0, "Robust  Models", "a2"), (1, "Other", "b")]
 
 
-def test_reference_collect_paths(spark):
-    # 23 rows: one bounded fetch; 3000 rows: counted first, then collected
+def test_reference_collect(spark):
     for n in (23, 3000):
         df = spark.createDataFrame([(i, [float(i % 7), 1.0], f"t{i}") for i in range(n)],
                                    "ref_id long, embedding array<double>, title string")
@@ -183,13 +211,15 @@ def test_reference_collect_paths(spark):
         assert refs.size == n and list(refs.ref_ids) == list(range(n))
         assert refs.titles[5] == "t5"
     wide = spark.createDataFrame([(0, [1.0] * 5000)], "ref_id long, embedding array<double>")
-    assert SC.collect_reference_set(wide).dim == 5000  # wider than the one-job path: counted path
-
-
-def test_wide_similarity_batches_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(SC, "MAX_SIMS_BATCH_BYTES", 1000)
-    refs = _refs(np.eye(4))
-    with pytest.raises(ValueError, match="maxRecordsPerBatch"):
-        SC.score_papers(_papers(spark, [E[0]]), refs, FIXTURE_CONFIG, keep_sims=True)
-    # the rules alone never hold the full array
-    assert SC.score_papers(_papers(spark, [E[0]]), refs, FIXTURE_CONFIG, keep_sims=False).count() == 1
+    assert SC.collect_reference_set(wide).dim == 5000
+    null = spark.createDataFrame([(0, [1.0]), (1, None)], "ref_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="no embedding"):
+        SC.collect_reference_set(null)
+
+
+def test_wide_similarity_rows_come_in_slices(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vecs, refs = list(rng.normal(size=(40, 4))) + [None], _refs(rng.normal(size=(30, 4)))
+    want = SC.score_papers(_papers(spark, vecs), refs, FIXTURE_CONFIG).orderBy("paper_id").collect()
+    monkeypatch.setattr(SC, "MAX_SIMS_BATCH_BYTES", 1000)  # four rows at a time
+    assert SC.score_papers(_papers(spark, vecs), refs, FIXTURE_CONFIG).orderBy("paper_id").collect() == want

@@ -2,9 +2,9 @@
 
 Seeds are runs of five words (fewer for shorter items) that a document shares
 with a benchmark item. A seeded pair is tiled: running Karp-Rabin finds the
-matches of at least the current length among unmarked words, the longest are
-marked first and may not overlap, and the length is lowered until it is the
-seed length. An item is leaked when marked words cover at least ``threshold``
+matches of at least the seed length, the longest are marked first and may not
+overlap, and what a tile leaves of another match is a match again, in its place
+by length. An item is leaked when marked words cover at least ``threshold``
 of it, wherever in the document and in whatever order its passages stand.
 
 The benchmark's distinct items are read in blocks of bounded size, measured
@@ -16,6 +16,7 @@ of the documents is exchanged.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -60,47 +61,51 @@ def _free_windows(marked: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(c[n:] == c[:-n])
 
 
+def maximal_matches(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(length, item start, document start) of all matches of at least
+    ``least`` words that cannot be made longer on either side: neighbouring
+    Karp-Rabin hits on one diagonal."""
+    of_item, of_doc = window_hashes(item, least), window_hashes(doc, least)
+    order = np.argsort(of_item, kind="stable")
+    first, last = (np.searchsorted(of_item[order], of_doc, side=side) for side in ("left", "right"))
+    times = last - first
+    d = np.repeat(np.arange(len(of_doc)), times)
+    s = order[np.arange(len(d)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)]
+    real = np.ones(len(d), bool)
+    for k in range(least):  # else the hashes agree by chance
+        real &= item[s + k] == doc[d + k]
+    s, d = s[real], d[real]
+    order = np.lexsort((s, d - s))
+    s, d = s[order], d[order]
+    new = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1] + 1) | (d[1:] != d[:-1] + 1)))) if len(s) else s
+    size = np.diff(np.concatenate((new, [len(s)]))) + least - 1
+    return list(zip(size.tolist(), s[new].tolist(), d[new].tolist()))
+
+
 def greedy_tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """Tiles (item start, document start, length) of greedy string tiling.
 
-    Longest first, each word in at most one tile, none shorter than ``least``;
-    of equally long matches the one earliest in the item, then in the document.
+    Strictly longest first, each word in at most one tile, none shorter than
+    ``least``; of equally long matches the one earliest in the item, then in
+    the document. A match that earlier tiles overlap goes back into the queue
+    as what is left of it.
     """
     in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
+    queue = [(-n, s, d) for n, s, d in maximal_matches(item, doc, least)]
+    heapq.heapify(queue)
     tiles: list[tuple[int, int, int]] = []
-    size = max(least, len(item))
-    while True:
-        while True:
-            at_item, at_doc = _free_windows(in_item, size), _free_windows(in_doc, size)
-            if not len(at_item) or not len(at_doc):
-                break
-            by_hash = defaultdict(list)
-            for s, h in zip(at_item.tolist(), window_hashes(item, size)[at_item].tolist()):
-                by_hash[h].append(s)
-            hashes = window_hashes(doc, size)[at_doc]
-            hits = at_doc[np.isin(hashes, np.fromiter(by_hash, np.uint64, len(by_hash)))]
-            found = []
-            all_hashes = dict(zip(at_doc.tolist(), hashes.tolist()))
-            for d in hits.tolist():
-                for s in by_hash[all_hashes[d]]:
-                    n = 0
-                    while s + n < len(item) and d + n < len(doc) and not in_item[s + n] and not in_doc[d + n] and item[s + n] == doc[d + n]:
-                        n += 1
-                    if n >= size:  # else the hashes agree by chance
-                        found.append((-n, s, d))
-            marked = False
-            for n, s, d in sorted(found):
-                n = -n
-                if not in_item[s : s + n].any() and not in_doc[d : d + n].any():
-                    in_item[s : s + n] = True
-                    in_doc[d : d + n] = True
-                    tiles.append((s, d, n))
-                    marked = True
-            if not marked:
-                break
-        if size == least:
-            return tiles
-        size = max(least, size // 2)
+    while queue:
+        n, s, d = heapq.heappop(queue)
+        free = ~(in_item[s : s - n] | in_doc[d : d - n])
+        if free.all():
+            in_item[s : s - n] = in_doc[d : d - n] = True
+            tiles.append((s, d, -n))
+            continue
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
+        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            if b - a >= least:
+                heapq.heappush(queue, (a - b, s + a, d + a))
+    return tiles
 
 
 class BenchmarkIndex:
@@ -222,7 +227,10 @@ def _dropper(items: list[tuple[int, str, int]], text_col: str, seed_words: int,
 
 def drop_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, seed_words: int = SEED_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that leak no item, with all their columns; one
-    narrow pass per benchmark block. Items without an identifier count too."""
+    narrow pass per benchmark block. Items without an identifier count too.
+    Null and empty texts leak nothing and stay, repeated rows share their fate,
+    items without words match nothing and an empty benchmark keeps every row;
+    coverage of exactly ``threshold`` is a leak."""
     for items in benchmark_blocks(benchmark, block_bytes=block_bytes, named=False):
         docs = bound_batches(docs).mapInArrow(_dropper(items, text_col, seed_words, threshold), docs.schema)
     return docs

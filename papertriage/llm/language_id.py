@@ -14,12 +14,12 @@ memory does not grow with a document's length.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,12 +29,13 @@ UNDETERMINED = "und"
 HIDDEN = 12
 CHUNK = 128  # bytes that a state is carried over
 BLOCK = 2048  # chunks that run side by side
-# bounds of the training sample: languages, about so many documents of each,
-# windows of CHUNK bytes from each document
-MAX_LANGS, SAMPLE_DOCS, SAMPLE_WINDOWS = 64, 300, 4
+# bounds of the training sample: about so many documents of each language and
+# of all together, windows of CHUNK bytes from each document. Every language is
+# learned; where there are very many, each has fewer documents.
+SAMPLE_DOCS, SAMPLE_TOTAL, SAMPLE_WINDOWS = 300, 20_000, 4
 STEPS, BATCH, RATE, SEED = 100, 256, 0.02, 7
 PAD = 256  # a padding position holds the state
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # number signs such as one half are none
 
 
 def _hard_sigmoid(x: np.ndarray) -> None:
@@ -270,22 +271,26 @@ def _cut_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Train on a bounded sample of the rows whose fold is not 2.
 
-    About ``SAMPLE_DOCS`` documents of each of the ``MAX_LANGS`` most frequent
-    languages give ``SAMPLE_WINDOWS`` windows each: under 10 MB on the driver,
-    whatever the table's size. Rows are chosen by a hash of the identifier.
+    About ``SAMPLE_DOCS`` documents of each language, and ``SAMPLE_TOTAL`` of
+    all (one of each at least), give ``SAMPLE_WINDOWS`` windows each: about
+    10 MB on the driver, whatever the table's size. Rows are chosen by a hash
+    of the identifier.
     """
+    sample = _sampled(docs, id_col, text_col, lang_col, False).mapInArrow(_cut_windows, "lang string, data binary")
+    # in order, so that the same sample gives the same network
+    return train(sorted((r["lang"], bytes(r["data"])) for r in sample.collect()))
+
+
+def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out: bool) -> DataFrame:
+    """The bounded sample (lang, text) of labelled rows inside or outside of the held-out fold."""
     rows = bound_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where((fold(F.col("id")) != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not sizes:
-        return Model([])
+    rows = rows.where((F.coalesce(fold(F.col("id")) == 2, F.lit(False)) == held_out) & F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
+    n_langs = sizes.count()
     part = 1 << 20
-    chosen = F.lit(False)
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(SEED)), F.lit(part))
-    for r in sizes:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (draw < min(part, part * SAMPLE_DOCS // r["count"] + 1)))
-    sample = rows.where(chosen).select("lang", "text").mapInArrow(_cut_windows, "lang string, data binary")
-    return train([(r["lang"], bytes(r["data"])) for r in sample.collect()])
+    wanted = max(1, min(SAMPLE_DOCS, SAMPLE_TOTAL // max(1, n_langs)))
+    return rows.join(sizes, "lang").where(draw < F.lit(part * wanted) / F.col("size") + 1).select("lang", "text")
 
 
 def predict(model: Model, batch_texts: list[str]) -> list[tuple[str, float]]:
@@ -327,14 +332,37 @@ def identify_languages(docs: DataFrame, model: Model | None = None, id_col: str
     return rows.mapInArrow(_predictor(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.3) -> DataFrame:
+def rejection_level(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
+    """The score under which a text counts as being in no known language: half
+    way from chance (one over the number of languages) to the lowest score of
+    a rightly predicted text in a bounded sample of held-out rows; without such
+    rows a fifth above chance."""
+    if len(model.langs) < 2:
+        return 0.0
+    chance = 1 / len(model.langs)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            found = predict(model, texts(b, "text"))
+            right = [s for (k, s), want in zip(found, b.column("lang").to_pylist()) if k == want]
+            yield pa.RecordBatch.from_arrays([pa.array(right, pa.float64())], names=["score"])
+
+    lowest = _sampled(docs, id_col, text_col, lang_col, True).mapInArrow(run, "score double").agg(F.min("score")).first()[0]
+    return 1.2 * chance if lowest is None else chance + (lowest - chance) / 2
+
+
+def keep_identified(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float | None = None) -> DataFrame:
     """The rows of ``docs`` in a recognised language, with all their columns:
-    ``und`` goes, and so do texts whose best language has under ``min_score``."""
+    ``und`` goes (null, empty and letterless texts), and so do texts whose best
+    language has under ``min_score`` (None: ``rejection_level``; a score at the
+    level stays). Repeated rows share their fate; where nothing could be
+    learned everything is ``und`` and goes; an empty table stays empty."""
     model = fit(docs, id_col, text_col, lang_col) if model is None else model
+    level = rejection_level(docs, model, id_col, text_col, lang_col) if min_score is None else min_score
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            keep = [lang != UNDETERMINED and score >= min_score for lang, score in predict(model, texts(b, text_col))]
+            keep = [lang != UNDETERMINED and score >= level for lang, score in predict(model, texts(b, text_col))]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return bound_batches(docs).mapInArrow(run, docs.schema)

@@ -18,6 +18,7 @@ def test_stages_on_given_documents(spark):
     bench = decontaminate.BenchmarkIndex([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
     assert [n for n, _ in P.STAGES] == ["language_id", "exact_dedup", "jaccard_join", "decontaminate", "bestfit_pack"]
     model = language_id.fit(docs)
+    level = language_id.rejection_level(docs, model)
     for name, stage in P.STAGES:
         out = stage(spark, docs, SF).cache()
         before = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
@@ -30,12 +31,12 @@ def test_stages_on_given_documents(spark):
         assert out.columns == docs.columns
         after = {r["doc_id"] for r in out.select("doc_id").collect()}
         if name == "language_id":
-            want = {i for i, t in before.items() if (p := language_id.predict(model, [t])[0])[0] != "und" and p[1] >= 0.3}
+            want = {i for i, t in before.items() if (p := language_id.predict(model, [t])[0])[0] != "und" and p[1] >= level}
             assert want == set(before)  # these documents are clean
         elif name == "exact_dedup":
             want = set({t: i for i, t in sorted(before.items())}.values())
         elif name == "jaccard_join":
-            want = {i for i, n, c in jaccard_brute(list(before.items())) if i == c}
+            want = {i for i, n, c in jaccard_brute(list(before.items()), 80, 5) if i == c}
         else:
             want = {i for i, t in before.items() if not bench.leaks(t)}
             assert want != set(before)

@@ -132,17 +132,19 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Of repeated rows (one identifier, one text) exactly one stays. The text is
+    Of repeated rows (one identifier, one text) exactly one stays; null texts
+    are empty ones; of a group without any identifier one row stays; an empty
+    table stays empty; ``docs`` may have columns of any names. The text is
     exchanged once: the join and the last deduplication share a partitioning.
     """
-    winners = exact_duplicates(docs, id_col, text_col, keep).where("kept")
-    winners = winners.select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct()
-    tagged = docs.withColumns({"__id": F.col(id_col).cast("long"), "__sha": F.unhex(F.sha2(whole_text(text_col), 256))})
+    digest = lambda c: F.unhex(F.sha2(c, 256))
     # null identifiers join by a value that no identifier has in common with them
-    key = [F.coalesce(F.col("__id"), F.lit(0)).alias("__k"), F.col("__id").isNull().alias("__null")]
-    left = tagged.select("*", *key).drop("__id")
-    right = winners.select("__sha", *key)
-    return left.join(right, ["__k", "__null", "__sha"], "left_semi").dropDuplicates(["__k", "__null", "__sha"]).select(*docs.columns)
+    key = lambda c: [F.coalesce(c, F.lit(0).cast("long")).alias("id"), c.isNull().alias("no_id")]
+    winners = exact_duplicates(docs, id_col, text_col, keep).where("kept")
+    right = winners.select(F.unhex("text_sha256").alias("sha"), *key(F.col("doc_id"))).distinct()
+    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    left = docs.select(digest(whole_text(text_col)).alias("sha"), *key(F.col(id_col).cast("long")), row)
+    return left.join(right, ["id", "no_id", "sha"], "left_semi").dropDuplicates(["id", "no_id", "sha"]).select("row.*")
 
 
 SQL = """

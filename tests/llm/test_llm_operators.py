@@ -251,6 +251,28 @@ def near_copies(seed, groups=12, size=14):
     return [(i, t) for i, (_, t) in enumerate(out)]
 
 
+def test_templated_texts_are_cut_into_small_tiles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 16)
+    rng = random.Random(3)
+    rows = [(i, " ".join([f"t{k}" for k in range(14)] + [f"o{rng.randrange(10**6)}" for _ in range(5)])) for i in range(1500)]
+    rows += [(5000 + i, rows[i][1] + " x") for i in range(0, 1500, 300)]
+    seen = []
+    compare = jaccard_join._mixed
+    monkeypatch.setattr(jaccard_join, "_mixed", lambda *a: seen.append(compare(*a)) or seen[-1])
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert {d: c for d, c in got.items() if d != c} == {5000 + i: i for i in range(0, 1500, 300)}
+    largest = [m.agg(F.max("size")).first()[0] or 0 for m in seen]
+    assert len(seen) > 2 and largest[-1] < largest[0] / 4
+
+
+def test_columns_of_any_names_are_kept(spark):
+    names = ("__id", "__sha", "__k", "__null", "id", "no_id", "sha", "row")
+    df = frame(spark, EDGE).withColumns({c: F.lit(f"mine-{c}") for c in names})
+    for out in (exact_dedup.drop_exact_duplicates(df), jaccard_join.keep_representatives(df)):
+        assert out.columns == df.columns
+        assert out.select(*names).distinct().collect() == [tuple(f"mine-{c}" for c in names)]
+
+
 def test_jaccard_join_edges(edge):
     assert rows_of(jaccard_join.similar_components(edge)) == jaccard_brute(pairs(edge))
     kept = jaccard_join.keep_representatives(edge)

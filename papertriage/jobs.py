@@ -5,6 +5,7 @@
   related_detailed (JSON), rejects and report tables under one output root.
 * ``notes_job``: exported submission notes -> accepted paper table.
 * ``pages_job``: stored listing/detail pages -> paper table and rejects.
+* ``collect_sequential``: the collector with the original scripts' key rules.
 * ``collect_job``: the whole collector: listing pages -> links not yet saved ->
   stored detail pages -> extraction -> new papers and rejects.
 
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import TriageConfig
+from .functions import text as TX
 from .operators import blocks as BL
 from .operators import encode as EN
 from .operators import listing as LS
@@ -229,3 +231,51 @@ def collect_job(
     kept = PP.keep_first_nonempty(fresh, "title_key", "place")
     papers = kept.select("url", "title", "abstract", "title_key", f"place.{listing_id}", "place.pos")
     return papers, done.filter(F.col("reason").isNotNull()).select("url", "reason")
+
+
+# key rules of the sequential collectors: whether link texts make a dict (the
+# last href of a text counts, at its first place), and whose title is saved
+CVF, ECCV = "cvf", "eccv"
+
+
+def collect_sequential(
+    spark: SparkSession,
+    listings: DataFrame,
+    pages: DataFrame,
+    saved: DataFrame,
+    rule: str = CVF,
+    layout: str | None = None,
+    listing_id: str = "listing_id",
+) -> tuple[DataFrame, DataFrame]:
+    """The collector as the sequential scripts run it: (papers ``url, title,
+    abstract, listing_id, pos``, rejects ``url, reason``).
+
+    A listing entry is skipped before its page is read when the key of its
+    link text is among the saved keys or the keys added so far; a paper that
+    is saved adds a key: of the page's title (``cvf``) or of the link text,
+    which is also its title (``eccv``). Entries without stored page, title or
+    abstract are rejects and add no key. Only wanted pages are parsed; of
+    several stored pages of one URL the first is read. Empty keys match nothing.
+    """
+    if rule not in (CVF, ECCV):
+        raise ValueError(f"unknown rule {rule!r}")
+    links = LS.page_links(listings, listing_id)
+    if rule == CVF:
+        links = LS.link_dict(links, listing_id)
+    entries = links.select(F.struct(listing_id, "pos").alias("place"), F.col("href").alias("url"), "link_text", TX.title_key("link_text").alias("listing_key"))
+    known = saved.filter("title_key <> ''").select(F.col("title_key").alias("listing_key"))
+    todo = PP.not_already_saved(entries, known, "listing_key")
+    base = scratch_path(spark, f"collect-{uuid.uuid4().hex}")
+    todo.write.parquet(f"{base}/todo")
+    todo = spark.read.parquet(f"{base}/todo")
+    wanted = PP.keep_first_per_key(pages.join(todo.select("url").distinct(), "url", "left_semi").select("url", "page_id"), "url", "page_id")
+    fields = pages.join(wanted, ["url", "page_id"], "left_semi").select("url", PG.extract_fields("html", layout or rule).alias("f"))
+    stored = fields.select("url", F.col("f.title").alias("page_title"), F.col("f.abstract").alias("abstract"), F.lit(True).alias("_stored")).dropDuplicates(["url"])
+    title = F.col("page_title") if rule == CVF else TX.py_strip(F.col("link_text"))
+    reason = F.when(F.col("_stored").isNull(), F.lit("page not stored")).otherwise(PP.reject_reason(F.col("title"), F.col("abstract")))
+    tagged = todo.join(stored, "url", "left").withColumn("title", title).withColumn("reason", reason)
+    tagged = tagged.withColumn("page_key", F.when(F.col("reason").isNull(), TX.title_key("title"))).drop("_stored", "page_title")
+    tagged.write.parquet(f"{base}/read")
+    taken = PP.keep_sequential(spark.read.parquet(f"{base}/read"), "listing_key", "page_key", "place")
+    papers = taken.filter(F.col("reason").isNull()).select("url", "title", "abstract", f"place.{listing_id}", "place.pos")
+    return papers, taken.filter(F.col("reason").isNotNull()).select("url", "reason")

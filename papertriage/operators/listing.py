@@ -8,6 +8,7 @@ a window ordered over a whole archive would put that archive in one task.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from operator import and_
 
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..session import scratch_path
 from ..sources import pages as PG
 
 
@@ -46,6 +48,29 @@ def link_dict(links: DataFrame, id_col: str = "page_id") -> DataFrame:
     )
 
 
+def walk_next(pages: DataFrame, starts: DataFrame, max_pages: int = 10_000) -> DataFrame:
+    """H9: the listing pages reached from each start by following the
+    next-page link: ``(start, step, url)``.
+
+    ``pages``: ``(url, html)``, ``starts``: ``(url)``. Links are extracted once;
+    a step is one join of all walks at once. A walk ends where there is no next
+    link, where its page is not stored or where it has been already."""
+    spark = pages.sparkSession
+    base = scratch_path(spark, f"walk-{uuid.uuid4().hex}")
+    pages.select("url", PG.next_page_url("html").alias("next")).dropDuplicates(["url"]).write.parquet(f"{base}/links")
+    links = spark.read.parquet(f"{base}/links")
+    at = starts.select("url").distinct().join(links, "url", "left_semi").select(F.col("url").alias("start"), F.lit(0).alias("step"), "url")
+    for step in range(max_pages):
+        at.write.parquet(f"{base}/steps/at={step}")
+        seen = spark.read.schema("start string, step int, url string").parquet(f"{base}/steps").select("start", "step", "url")
+        last = seen.where(F.col("step") == step)
+        if last.isEmpty():
+            return seen
+        following = last.join(links.where("next IS NOT NULL"), "url").select("start", F.lit(step + 1).alias("step"), F.col("next").alias("url"))
+        at = following.join(links, "url", "left_semi").join(seen.select("start", "url"), ["start", "url"], "left_anti").select("start", "step", "url")
+    raise RuntimeError(f"a walk is longer than {max_pages} pages")
+
+
 def detail_join(listing: DataFrame, details: DataFrame, key: str = "url") -> tuple[DataFrame, DataFrame]:
     """Listing rows joined to stored detail pages; (matched, rejects).
 

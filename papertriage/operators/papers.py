@@ -9,10 +9,13 @@ all rows is combined map-side instead of landing in one task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as TX
+from ..session import scratch_path
 
 PAPER_COLUMNS = ["paper_id", "title", "abstract", "url", "venue"]
 
@@ -79,6 +82,35 @@ def keep_first_nonempty(df: DataFrame, key: str, order_col: str, count_col: str
     return first.unionByName(alone.select(*first.columns))
 
 
+def keep_sequential(rows: DataFrame, listing_key: str, page_key: str, order_col: str, max_rounds: int = 1000) -> DataFrame:
+    """E4 + D2 as the sequential collector has it: in ``order_col`` order a row
+    is taken unless an earlier *taken* row's ``page_key`` equals its own
+    ``listing_key`` (the key is added after each save). ``order_col`` is unique.
+
+    An ordered fixed point in rounds: a row is decided once every earlier row
+    that could stop it is. Per key only the first taken and the first undecided
+    row matter, so a round is one aggregation and one join, whatever a key's
+    number of rows; there are as many rounds as the longest chain of rows that
+    depend on each other. Empty and null keys stop nothing."""
+    spark = rows.sparkSession
+    key = lambda c: F.nullif(F.col(c), F.lit(""))
+    todo = rows.select(F.col(order_col).alias("o"), key(listing_key).alias("mine"), key(page_key).alias("gives"))
+    todo = todo.withColumn("taken", F.lit(None).cast("boolean"))
+    for _ in range(max_rounds):
+        path = scratch_path(spark, f"sequential-{uuid.uuid4().hex}")
+        todo.write.parquet(path)
+        todo = spark.read.schema(todo.schema).parquet(path)
+        if todo.where("taken IS NULL").isEmpty():
+            return rows.join(todo.where("taken").select(F.col("o").alias(order_col)), order_col, "left_semi")
+        giving = todo.where("gives IS NOT NULL AND taken IS NOT FALSE").groupBy("gives").agg(
+            F.min(F.when(F.col("taken"), F.col("o"))).alias("sure"), F.min(F.when(F.col("taken").isNull(), F.col("o"))).alias("maybe")
+        )
+        seen = todo.join(giving.withColumnRenamed("gives", "mine"), "mine", "left")
+        verdict = F.when(F.col("sure") < F.col("o"), F.lit(False)).when(F.col("maybe") < F.col("o"), F.lit(None)).otherwise(F.lit(True))
+        todo = seen.select("o", "mine", "gives", F.coalesce("taken", verdict).alias("taken"))
+    raise RuntimeError(f"undecided rows after {max_rounds} rounds")
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """Distinct keys (aggregated before the shuffle)."""
     return df.select(key).filter(F.col(key).isNotNull()).distinct()

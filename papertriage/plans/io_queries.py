@@ -115,7 +115,8 @@ def related_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = kept_papers(spark, sf_dir).select(*CS.PAPER_COLUMNS, "lang")
     path = _scratch(spark, "mixed")
-    plain, other = kept.filter(F.col("lang") == "en").drop("lang"), kept.filter(F.col("lang") != "en").drop("lang")
+    english = F.col("lang").eqNullSafe("en")
+    plain, other = kept.filter(english).drop("lang"), kept.filter(~english).drop("lang")
     CS.write_paper_csv(plain, path, mode="append")
     CS.write_paper_csv(other.select("url", F.col("abstract").alias("Abstract"), F.col("title").alias("Title")), path, mode="append")
     return CS.read_paper_csv(spark, path)

@@ -123,3 +123,19 @@ def venue_fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = docs.select(TX.venue_id(conf, yy).alias("venue_id"))
     k = v.select(TX.conference_info("venue_id").alias("venue_key"), "venue_id")
     return k.groupBy("venue_key").agg(F.any_value("venue_id").alias("venue_id"), F.count(F.lit(1)).alias("n_papers"))
+
+
+_LISTING_BASE = "https://listing.example.org/"
+
+
+@query(
+    "listing_urls",
+    f"""SELECT source, '{_LISTING_BASE}' || source || '20' || lpad(CAST(doc_id % 7 + 19 AS VARCHAR), 2, '0') || '?day=all' AS listing_url,
+       source || '.cc/20' || CAST(doc_id % 7 + 19 AS VARCHAR) || '/Conference' AS venue_id, CAST(count(*) AS BIGINT) AS n
+FROM documents GROUP BY ALL""",
+    "H11 (conference and year to listing URL and venue id)",
+)
+def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    yy = (F.col("doc_id") % 7 + 19).cast("string")
+    docs = read_table(spark, sf_dir, "documents").select("source", TX.listing_url("source", yy, _LISTING_BASE).alias("listing_url"), TX.venue_id("source", yy).alias("venue_id"))
+    return docs.groupBy("source", "listing_url", "venue_id").agg(F.count(F.lit(1)).alias("n"))

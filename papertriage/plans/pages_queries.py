@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..jobs import collect_job
+from ..jobs import CVF, ECCV, collect_job, collect_sequential
 from ..operators import listing as LS
 from ..operators import papers as PP
 from ..sources import pages as PG
@@ -29,7 +29,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
        nullif(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '') AS title_raw,
        nullif(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '') AS html_title,
        nullif(regexp_extract(html, '<html[^>]*lang="([A-Za-z-]+)"', 1), '') AS lang,
-       nullif(regexp_extract(html, '<a[^>]*(?:rel|class)="next"[^>]*href="([^"]*)"', 1), '') AS next_url
+       nullif(regexp_extract(regexp_extract(html, '<a\\s(?:[^>]*\\s)?(?:rel|class)="(?:[^"]*\\s)?next(?:\\s[^"]*)?"[^>]*>'), '\\shref="([^"]*)"', 1), '') AS next_url
 FROM pages""",
     "A5 H7 H9 (regex fast path over stored pages)",
 )
@@ -198,6 +198,75 @@ def collect_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collected(spark, sf_dir)[1]
 
 
+# --- the sequential collectors and the next-page walk ---------------------------
+
+
+def _retitled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Listing and detail pages whose titles depend on each other: entry
+    ``page_id`` is called Title ``page_id % 50``, its page Title ``page_id * 7 % 60``."""
+    pid = F.col("page_id")
+    p = stored_pages(spark, sf_dir)
+    heading = F.concat(F.lit("<h1>Title "), (pid * 7 % 60).cast("string"), F.lit("</h1>"))
+    html = F.regexp_replace("html", F.lit("(?s)<h1[^>]*>.*?</h1>"), heading)
+    link = F.concat(F.lit('<a href="/'), pid.cast("string"), F.lit('">Title '), (pid % 50).cast("string"), F.lit("</a>"))
+    return p.select(pid.alias("listing_id"), link.alias("html")), p.select("page_id", F.concat(F.lit("/"), pid.cast("string")).alias("url"), html.alias("html"))
+
+
+def _sequential_sql(page_title: str, missing_title: str) -> str:
+    return f"""
+WITH RECURSIVE {STORED_CTE.removeprefix("WITH ")},
+e AS (SELECT row_number() OVER (ORDER BY page_id) AS i, '/' || page_id AS url, 'Title ' || (page_id % 50) AS link, {page_title} AS title,
+  CASE WHEN {missing_title} THEN 'missing title' WHEN abstract = '' THEN 'missing abstract' END AS reason FROM f),
+w AS (
+  SELECT CAST(0 AS BIGINT) AS i, ['title3', 'title11'] AS seen, false AS taken
+  UNION ALL
+  SELECT e.i, CASE WHEN NOT list_contains(seen, lower(replace(link, ' ', ''))) AND reason IS NULL THEN list_append(seen, lower(replace(title, ' ', ''))) ELSE seen END,
+    NOT list_contains(seen, lower(replace(link, ' ', '')))
+  FROM w JOIN e ON e.i = w.i + 1
+)
+SELECT url, title, reason FROM w JOIN e USING (i) WHERE taken"""
+
+
+def _sequential(spark: SparkSession, sf_dir: str, rule: str) -> DataFrame:
+    listings, pages = _retitled(spark, sf_dir)
+    saved = spark.createDataFrame([("title3",), ("title11",), ("",)], "title_key string")
+    papers, rejects = collect_sequential(spark, listings, pages, saved, rule, layout="generic")
+    number = F.regexp_extract("url", "[0-9]+", 0).cast("long")
+    title = number * 7 % 60 if rule == CVF else number % 50
+    shown = rejects.select("url", F.concat(F.lit("Title "), title.cast("string")).alias("title"), "reason")
+    return papers.select("url", "title", F.lit(None).cast("string").alias("reason")).unionByName(shown)
+
+
+@query("collect_cvf", _sequential_sql("'Title ' || (page_id * 7 % 60)", "f.title = ''"), "E4 D2 D5 A14 (sequential keys: the page's title is added after each save)")
+def collect_cvf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sequential(spark, sf_dir, CVF)
+
+
+@query("collect_eccv", _sequential_sql("'Title ' || (page_id % 50)", "false"), "E4 D2 D5 A14 (sequential keys: title and key from the listing)")
+def collect_eccv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sequential(spark, sf_dir, ECCV)
+
+
+@query(
+    "next_page_walk",
+    f"""WITH RECURSIVE n AS (SELECT page_id AS id, CASE WHEN page_id % {TRACKS_PER_PAGE} <> 7 THEN page_id + 1 END AS nxt FROM pages),
+w AS (
+  SELECT id AS first, 0 AS step, id FROM n WHERE id % {TRACKS_PER_PAGE} = 0
+  UNION ALL SELECT w.first, w.step + 1, m.id FROM w JOIN n ON n.id = w.id JOIN n m ON m.id = n.nxt
+)
+SELECT '/list/' || first AS start, CAST(step AS INTEGER) AS step, '/list/' || id AS url FROM w""",
+    "H9 (archives of listing pages followed by their next-page links)",
+)
+def next_page_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pid = F.col("page_id")
+    to = F.concat(F.lit("/list/"), (pid + 1).cast("string"))
+    # the link's attributes in both orders, next as one of several class words
+    link = F.when(pid % 2 == 0, F.concat(F.lit('<a rel="next" href="'), to, F.lit('">'))).otherwise(F.concat(F.lit('<a href="'), to, F.lit('" class="page next">')))
+    html = F.concat(F.lit("<nav>"), F.when(pid % TRACKS_PER_PAGE != 7, link).otherwise(F.lit("")), F.lit("</nav>"), F.coalesce("html", F.lit("")))
+    pages = _pages(spark, sf_dir).select(F.concat(F.lit("/list/"), pid.cast("string")).alias("url"), html.alias("html"), "page_id")
+    return LS.walk_next(pages, pages.where(pid % TRACKS_PER_PAGE == 0))
+
+
 # --- issue archive derived from pages ----------------------------------------
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..config import FIXTURE_CONFIG, REFERENCE_COUNT, TriageConfig
 from ..functions import text as TX
 from ..operators import blocks as BL
+from ..operators import ranking as RK
 from ..operators import report as RP
 from ..operators import score as SC
 from ..sources.tables import read_table
@@ -232,6 +233,21 @@ def related_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RP.related_report(SC.related_only(scored), refs, docs, CFG)
 
 
+@query(
+    "ranked_related",
+    _PAIRS_SQL
+    + """SELECT paper_id, row_number() OVER (ORDER BY mean_sim DESC, paper_id) AS rank, row_number() OVER (ORDER BY paper_id) AS related_no,
+       round(mean_sim, 6) AS mean_similarity FROM rel""",
+    "F4 F5 (rank by mean similarity and running number in input order, both read back)",
+)
+def ranked_related(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = scored_papers(spark, sf_dir, keep_sims=False)
+    related = SC.related_only(scored).select("paper_id", "mean_similarity")
+    ranked = RK.global_row_number(related, [F.col("mean_similarity").desc(), F.col("paper_id")], "rank")
+    numbered = RK.global_row_number(ranked, [F.col("paper_id")], "related_no")
+    return numbered.select("paper_id", "rank", "related_no", F.round("mean_similarity", 6).alias("mean_similarity"))
+
+
 @query(
     "top_percentile",
     _PAIRS_SQL

@@ -1,17 +1,22 @@
 """Paper CSV source and sink.
 
 The original tables are CSV files written by pandas: a header row, fields
-quoted only when needed, quotes doubled, newlines inside quoted fields. Spark
-reads them identically with ``multiLine`` and ``escape='"'``; a ``multiLine``
-file is not splittable, so land CSV input as parquet once and work on that.
+quoted only when needed, quotes doubled, newlines inside quoted fields. Spark's
+own reader takes such a file as a whole (``multiLine``); here files are cut
+into records in parallel (``sources.quoted``) and each record is parsed by
+Spark's CSV parser with the same options, so one large file has many tasks.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
+import io
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import quoted
 
 PAPER_COLUMNS = ["title", "abstract", "url"]
 
@@ -45,31 +50,27 @@ PANDAS_NA_VALUES = [
 VENUE_FILE_PATTERN = r"([A-Za-z0-9]+)_([0-9]{2})\.csv$"
 
 
-def _reader(spark: SparkSession):
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("quote", '"')
-        .option("inferSchema", False)
-    )
+_OPTIONS = {"escape": '"', "quote": '"', "multiLine": "true", "mode": "PERMISSIVE"}
 
 
-def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
-    """The files grouped by their first line, which names their columns: Spark
-    takes one file's header for all. The lines are reduced to one per file in
-    the tasks; what reaches the driver is as long as the file listing."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"), "value")
-    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
-    return [r["files"] for r in heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()]
+def _columns_of(head: str) -> list[str]:
+    """Column names of a header record, aliases applied where the plain name
+    is not there as well."""
+    names = next(csv.reader(io.StringIO(head.lstrip("\ufeff"), newline="")), [])
+    return [HEADER_ALIASES[n] if n in HEADER_ALIASES and HEADER_ALIASES[n] not in names else n for n in names]
 
 
-def _aliased(df: DataFrame) -> DataFrame:
-    for old, new in HEADER_ALIASES.items():
-        if old in df.columns and new not in df.columns:
-            df = df.withColumnRenamed(old, new)
-    cols = [c for c in PAPER_COLUMNS if c in df.columns]
-    return df.select(*cols, F.col("_metadata.file_path").alias("_file"))
+def _parsed(rows: DataFrame, layouts: list[str]) -> DataFrame:
+    """The paper columns that any layout has, by each record's own header."""
+    named = {head: _columns_of(head.rstrip("\r")) for head in layouts}
+    cols = [c for c in PAPER_COLUMNS if any(c in names for names in named.values())]
+    fields = None
+    for head, names in named.items():
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        record = F.from_csv("record", F.lit(schema.simpleString()[len("struct<") : -1].replace(":", " ")), _OPTIONS)
+        mine = F.transform(F.array(record), lambda r: F.struct(*((r[f"c{names.index(c)}"] if c in names else F.lit(None).cast("string")).alias(c) for c in cols)))[0]
+        fields = mine if len(named) == 1 else F.when(F.col("head") == head, mine) if fields is None else fields.when(F.col("head") == head, mine)
+    return rows.select(fields.alias("f"), F.col("file").alias("_file")).select(*[F.col(f"f.{c}").alias(c) for c in cols], "_file")
 
 
 def read_paper_csv(spark: SparkSession, path: str, pandas_missing: bool = False, with_source: bool = False) -> DataFrame:
@@ -79,9 +80,7 @@ def read_paper_csv(spark: SparkSession, path: str, pandas_missing: bool = False,
     ``pandas_missing`` maps pandas' default missing-value strings to NULL
     (Spark keeps ``NA``/``None`` as text). ``with_source`` adds
     ``venue``/``year`` from ``<conference>_<yy>.csv`` file names (A7)."""
-    groups = _files_by_header(spark, path)
-    parts = [_aliased(_reader(spark).csv(files)) for files in groups] if len(groups) > 1 else [_aliased(_reader(spark).csv(path))]
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    out = _parsed(*quoted.records(spark, path))
     cols = [c for c in PAPER_COLUMNS if c in out.columns]
     extra = ["_file"] if with_source else []
     out = out.select(*cols, *extra)
@@ -121,8 +120,7 @@ def write_paper_csv(df: DataFrame, path: str, mode: str = "overwrite", partition
 def land_as_parquet(
     spark: SparkSession, csv_path: str, out_path: str, pandas_missing: bool = False, mode: str = "overwrite"
 ) -> DataFrame:
-    """Read per-venue paper CSVs once (``multiLine`` files are not splittable)
-    and write them as parquet partitioned by ``venue`` and ``year`` (A7), so
+    """Read per-venue paper CSVs once and write them as parquet partitioned by ``venue`` and ``year`` (A7), so
     later jobs get split reads, pushdown and partition pruning."""
     df = read_paper_csv(spark, csv_path, pandas_missing=pandas_missing, with_source=True)
     df.write.mode(mode).partitionBy("venue", "year").parquet(out_path)

@@ -34,7 +34,8 @@ PAGE_SCHEMA = T.StructType(
 H1_PATTERN = r"(?s)<h1[^>]*>(.*?)</h1>"
 TITLE_PATTERN = r"(?s)<title[^>]*>(.*?)</title>"
 ANCHOR_PATTERN = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a\s*>"""
-NEXT_PATTERN = r'<a[^>]*(?:rel|class)="next"[^>]*href="([^"]*)"'
+NEXT_PATTERN = r'<a\s(?:[^>]*\s)?(?:rel|class)="(?:[^"]*\s)?next(?:\s[^"]*)?"[^>]*>'
+HREF_PATTERN = r'\shref="([^"]*)"'
 LANG_PATTERN = r'<html[^>]*lang="([A-Za-z-]+)"'
 
 
@@ -48,9 +49,9 @@ def first_h1_raw(html: Column | str) -> Column:
 
 
 def next_page_url(html: Column | str) -> Column:
-    """H9: ``href`` of the next-page link (``rel`` or ``class`` ``next``,
-    written before ``href``); NULL when there is none."""
-    return F.nullif(F.regexp_extract(_c(html), NEXT_PATTERN, 1), F.lit(""))
+    """H9: ``href`` of the first link with ``next`` among its ``rel`` or
+    ``class`` words, attributes in any order; NULL when there is none."""
+    return F.nullif(F.regexp_extract(F.regexp_extract(_c(html), NEXT_PATTERN, 0), HREF_PATTERN, 1), F.lit(""))
 
 
 def page_lang(html: Column | str) -> Column:

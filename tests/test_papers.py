@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from papertriage.operators import papers as PP
@@ -54,3 +56,20 @@ def test_rows_without_a_key_all_stay(spark):
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, ""), (4, ""), (5, None)], "paper_id long, title_key string")
     got = PP.keep_first_nonempty(df, "title_key", "paper_id", count_col="n").collect()
     assert sorted((r["paper_id"], r["n"]) for r in got) == [(1, 2), (3, 1), (4, 1), (5, 1)]
+
+
+def test_keep_sequential_equals_a_loop(spark):
+    rng = random.Random(3)
+    keys = [None, "", *"abcdefghij"]
+    rows = [(i, rng.choice(keys), rng.choice(keys)) for i in range(120)]
+    rows += [(200 + i, f"k{i}", f"k{i + 1}") for i in range(12)]  # a chain: every second row is taken
+    rows += [(300 + i, "hot", "hot") for i in range(50)]
+    seen, want = set(), []
+    for i, mine, gives in rows:
+        if not mine or mine not in seen:
+            want.append(i)
+            seen.add(gives)
+    df = spark.createDataFrame(rows, "place long, listing_key string, page_key string").repartition(5)
+    got = PP.keep_sequential(df, "listing_key", "page_key", "place")
+    assert got.columns == df.columns and sorted(r["place"] for r in got.collect()) == want
+    assert PP.keep_sequential(df.where("false"), "listing_key", "page_key", "place").collect() == []

@@ -24,3 +24,31 @@ def test_grouped_rank_with_ties_and_hot_group(spark):
     assert len(m) == 300
     assert (m["rank_x"] == m["rank_y"]).all()
     assert ((m["percent_rank"] - m["pr"]).abs() < 1e-12).all()
+
+
+def test_rows_are_evaluated_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(0, 1000, numPartitions=4).mapInArrow(touch, "id long")
+    assert RK.global_row_number(df, [F.col("id").desc()], "rn").agg(F.max("rn")).first()[0] == 1000
+    assert seen.value == 1000
+
+
+def test_groups_cut_by_partitions(spark):
+    rows = [(None if i % 7 == 0 else "hot" if i % 3 else f"g{i % 11}", i, [1.0, 2.0, float("nan"), None][i * 31 % 4]) for i in range(500)]
+    df = spark.createDataFrame(rows, "g string, id long, v double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = []
+    try:
+        for n in ("1", "23"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append(sorted(map(repr, RK.grouped_rank(df, ["g"], [F.col("v").desc()], ["v"], "id").collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert out[0] == out[1] and len(out[0]) == 500
+    assert RK.grouped_rank(df.where("false"), ["g"], [F.col("v").desc()], ["v"], "id").collect() == []

@@ -68,22 +68,51 @@ def hashing_embedding(df, text: str, out: str = "embedding", dim: int = HASH_DIM
     return counts.withColumn(out, F.transform(V.l2_normalize("_counts"), lambda x: x.cast("float"))).drop("_counts")
 
 
+# Bytes of one encoder batch, every text counted as long as its longest one.
+BATCH_BYTES = 1 << 20
+
+
+def plan_batches(sizes: np.ndarray, batch_size: int, batch_bytes: int = BATCH_BYTES) -> list[np.ndarray]:
+    """Rows by size, cut into batches of at most ``batch_size`` rows whose
+    padded size (rows times the longest) is at most ``batch_bytes``; a longer
+    text is a batch by itself. Texts of one batch are of similar size, so
+    little of what an encoder pads is wasted."""
+    order = np.argsort(sizes, kind="stable")
+    out, start = [], 0
+    for i in range(1, len(order) + 1):
+        if i == len(order) or i - start == batch_size or (i - start + 1) * int(sizes[order[i]]) > batch_bytes:
+            out.append(order[start:i])
+            start = i
+    return out
+
+
+def padded_share(sizes: np.ndarray, batches: list[np.ndarray]) -> float:
+    """Share of padding in what an encoder is given in these batches."""
+    given = sum(len(b) * int(sizes[b].max()) for b in batches)
+    return 1 - float(sizes.sum()) / given if given else 0.0
+
+
 def encode_with(
     text: Column | str,
     make_encoder: Callable[[], Callable[[list[str]], np.ndarray]],
     batch_size: int = 64,
+    batch_bytes: int = BATCH_BYTES,
 ) -> Column:
     """Run a batch encoder over texts; ``make_encoder`` is called once per
-    worker (load the model there). Rows are encoded ``batch_size`` at a time;
-    batches are concatenated back in row order (E9)."""
+    worker (load the model there). Texts of similar length are encoded at most
+    ``batch_size`` at a time and within ``batch_bytes`` (``plan_batches``); the
+    vectors come back in row order (E9)."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = make_encoder()
         for s in batches:
             texts = s.fillna("").tolist()
-            parts = [np.asarray(enc(texts[i : i + batch_size]), dtype=np.float32) for i in range(0, len(texts), batch_size)]
+            rows = plan_batches(np.array([len(t.encode("utf-8")) for t in texts], np.int64), batch_size, batch_bytes)
+            parts = [np.asarray(enc([texts[i] for i in b]), dtype=np.float32) for b in rows]
             mat = np.concatenate(parts, axis=0) if parts else np.zeros((0, 0), np.float32)
+            if parts:
+                mat = mat[np.argsort(np.concatenate(rows))]
             norms = np.maximum(np.linalg.norm(mat, axis=1, keepdims=True), V.NORM_EPS)
             mat = (mat / norms).astype(np.float32)
             out = pd.Series(list(mat))

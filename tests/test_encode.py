@@ -55,3 +55,24 @@ def test_histogram_counts(spark):
     got = [r[0] for r in df.select(EN.hashing_counts("b")).collect()]
     assert got[0][:2] == [1, 2] and got[0][63] == 1 and sum(got[0]) == 4
     assert got[1] == [0] * 64 and got[2] is None
+
+
+def test_batches_keep_row_order_and_bounds(spark):
+    rng = np.random.default_rng(5)
+    sizes = np.concatenate([rng.integers(0, 400, 300), [1_000_000, 1_000_000, 3]])
+    plan = EN.plan_batches(sizes, 64, 20_000)
+    assert sorted(np.concatenate(plan).tolist()) == list(range(len(sizes)))
+    assert all(len(b) <= 64 and (len(b) == 1 or len(b) * sizes[b].max() <= 20_000) for b in plan)
+    in_order = [np.arange(i, min(i + 64, 300)) for i in range(0, 300, 64)]
+    assert EN.padded_share(sizes[:300], EN.plan_batches(sizes[:300], 64, 20_000)) < EN.padded_share(sizes[:300], in_order) / 3
+    assert EN.plan_batches(np.empty(0, np.int64), 64) == []
+    texts = [(i, "x" * int(n) if i % 9 else None) for i, n in enumerate(sizes[:300])] + [(900, "y" * 1_000_000)]
+    df = spark.createDataFrame(texts, "id long, text string").repartition(2)
+
+    def lengths():
+        return lambda batch: np.array([[len(t), 1.0] for t in batch])
+
+    got = {r["id"]: r["v"] for r in df.select("id", EN.encode_with("text", lengths, 16, 5_000).alias("v")).collect()}
+    for i, t in texts:
+        want = None if t is None else np.array([len(t), 1.0]) / np.hypot(len(t), 1.0)
+        assert got[i] is None if want is None else np.allclose(got[i], want, atol=1e-6)

@@ -106,7 +106,8 @@ def write_triage_outputs(
     only. ``texts`` (``paper_id, title, abstract``) supplies titles when
     ``scored`` has none. Without ``ref_set``, ``scored`` comes from
     ``score_blocks`` and ``refs`` (``ref_id, title, embedding``) are paired
-    again with the related rows only. Returns the paths and the run counts
+    again with the related rows only. The tables are one version under the
+    root and appear together (``sources.outputs.published``). Returns the paths and the run counts
     (``summary``), gathered by an ``Observation`` during the write (no extra
     job)."""
     keep_cols = [c for c in ("paper_id", "title", "abstract", "url", "venue") if c in scored.columns]
@@ -128,7 +129,8 @@ def write_triage_outputs(
         F.count_if(F.col("reason") == "mean").alias("n_mean_rule"),
         F.count_if(F.col("reason") == "top_k").alias("n_top_k_rule_only"),
     )
-    paths = OUT.write_outputs(out_root, {"scored": scored_out})
+    out = OUT.Publication(spark, out_root)
+    paths = dict(out.write({"scored": scored_out}))
     paths["summary"] = summary.get
     saved = spark.read.parquet(paths["scored"])
     related = saved.filter(F.col("is_related"))
@@ -156,7 +158,8 @@ def write_triage_outputs(
     }
     if rejects is not None:
         tables["rejects"] = rejects
-    paths.update(OUT.write_outputs(out_root, tables, fmt={"related": "csv", "related_detailed": "json"}))
+    paths.update(out.write(tables, fmt={"related": "csv", "related_detailed": "json"}))
+    out.commit()
     return paths
 
 

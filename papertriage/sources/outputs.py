@@ -8,12 +8,16 @@ similarities as a map ordered by similarity (Spark keeps entry order).
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.score import ReferenceSet
+from .tables import read_or_empty
 
 # Fixed output table names under the output root.
 OUTPUT_TABLES = ("scored", "related", "related_detailed", "rejects", "report")
@@ -48,6 +52,34 @@ def similarity_map(detail_col: str, refs: ReferenceSet | None) -> Column:
     return F.map_from_entries(first_only)
 
 
+class Publication:
+    """Output tables that appear together: they are written to a folder of
+    their own version, and ``commit`` adds one manifest row that names it. A run
+    that ends before leaves the former version's tables as they are."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._spark, self._root = spark, root.rstrip("/")
+        self.version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        self.paths: dict[str, str] = {}
+
+    def write(self, tables: dict[str, DataFrame], fmt: dict[str, str] | None = None) -> dict[str, str]:
+        written = write_outputs(f"{self._root}/versions/{self.version}", tables, fmt)
+        self.paths.update(written)
+        return written
+
+    def commit(self) -> None:
+        row = [(self.version, sorted(self.paths.items()))]
+        manifest = self._spark.createDataFrame(row, "version string, tables array<struct<name:string,path:string>>")
+        manifest.coalesce(1).write.mode("append").parquet(f"{self._root}/published")
+
+
+def published(spark: SparkSession, root: str) -> dict[str, str]:
+    """Paths of the last version that was committed; none yet: empty."""
+    schema = T.StructType([T.StructField("version", T.StringType()), T.StructField("tables", T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("path", T.StringType())])))])
+    last = read_or_empty(spark, f"{root.rstrip('/')}/published", schema).orderBy(F.desc("version")).first()
+    return {} if last is None else {t["name"]: t["path"] for t in last["tables"]}
+
+
 def write_outputs(root: str, tables: dict[str, DataFrame], fmt: dict[str, str] | None = None) -> dict[str, str]:
     """Write each named table to ``root/<name>`` (overwrite). Returns paths."""
     fmt = fmt or {}

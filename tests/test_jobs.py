@@ -9,6 +9,7 @@ from papertriage.operators import papers as PP
 from papertriage.operators import score as SC
 from papertriage.plans.encode_queries import HASH_CFG, encoded_papers
 from papertriage.session import scratch_path
+from papertriage.sources import outputs as OUT
 from papertriage.sources.notes import notes_from_documents
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +61,24 @@ def test_triage_job_has_no_reference_limit(spark):
     assert out[0] == out[1] and out[0][0]["n_related"] > 0
 
 
+def test_output_tables_appear_together(spark):
+    root = scratch_path(spark, f"publish-{uuid.uuid4().hex}")
+    assert OUT.published(spark, root) == {}
+    first = OUT.Publication(spark, root)
+    first.write({"scored": spark.range(3).toDF("n")})
+    first.write({"related": spark.range(2).toDF("n")})
+    assert OUT.published(spark, root) == {}
+    first.commit()
+    killed = OUT.Publication(spark, root)  # ends before its second table
+    killed.write({"scored": spark.range(9).toDF("n")})
+    paths = OUT.published(spark, root)
+    assert {k: spark.read.parquet(v).count() for k, v in paths.items()} == {"scored": 3, "related": 2}
+    second = OUT.Publication(spark, root)
+    second.write({"scored": spark.range(5).toDF("n"), "related": spark.range(1).toDF("n")})
+    second.commit()
+    assert {k: spark.read.parquet(v).count() for k, v in OUT.published(spark, root).items()} == {"scored": 5, "related": 1}
+
+
 def test_notes_job(spark):
     notes = notes_from_documents(spark.read.parquet(f"{SF}/documents.parquet"))
     accepted, rejects = jobs.notes_job(notes)

@@ -197,6 +197,7 @@ def collect_job(
     saved: DataFrame,
     layout: str = "generic",
     listing_id: str = "listing_id",
+    listing_layout: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The collector as one batch job: (new papers ``url, title, abstract,
     title_key, listing_id, pos``, rejects ``url, reason``).
@@ -207,6 +208,7 @@ def collect_job(
     order (H8), a URL counts once at its first place, saved URLs are left out
     (D1). Of several stored pages of one URL the first is read. Links without
     stored page and pages without title or abstract are rejects (D5, C5, A14).
+    ``listing_layout`` takes links from that layout's listing container only.
     Of equal title keys the first in listing order is kept (E4) unless a saved
     paper has it (D2); an empty key matches nothing.
 
@@ -215,7 +217,7 @@ def collect_job(
     step per key is a partial aggregation or a join, so no listing, URL or
     title key is gathered in one task.
     """
-    links = LS.page_links(listings, listing_id).select(F.col("href").alias("url"), F.struct(listing_id, "pos").alias("place"))
+    links = _listing_links(listings, listing_id, listing_layout).select(F.col("href").alias("url"), F.struct(listing_id, "pos").alias("place"))
     first = links.groupBy("url").agg(F.min("place").alias("place"))
     todo = PP.not_already_saved(first, saved, "url")
     fields = pages.select("page_id", "url", PG.extract_fields("html", layout).alias("f")).select(
@@ -228,7 +230,16 @@ def collect_job(
     tagged = PP.with_title_key(todo.join(stored, "url", "left").withColumn("reason", reason))
     path = scratch_path(spark, f"collect-{uuid.uuid4().hex}")
     tagged.drop("_stored", "page_id").write.parquet(path)
-    done = spark.read.parquet(path)
+    return collected_papers(spark.read.parquet(path), saved, listing_id)
+
+
+def _listing_links(listings: DataFrame, listing_id: str, layout: str | None) -> DataFrame:
+    return LS.page_links(listings, listing_id) if layout is None else LS.scoped_links(listings, layout, listing_id)
+
+
+def collected_papers(done: DataFrame, saved: DataFrame, listing_id: str = "listing_id") -> tuple[DataFrame, DataFrame]:
+    """(new papers, rejects) of the entries read: ``url, place, title,
+    abstract, title_key, reason``."""
     usable = done.filter(F.col("reason").isNull()).drop("reason")
     fresh = PP.not_already_saved(usable, saved.filter("title_key <> ''"), "title_key")
     kept = PP.keep_first_nonempty(fresh, "title_key", "place")
@@ -249,6 +260,7 @@ def collect_sequential(
     rule: str = CVF,
     layout: str | None = None,
     listing_id: str = "listing_id",
+    listing_layout: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The collector as the sequential scripts run it: (papers ``url, title,
     abstract, listing_id, pos``, rejects ``url, reason``).
@@ -259,10 +271,11 @@ def collect_sequential(
     which is also its title (``eccv``). Entries without stored page, title or
     abstract are rejects and add no key. Only wanted pages are parsed; of
     several stored pages of one URL the first is read. Empty keys match nothing.
+    ``listing_layout`` takes links from that layout's listing container only.
     """
     if rule not in (CVF, ECCV):
         raise ValueError(f"unknown rule {rule!r}")
-    links = LS.page_links(listings, listing_id)
+    links = _listing_links(listings, listing_id, listing_layout)
     if rule == CVF:
         links = LS.link_dict(links, listing_id)
     entries = links.select(F.struct(listing_id, "pos").alias("place"), F.col("href").alias("url"), "link_text", TX.title_key("link_text").alias("listing_key"))

@@ -33,6 +33,14 @@ def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     )
 
 
+def scoped_links(pages: DataFrame, layout: str, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """H8 within a layout's listing container only (``PageRules.links_in``):
+    ``(page_id, pos, link_text, href)`` in page order, texts and addresses
+    with their character references decoded."""
+    exploded = pages.select(id_col, F.explode_outer(PG.extract_fields(html_col, layout)["links"]).alias("a"))
+    return exploded.filter(F.col("a.href").isNotNull()).select(id_col, "a.pos", F.col("a.text").alias("link_text"), "a.href")
+
+
 def page_link_dict(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """E5 + H8: the link dict of each page. The page's anchors are extracted
     once and exploded, then aggregated per (page, text) with partial

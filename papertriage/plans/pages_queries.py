@@ -4,14 +4,18 @@ and an issue archive whose track labels are derived from ``page_id``
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..jobs import CVF, ECCV, collect_job, collect_sequential
 from ..operators import listing as LS
 from ..operators import papers as PP
+from ..session import scratch_path
 from ..sources import pages as PG
 from ..sources.tables import read_table
+from ..streaming import collector as COL
 from . import sqlfrag as S
 from .registry import query
 
@@ -198,6 +202,42 @@ def collect_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _collected(spark, sf_dir)[1]
 
 
+@query(
+    "collect_stream",
+    _COLLECT_SQL
+    + """
+SELECT url, title, abstract, NULL AS reason FROM fresh a
+WHERE title_key = '' OR place = (SELECT min(b.place) FROM fresh b WHERE b.title_key = a.title_key)
+UNION ALL SELECT url, NULL, NULL, reason FROM done WHERE reason IS NOT NULL""",
+    "I1 H8 D5 D2 A14 (the collector as a stream: links and pages arrive in parts and in either order)",
+)
+def collect_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = stored_pages(spark, sf_dir)
+    f = pages.filter(F.col("page_id") % 10 == 0).select("url", PG.extract_fields("html", "generic").alias("f"))
+    saved = PP.with_title_key(f.select("url", "f.title", "f.abstract").filter("title <> '' AND abstract <> ''")).select("url", "title_key")
+    listings = listing_pages(_pages(spark, sf_dir))
+    root = scratch_path(spark, f"collector-{uuid.uuid4().hex}")
+    first = F.col("page_id") % 3 == 0
+    for k, (some_pages, some_listings) in enumerate(((first, F.col("listing_id") % 2 == 0), (~first, F.col("listing_id") % 2 == 1))):
+        pages.where(some_pages).write.parquet(f"{root}/pages/drop={k}")
+        listings.where(some_listings).write.parquet(f"{root}/listings/drop={k}")
+        COL.collect_stream(spark, f"{root}/listings", f"{root}/pages", f"{root}/rows", f"{root}/_checkpoint").awaitTermination()
+    papers, rejects = COL.collected(spark, f"{root}/rows", saved)
+    return papers.select("url", "title", "abstract").unionByName(rejects, allowMissingColumns=True)
+
+
+@query(
+    "scoped_links",
+    f"""WITH l AS (SELECT page_id, regexp_extract_all({_NAV}, '<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1, 's') AS hrefs,
+  regexp_extract_all({_NAV}, '<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2, 's') AS texts FROM pages),
+x AS (SELECT page_id, CAST(i AS INTEGER) AS pos, hrefs[i] AS h, regexp_replace(texts[i], '<[^>]*>', '', 'g') AS t FROM l, range(1, len(hrefs) + 1) AS r(i))
+SELECT page_id, pos, {_decode("t")} AS link_text, {_decode("h")} AS href FROM x""",
+    "H8 (links of the listing container only)",
+)
+def scoped_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LS.scoped_links(_pages(spark, sf_dir), "generic")
+
+
 # --- the sequential collectors and the next-page walk ---------------------------
 
 

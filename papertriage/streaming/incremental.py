@@ -10,9 +10,8 @@ micro-batch (after a failure between the write and the checkpoint commit)
 finds its rows already in the target and appends nothing, so the sink is
 effectively exactly-once with a single writer per target. The target is
 partitioned by a hash bucket of the key; each micro-batch reads only the key
-column of the buckets its keys fall into and streams it past the batch's
-broadcast keys (a size-checked semi join), so the growing target is never
-shuffled.
+column of the buckets its keys fall into, and the adaptive plan broadcasts the
+side that measures small.
 
 ``score_stream``: a file source of embedded papers -> stateless broadcast
 scoring (the Arrow block product) -> append of scored rows. ``triage_stream``

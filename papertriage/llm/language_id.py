@@ -285,12 +285,15 @@ def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_ou
     """The bounded sample (lang, text) of labelled rows inside or outside of the held-out fold."""
     rows = bound_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where((F.coalesce(fold(F.col("id")) == 2, F.lit(False)) == held_out) & F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("size"))
-    n_langs = sizes.count()
+    # one row a language: more of them than the sample has documents is an error
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).limit(SAMPLE_TOTAL + 1).collect()
+    if len(sizes) > SAMPLE_TOTAL:
+        raise ValueError(f"more than {SAMPLE_TOTAL} languages: raise SAMPLE_TOTAL")
     part = 1 << 20
+    wanted = max(1, min(SAMPLE_DOCS, SAMPLE_TOTAL // max(1, len(sizes))))
+    limits = docs.sparkSession.createDataFrame([(r["lang"], part * wanted // r["size"] + 1) for r in sizes], "lang string, least long")
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(SEED)), F.lit(part))
-    wanted = max(1, min(SAMPLE_DOCS, SAMPLE_TOTAL // max(1, n_langs)))
-    return rows.join(sizes, "lang").where(draw < F.lit(part * wanted) / F.col("size") + 1).select("lang", "text")
+    return rows.join(F.broadcast(limits), "lang").where(draw < F.col("least")).select("lang", "text")
 
 
 def predict(model: Model, batch_texts: list[str]) -> list[tuple[str, float]]:

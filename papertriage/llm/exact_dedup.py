@@ -1,13 +1,15 @@
 """Exact duplicates by a tree merge of sorted digest runs.
 
 Each input partition is one *run*: its digests in order, each once, with the
-identifier that stays and the number of rows. In a merge round groups of
-``fan_in`` neighbouring runs exchange their entries by digest bucket; every
-task sorts what it receives and folds equal neighbours, so a digest leaves a
-round at most once per group of runs. After ``ceil(log(runs, fan_in))`` rounds
-one entry per digest is left, spread over all buckets. A digest that a third
-of all rows share is folded inside its runs first, so no task ever receives
-more than ``fan_in`` entries for it, and no task ever holds the whole table.
+identifier that stays and the number of rows. In a binomial round neighbouring
+runs meet in pairs: both are dealt by digest bucket, every task puts what it
+receives of the two runs in one order and folds equal neighbours, so a digest
+leaves a round at most once per pair. After ``ceil(log2(runs))`` rounds one
+entry per digest is left, spread over all buckets. (An exchange hands rows over
+block by block, so the merge is Spark's sort of the two runs' blocks.) A digest
+that a third of all rows share is folded inside its runs first, so no task ever
+receives more than ``fan_in`` entries for it, and no task ever holds the whole
+table.
 
 Entries count as equal only when digest, byte length and a second, independent
 hash of the text agree; this is checked in every fold.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import cut_lineage, whole_text
 
-FAN_IN = 16
+FAN_IN = 2  # runs that meet in a round
 KEY = ["digest", "n_bytes", "check_hash"]
 _RUN_SCHEMA = "digest binary, n_bytes int, check_hash long, run int, id_key long, n_rows long"
 _RUN_ARROW = pa.schema(

@@ -7,8 +7,8 @@ anywhere else as well, in the same document or another.
 the smallest hash of a window of ``LENGTH`` bytes, the leftmost of equal ones.
 Every window has exactly one trigger and equal windows have it at the same
 place, so triggers cut all texts into phrases in the same way wherever the same
-bytes stand, and no phrase is a proper prefix of another one's bytes up to its
-trigger. The windows of one trigger are a run of neighbouring starts.
+bytes stand. (A hash that is 0 modulo some number, the usual trigger, leaves
+windows without one.) The windows of one trigger are a run of neighbouring starts.
 
 *Dictionary.* All windows of a run hold a common core (the trigger and 100
 bytes to its right, or 100 to its left for windows that reach further left). A

@@ -1,9 +1,11 @@
 """Token counts per document by a map-side two-tier lookup.
 
 Tier one is a compact table of the lengths (in tokens) of the most frequent
-pre-tokens, built from a bounded sample of documents and sent to every task.
-Tier two is the worker's own cache: what the table lacks is encoded once per
-worker. No pre-token is ever exchanged; the job is one narrow pass.
+pre-tokens, sent to every task. It is counted over the whole texts of all
+documents: every task keeps a summary of bounded size (its rarest entries go
+when it is full), and one aggregation adds the summaries up. Tier two is the
+worker's own cache: what the table lacks is encoded once per worker. The
+pre-tokens of the texts are never exchanged; counting is one narrow pass.
 
 The table and the cache only decide how fast a count is found, never its value.
 """
@@ -19,36 +21,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import BpeEncoder, split_safe, worker_encoder
-from .common import bound_batches, slices, texts, whole_text
+from .common import bound_batches, slices, texts
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
-# bounds of the frequency estimate: documents, characters of each, table entries
-SAMPLE_DOCS = 1000
-SAMPLE_CHARS = 4096
+# pre-tokens in the table; entries that a task counts at a time, and passes on
 TABLE_ENTRIES = 16_384
+TASK_ENTRIES = 4 * TABLE_ENTRIES
 
 _OUT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", sample_docs: int = SAMPLE_DOCS, entries: int = TABLE_ENTRIES) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of a sample.
+def _summary(entries: int):
+    """A task's most frequent pre-tokens; at most four times ``entries`` are held."""
 
-    At most about ``sample_docs`` openings of ``SAMPLE_CHARS`` characters reach
-    the driver (under 8 MB) and at most ``entries`` entries are kept (under
-    1 MB). The sample sets speed only: every count is exact with any table.
-    """
-    n = docs.count()
-    if n == 0:
-        return {}
-    opening = F.substring(whole_text(text_col), 1, SAMPLE_CHARS).alias("t")
-    sampled = docs.select(opening).sample(fraction=min(1.0, sample_docs / n), seed=11)
-    seen: Counter[str] = Counter()
-    for row in sampled.toLocalIterator():
-        seen.update(p for p in split_safe(row.t) or () if len(p) <= 64)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for b in slices(batches):
+            for t in texts(b, "text"):
+                seen.update(split_safe(t) or ())
+            if len(seen) > 4 * entries:
+                seen = Counter(dict(seen.most_common(2 * entries)))
+        top = [(p, n) for p, n in seen.most_common(entries) if len(p) <= 64 and n > 1]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n"])
+
+    return run
+
+
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", entries: int = TABLE_ENTRIES) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens of all documents; ``entries`` of
+    them (under 1 MB) reach the driver, in one job whatever the number of
+    partitions. A summary may miss a pre-token that is rare in every task;
+    the table sets speed only, every count is exact with any table."""
+    rows = bound_batches(docs).select(F.col(text_col).cast("string").alias("text"))
+    counted = rows.mapInArrow(_summary(max(entries, TASK_ENTRIES if entries else 0)), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     encoder = BpeEncoder(path)
-    return {p: encoder.count(p) for p, _ in seen.most_common(entries)}
+    return {r["piece"]: encoder.count(r["piece"]) for r in counted.orderBy(F.desc("n"), "piece").limit(entries).collect()} if entries else {}
 
 
 def _pack_table(table: dict[str, int]) -> tuple[str, bytes]:
@@ -79,7 +88,7 @@ def _counter(path_name: str, packed: tuple[str, bytes], limit: int):
     return run
 
 
-def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, limit: int = LIMIT, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, limit: int = LIMIT, entries: int = TABLE_ENTRIES) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit.
 
     Whole texts, no special tokens added; a special token's string inside a
@@ -87,6 +96,6 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty: 0 bytes, 0 tokens. Null or repeated identifiers are carried
     through, an empty table gives no rows, other columns are not read.
     """
-    packed = _pack_table(frequent_lengths(docs, public_tokenizers.path(tokenizer), text_col, sample_docs))
+    packed = _pack_table(frequent_lengths(docs, public_tokenizers.path(tokenizer), text_col, entries))
     rows = bound_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_counter(tokenizer, packed, limit), _OUT)

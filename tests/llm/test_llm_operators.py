@@ -188,6 +188,43 @@ def test_language_id_learns_and_handles_edges(spark, edge):
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
 
 
+def plain_prediction(model, text):
+    """The network one byte and one unit at a time."""
+    def states(d, data):
+        h, out = [0.0] * len(d.uz), []
+        for byte in data:
+            hard = lambda v: min(1.0, max(0.0, 0.25 * v + 0.5))
+            dot = lambda x, u, j: sum(x[i] * float(u[i, j]) for i in range(len(x)))
+            z = [hard(float(d.ez[byte, j]) + dot(h, d.uz, j)) for j in range(len(h))]
+            r = [hard(float(d.er[byte, j]) + dot(h, d.ur, j)) for j in range(len(h))]
+            gated = [a * b for a, b in zip(r, h)]
+            c = [min(1.0, max(-1.0, float(d.en[byte, j]) + dot(gated, d.un, j))) for j in range(len(h))]
+            h = [b + a * (old - b) for a, b, old in zip(z, c, h)]
+            out.append(h)
+        return out
+
+    total, data = [0.0] * len(model.langs), text.encode()
+    for at in range(0, len(data), language_id.CHUNK):
+        part = data[at : at + language_id.CHUNK]
+        for f, b in zip(states(model.forward, part), states(model.backward, part[::-1])[::-1]):
+            logit = [float(model.bias[k]) + sum(x * float(w) for x, w in zip(f + b, [*model.forward.w[:, k], *model.backward.w[:, k]])) for k in range(len(model.langs))]
+            e = [math.exp(x - max(logit)) for x in logit]
+            total = [t + x / sum(e) for t, x in zip(total, e)]
+    share = [t / len(data) for t in total]
+    return model.langs[share.index(max(share))], max(share)
+
+
+def test_predictions_equal_a_plain_network():
+    rng = random.Random(4)
+    words = {"aa": "the of and with", "bb": "le la être ça", "cc": "der die und über"}
+    text = lambda k, n: " ".join(rng.choice(words[k].split()) for _ in range(n))
+    model = language_id.train([(k, text(k, 30).encode()[:128]) for k in words for _ in range(20)], hidden=5, steps=15)
+    texts = [text(k, n) for k in words for n in (1, 4, 60)]
+    for got, t in zip(language_id.predict(model, texts), texts):
+        want = plain_prediction(model, t)
+        assert got[0] == want[0] and abs(got[1] - want[1]) < 2e-3
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(1)
     d = language_id.Direction.fresh(rng, 4, 2)
@@ -478,8 +515,11 @@ def test_count_tokens(edge, docs, library):
     for i, t in pairs(src):
         n = len(library.encode(t or "", add_special_tokens=False).ids)
         want.append((i, len((t or "").encode()), n, n > 1024))
-    for sample in (0, 50):  # an empty table of frequent pre-tokens changes nothing
-        assert rows_of(token_count.count_tokens(src, sample_docs=sample)) == sorted(want, key=repr)
+    for entries in (0, 50):  # an empty table of frequent pre-tokens changes nothing
+        assert rows_of(token_count.count_tokens(src, entries=entries)) == sorted(want, key=repr)
+    table = token_count.frequent_lengths(docs, public_tokenizers.path("byte_bpe_50k.json"), entries=50)
+    met = collections.Counter(p for _, t in pairs(docs) for p in token_count.split_safe(t or "") or () if len(p) <= 64)
+    assert set(table) == {p for p, _ in sorted(met.items(), key=lambda x: (-x[1], x[0]))[:50]}
     other = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     got = token_count.count_tokens(docs.limit(20), tokenizer="word_bpe_49k.json").collect()
     text = dict(pairs(docs))

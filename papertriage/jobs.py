@@ -175,18 +175,22 @@ def pages_job(
     """Listing rows (``url`` + any listing columns) and stored detail pages
     ``(url, html)`` -> (paper rows ``title, abstract, url``, rejects).
 
-    Fields are extracted per page before the join, so only ``url, title,
-    abstract`` are shuffled; listing rows without a stored page and pages
-    without a usable title/abstract are rejects."""
-    fields = pages.select(key, PG.extract_fields("html", layout).alias("f")).select(
+    Only pages that the listing names are parsed, once: the joined rows are
+    written to the scratch folder and both outputs read them. Listing rows
+    without a stored page and pages without a usable title/abstract are
+    rejects."""
+    spark = pages.sparkSession
+    path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
+    wanted = pages.join(listing.select(key).distinct(), key, "left_semi")
+    fields = wanted.select(key, PG.extract_fields("html", layout).alias("f")).select(
         key, F.col("f.title").alias("title"), F.col("f.abstract").alias("abstract")
     )
     matched, missing = LS.detail_join(listing.select(key), fields, key)
-    usable = matched.withColumn("reason", PP.reject_reason(F.col("title"), F.col("abstract")))
+    tagged = matched.withColumn("reason", PP.reject_reason(F.col("title"), F.col("abstract")))
+    tagged.unionByName(missing.select(key, "reason"), allowMissingColumns=True).write.parquet(path)
+    usable = spark.read.parquet(path)
     papers = usable.filter(F.col("reason").isNull()).select("title", "abstract", key)
-    rejects = usable.filter(F.col("reason").isNotNull()).select(key, "reason").unionByName(
-        missing.select(key, "reason")
-    )
+    rejects = usable.filter(F.col("reason").isNotNull()).select(key, "reason")
     return papers, rejects
 
 
@@ -212,15 +216,17 @@ def collect_job(
     Of equal title keys the first in listing order is kept (E4) unless a saved
     paper has it (D2); an empty key matches nothing.
 
-    Pages are extracted once, before the join: the extracted and joined rows
+    Only pages that new links name are extracted, and once: the joined rows
     are written to the scratch folder, and both outputs read that table. Every
     step per key is a partial aggregation or a join, so no listing, URL or
     title key is gathered in one task.
     """
     links = _listing_links(listings, listing_id, listing_layout).select(F.col("href").alias("url"), F.struct(listing_id, "pos").alias("place"))
     first = links.groupBy("url").agg(F.min("place").alias("place"))
-    todo = PP.not_already_saved(first, saved, "url")
-    fields = pages.select("page_id", "url", PG.extract_fields("html", layout).alias("f")).select(
+    path = scratch_path(spark, f"collect-{uuid.uuid4().hex}")
+    PP.not_already_saved(first, saved, "url").write.parquet(f"{path}/todo")
+    todo = spark.read.parquet(f"{path}/todo")
+    fields = pages.join(todo.select("url"), "url", "left_semi").select("page_id", "url", PG.extract_fields("html", layout).alias("f")).select(
         "page_id", "url", F.col("f.title").alias("title"), F.col("f.abstract").alias("abstract")
     )
     stored = PP.keep_first_per_key(fields, "url", "page_id").withColumn("_stored", F.lit(True))
@@ -228,9 +234,8 @@ def collect_job(
         PP.reject_reason(F.col("title"), F.col("abstract"))
     )
     tagged = PP.with_title_key(todo.join(stored, "url", "left").withColumn("reason", reason))
-    path = scratch_path(spark, f"collect-{uuid.uuid4().hex}")
-    tagged.drop("_stored", "page_id").write.parquet(path)
-    return collected_papers(spark.read.parquet(path), saved, listing_id)
+    tagged.drop("_stored", "page_id").write.parquet(f"{path}/read")
+    return collected_papers(spark.read.parquet(f"{path}/read"), saved, listing_id)
 
 
 def _listing_links(listings: DataFrame, listing_id: str, layout: str | None) -> DataFrame:

@@ -381,20 +381,21 @@ def _refiner(level: int, threshold: int):
     return run
 
 
-def _mixed(members: DataFrame, comp: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame, comp: DataFrame, settled: int = 1) -> DataFrame:
     """Members (first_key, key, node, component, size) of the tiles that hold
-    several components; a tile of two members has been settled as its ends."""
+    several components and more than ``settled`` members."""
     placed = members.join(comp, "node", "left").select("first_key", "key", "node", F.coalesce("component", "node").alias("component"))
-    tiles = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2 AND size > 2")
+    tiles = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("c1"), F.max("component").alias("c2")).where((F.col("c1") != F.col("c2")) & (F.col("size") > settled))
     return placed.join(tiles.select("key", "size"), "key")
 
 
 def _worth_refining(mixed: DataFrame, corpus: _Corpus) -> DataFrame:
-    """Tiles with more blocks than a set of them can have parts."""
+    """Tiles whose block copies take more than their parts: a set is repeated
+    for each block or for each part, and a copy with its bitmap counts twice."""
     t = corpus.threshold
     largest = mixed.where(F.col("size") > BLOCK_ROWS).join(corpus.light.select("node", "n"), "node").groupBy("key").agg(F.max("n").alias("n"), F.first("size").alias("size"))
     parts = (100 - t) * (F.col("n") + 100 * F.col("n") / t) / (100 + t) + 1
-    return cut_lineage(largest.where(F.col("size") > BLOCK_ROWS * parts).select("key"))
+    return cut_lineage(largest.where(2 * F.col("size") > BLOCK_ROWS * parts).select("key"))
 
 
 def _leftover_pairs(members: DataFrame, comp: DataFrame, corpus: _Corpus) -> DataFrame:
@@ -403,7 +404,9 @@ def _leftover_pairs(members: DataFrame, comp: DataFrame, corpus: _Corpus) -> Dat
     A tile is cut by further parts, level by level, where comparing it block
     against block would repeat a member more often than it has parts; what
     stays large after ``REFINE_LEVELS`` is compared block against block."""
-    mixed = cut_lineage(_mixed(members.select(F.col("key").alias("first_key"), "key", "node"), comp))
+    # a tile of two members has been settled as its ends; the two of a tile's
+    # part have only met here
+    mixed = cut_lineage(_mixed(members.select(F.col("key").alias("first_key"), "key", "node"), comp, 2))
     done, large, sets = None, mixed, None
     for level in range(REFINE_LEVELS):
         worth = _worth_refining(large, corpus)

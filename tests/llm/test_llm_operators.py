@@ -302,6 +302,34 @@ def test_templated_texts_are_cut_into_small_tiles(spark, monkeypatch):
     assert len(seen) > 2 and largest[-1] < largest[0] / 4
 
 
+def test_similar_sets_alone_in_a_part_of_a_cut_tile_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 1)
+    rng = random.Random(5)
+    texts = []
+    for _ in range(600):  # a template with own words, and a copy with one word more
+        w = [f"t{k}" for k in range(100)]
+        for at in rng.sample(range(0, 100, 4), 12):
+            w[at] = f"o{rng.random()}"
+        texts += [" ".join(w), " ".join([*w, "x"])]
+    filed = collections.defaultdict(list)
+    for t in texts:
+        for key in jaccard_join.tile_keys(jaccard_join.shingle_set(t)).tolist():
+            filed[key].append(t)
+    key, texts = max(filed.items(), key=lambda x: len(x[1]))
+    sets = {jaccard_join.set_key(s)[0]: s for s in map(jaccard_join.shingle_set, texts)}
+    want = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if jaccard_join.similar(sets[a], sets[b], 90)}
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").cache()
+    light = rows.mapInArrow(jaccard_join._digester(3), "doc_id long, n long, node long, check long, bits array<long>").cache()
+    groups = light.select("node", "check", F.col("doc_id").alias("first_id"), "n")
+    corpus = jaccard_join._Corpus(rows, groups, light.select("node", "n", "bits"), 90, 3)
+    members = spark.createDataFrame([(key, node) for node in sets], "key long, node long")
+    seen = []
+    worth = jaccard_join._worth_refining
+    monkeypatch.setattr(jaccard_join, "_worth_refining", lambda *a: seen.append(worth(*a).count()) or worth(*a))
+    found = jaccard_join._leftover_pairs(members, spark.createDataFrame([], "node long, component long"), corpus)
+    assert seen[0] == 1 and want and want <= {tuple(r) for r in found.collect()}
+
+
 def test_columns_of_any_names_are_kept(spark):
     names = ("__id", "__sha", "__k", "__null", "id", "no_id", "sha", "row")
     df = frame(spark, EDGE).withColumns({c: F.lit(f"mine-{c}") for c in names})

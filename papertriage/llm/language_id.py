@@ -276,15 +276,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     10 MB on the driver, whatever the table's size. Rows are chosen by a hash
     of the identifier.
     """
-    sample = _sampled(docs, id_col, text_col, lang_col, False).mapInArrow(_cut_windows, "lang string, data binary")
+    sample = _sampled(docs, id_col, text_col, lang_col).mapInArrow(_cut_windows, "lang string, data binary")
     # in order, so that the same sample gives the same network
     return train(sorted((r["lang"], bytes(r["data"])) for r in sample.collect()))
 
 
-def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out: bool) -> DataFrame:
-    """The bounded sample (lang, text) of labelled rows inside or outside of the held-out fold."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out: bool) -> DataFrame:
+    """All labelled rows (id, text, lang) inside or outside of the held-out fold."""
     rows = bound_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = rows.where((F.coalesce(fold(F.col("id")) == 2, F.lit(False)) == held_out) & F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    return rows.where((F.coalesce(fold(F.col("id")) == 2, F.lit(False)) == held_out) & F.col("id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
+
+
+def _sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """The bounded sample (lang, text) of labelled rows outside of the held-out fold."""
+    rows = _labelled(docs, id_col, text_col, lang_col, False)
     # one row a language: more of them than the sample has documents is an error
     sizes = rows.groupBy("lang").agg(F.count("*").alias("size")).limit(SAMPLE_TOTAL + 1).collect()
     if len(sizes) > SAMPLE_TOTAL:
@@ -338,7 +343,7 @@ def identify_languages(docs: DataFrame, model: Model | None = None, id_col: str
 def rejection_level(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> float:
     """The score under which a text counts as being in no known language: half
     way from chance (one over the number of languages) to the lowest score of
-    a rightly predicted text in a bounded sample of held-out rows; without such
+    a rightly predicted text among all labelled held-out rows; without such
     rows a fifth above chance."""
     if len(model.langs) < 2:
         return 0.0
@@ -350,7 +355,7 @@ def rejection_level(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
             right = [s for (k, s), want in zip(found, b.column("lang").to_pylist()) if k == want]
             yield pa.RecordBatch.from_arrays([pa.array(right, pa.float64())], names=["score"])
 
-    lowest = _sampled(docs, id_col, text_col, lang_col, True).mapInArrow(run, "score double").agg(F.min("score")).first()[0]
+    lowest = _labelled(docs, id_col, text_col, lang_col, True).mapInArrow(run, "score double").agg(F.min("score")).first()[0]
     return 1.2 * chance if lowest is None else chance + (lowest - chance) / 2
 
 

@@ -245,6 +245,19 @@ def test_gradients_agree_with_differences():
     assert np.allclose(fast, [s[4] for s in language_id._run_kept(d, x)], atol=1e-5)
 
 
+def test_rejection_level_counts_all_held_out_rows(spark, monkeypatch):
+    rng = random.Random(2)
+    word = lambda letters: "".join(rng.choices(letters, k=5))
+    two = {"en": "abcdefgh", "xx": "pqrstuvw"}
+    rows = [(i, " ".join(word(two[lang]) for _ in range(rng.choice([1, 3, 20]))), lang) for i in range(400) for lang in [rng.choice(["en", "xx"])]]
+    rows += [(i, " ".join(word("abcdefghpqrstuvw") for _ in range(4)), rng.choice(["en", "xx"])) for i in range(400, 600)]
+    df = spark.createDataFrame([*rows, (None, "aa", "en"), (601, None, "en"), (602, "bb", None)], "doc_id long, text string, lang string").repartition(3)
+    model = language_id.fit(df)
+    right = df.join(language_id.identify_languages(df, model).where("held_out"), "doc_id").where("lang = lang_pred")
+    monkeypatch.setattr(language_id, "SAMPLE_DOCS", 3)
+    assert language_id.rejection_level(df, model) == 0.5 + (right.agg(F.min("score")).first()[0] - 0.5) / 2
+
+
 # ---- 3 n-gram Jaccard join -------------------------------------------------
 
 

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import bound_arrow_batches, ensure_checkpoint_dir
 
 # Rows that a Python worker turns into objects at a time; a batch that Spark
 # hands over may hold thousands of whole documents.
 SLICE_ROWS = 512
 
+# of glibc; elsewhere freed memory stays with the worker
+_MALLOC_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One given table, whole."""
@@ -31,26 +35,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Rows that Spark hands to a Python worker at a time (Spark's default is ten
-# times as many, which whole documents make hundreds of megabytes)
-BATCH_ROWS = 1000
-
-
 def bound_batches(df: DataFrame) -> DataFrame:
-    """Lower the session's Arrow batch to ``BATCH_ROWS`` where it is larger."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """Lower the session's Arrow batch to ``session.BATCH_ROWS`` where it is larger."""
+    bound_arrow_batches(df.sparkSession)
     return df
 
 
+def release_memory() -> None:
+    """Workers outlive a task: what it has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _MALLOC_TRIM is not None:
+        _MALLOC_TRIM(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut into views of at most ``rows`` rows (nothing is copied)."""
     for b in batches:
         for i in range(0, b.num_rows, rows):
             yield b.slice(i, rows)
-    # workers outlive a task: what it has freed goes back to the system
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def texts(batch: pa.RecordBatch, name: str) -> list[str]:

@@ -65,6 +65,18 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path)
 
 
+# Rows that Spark hands to a Python worker at a time (Spark's default is ten
+# times as many, which whole documents make hundreds of megabytes)
+BATCH_ROWS = 1000
+
+
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` where it is larger."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

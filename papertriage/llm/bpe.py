@@ -15,6 +15,9 @@ from array import array
 from functools import lru_cache
 
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
+
+from .common import release_memory
 
 # Letters and numbers among the safe characters: ASCII, Latin-1 and the Latin,
 # Greek and Cyrillic letters on which all Unicode versions since 5.0 agree.
@@ -27,8 +30,9 @@ _SPLIT = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^{_SPACES}{_LETTERS}{_NUMBERS}]+"
     f"|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+"
 )
-# entries in a generation of a worker's cache
-CACHE_ENTRIES = 150_000
+# entries in a generation of a worker's cache of counts, and of ids (whose
+# values are objects of their own)
+CACHE_ENTRIES, ID_ENTRIES = 150_000, 40_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -93,15 +97,15 @@ class BpeEncoder:
         self._tok.no_padding()
         self._model = self._tok.model
         self._specials = [t.content for t in self._tok.get_added_tokens_decoder().values()]
-        conf = json.loads(self._tok.to_str())
-        pre = conf["pre_tokenizer"] or {}
+        # only the small part is read as JSON: the whole one holds the vocabulary
+        pre = json.loads(self._tok.pre_tokenizer.__getstate__()) if self._tok.pre_tokenizer else {}
         # other tokenizers cut texts otherwise: their texts go to the library whole
         self._by_pieces = (
-            conf["model"]["type"] == "BPE"
+            isinstance(self._model, BPE)
             and (pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex")) == ("ByteLevel", False, True)
-            and not conf["normalizer"]
+            and self._tok.normalizer is None
         )
-        self._ids = _Cache(self._ids_of)
+        self._ids = _Cache(self._ids_of, ID_ENTRIES)
         self._cached_counts = _Cache(self._count_of)
 
     def _library(self, text: str) -> list[int]:
@@ -132,6 +136,7 @@ class BpeEncoder:
         """Empty the caches: a worker waits for its next task without them."""
         self._ids.forget()
         self._cached_counts.forget()
+        release_memory()
 
     def tiers(self, frequent: dict[str, int]) -> dict[str, int]:
         """Lookup of counts: the given table first, then the worker's cache."""

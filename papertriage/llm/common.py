@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ from ..session import bound_arrow_batches, ensure_checkpoint_dir
 # hands over may hold thousands of whole documents.
 SLICE_ROWS = 512
 
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # of glibc; elsewhere freed memory stays with the worker
 _MALLOC_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
@@ -29,10 +32,29 @@ def whole_text(text_col: str) -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def drop_exchanges(spark: SparkSession) -> None:
+    """From now on an execution of the session deletes its exchange files at its
+    end, not at some later collection of the driver's garbage."""
+    spark.conf.set(_FILE_CLEANUP, "true")
+
+
+@contextmanager
+def dropped_exchanges(spark: SparkSession) -> Iterator[None]:
+    """``drop_exchanges`` for what is planned and run inside."""
+    before = spark.conf.get(_FILE_CLEANUP, "false")
+    drop_exchanges(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(_FILE_CLEANUP, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``."""
+    """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``; the
+    exchanges it was made from leave no files."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with dropped_exchanges(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a plan takes the setting when it is made
 
 
 def bound_batches(df: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. Its result is
 written as Parquet in the shared scratch folder and read again as the next
 stage's documents, so a lost executor costs at most one stage. All stages but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``. The stages that exchange whole
+texts set the session so that a finished write or action leaves no exchange files.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from papertriage.llm import bestfit_pack, decontaminate, exact_dedup, jaccard_join, language_id
-from papertriage.llm.common import read
+from papertriage.llm.common import drop_exchanges, read
 from papertriage.session import scratch_path
 
 
@@ -25,12 +26,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id stays."""
+    drop_exchanges(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similarity (80 percent of their
     shingles of five words, the rule of the stages) one stays."""
+    drop_exchanges(spark)
     return jaccard_join.keep_representatives(docs, threshold=80, words=5)
 
 

@@ -11,7 +11,7 @@ otherwise different documents share does not bring them together.
 Sets that meet are compared by hashed bitmaps of ``BITS`` bits (each shingle
 flips one): every bit that differs needs a differing shingle, which bounds the
 overlap from above. Pairs within the bound are settled by intersecting the
-sorted shingle arrays.
+sorted shingle arrays, made again from the texts, which travel packed.
 
 Work inside a tile stays linear where sets are linked: first each member is
 held against the tile's smallest and largest member, and members already in
@@ -33,11 +33,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import bound_batches, cut_lineage, slices, texts, whole_text
+from .common import bound_batches, cut_lineage, dropped_exchanges, slices, texts, whole_text
 from .components import connected_components
 
 SHINGLE_WORDS = 3
@@ -45,6 +46,7 @@ THRESHOLD = 90  # percent
 BITS = 1024
 BLOCK_ROWS = 256  # members of a tile compared at a time
 BROADCAST_IDS = 2_000_000  # identifiers (16 MB) sent to the texts; more go through an exchange
+KEPT_SETS = 64  # sets that a worker keeps of the texts it has unpacked
 REFINE_LEVELS = 6  # how often a large mixed tile is cut by further parts
 
 _WORD64 = (1 << 64) - 1
@@ -247,20 +249,31 @@ def _filer(words: int, threshold: int):
     return run
 
 
-_WHOLE = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
+_WHOLE = pa.schema([("node", pa.int64()), ("packed", pa.binary())])
 
 
 def _whole(words: int):
+    """A set travels as its text, packed: its hashes, which do not pack, take
+    several times as much in every exchange."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor()
         for b in slices(batches, 128):
-            sets = [s for t in texts(b, "text") if len(s := shingle_set(t, words))]
-            columns = [set_key(s)[0] for s in sets], [s.tobytes() for s in sets]
+            sets = [(set_key(s)[0], pack.compress(t.encode("utf-8"))) for t in texts(b, "text") if len(s := shingle_set(t, words))]
+            columns = zip(*sets) if sets else ([], [])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _WHOLE)], schema=_WHOLE)
         _HASH_OF.clear()  # a worker waits for its next task without them
 
     return run
 
 
+def _unpacker(words: int):
+    """Sets of packed texts; the last ``KEPT_SETS`` are kept, for rows of one
+    set stand near each other."""
+    unpack = zstandard.ZstdDecompressor()
+    return lru_cache(maxsize=KEPT_SETS)(lambda packed: shingle_set(unpack.decompress(packed).decode("utf-8"), words))
+
+
 def _within_bound(threshold: int):
     """Column test on (n_a, n_b, bits_a, bits_b): the differing bits bound the
     symmetric difference from below, which bounds the overlap from above."""
@@ -269,14 +282,13 @@ def _within_bound(threshold: int):
     return (100 - threshold) * both >= (100 + threshold) * differ
 
 
-def _settle(threshold: int):
+def _settle(threshold: int, words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = _unpacker(words)
         for b in slices(batches, 256):
-            keep = [
-                similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), threshold)
-                for x, y in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist())
-            ]
+            keep = [similar(whole(x), whole(y), threshold) for x, y in zip(b.column("packed_a").to_pylist(), b.column("packed_b").to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        _HASH_OF.clear()
 
     return run
 
@@ -293,14 +305,14 @@ class _Corpus:
     words: int
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """(node, shingles) of the nodes, from the text of one document each.
+        """(node, packed text) of the nodes, from the text of one document each.
         The wanted identifiers are written and counted; the texts go through an
         exchange only when they are more than ``BROADCAST_IDS``."""
         named = self.groups.join(nodes.distinct(), "node", "left_semi")
         wanted = _landed(named.select(F.coalesce("first_id", F.lit(0)).alias("doc_id"), F.col("first_id").isNull().alias("no_id")).distinct())
         wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
         texts = self.rows.withColumn("no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
-        fetched = texts.join(wanted, ["doc_id", "no_id"], "left_semi").mapInArrow(_whole(self.words), "node long, shingles binary")
+        fetched = texts.join(wanted, ["doc_id", "no_id"], "left_semi").mapInArrow(_whole(self.words), "node long, packed binary")
         return cut_lineage(fetched.dropDuplicates(["node"]))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
@@ -308,13 +320,14 @@ class _Corpus:
         side = lambda df, x: df.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in df.columns[1:]))
         close = pairs.join(side(self.light, "a"), "a").join(side(self.light, "b"), "b").where(_within_bound(self.threshold)).select("a", "b")
         close = cut_lineage(close)
-        whole = self.sets(close.select(F.col("a").alias("node")).union(close.select("b"))).select("node", F.col("shingles").alias("set"))
-        return close.join(side(whole, "a"), "a").join(side(whole, "b"), "b").mapInArrow(_settle(self.threshold), "a long, b long")
+        whole = self.sets(close.select(F.col("a").alias("node")).union(close.select("b")))
+        return close.join(side(whole, "a"), "a").join(side(whole, "b"), "b").mapInArrow(_settle(self.threshold, self.words), "a long, b long")
 
 
 def _landed(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, f"jaccard-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    with dropped_exchanges(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -366,17 +379,19 @@ def _compare_blocks(threshold: int):
     return run
 
 
-def _refiner(level: int, threshold: int):
+def _refiner(level: int, threshold: int, words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = _unpacker(words)
         for b in slices(batches, 256):
             out = [[], [], []]
-            for first, key, node, raw in zip(*(b.column(c).to_pylist() for c in ("first_key", "key", "node", "shingles"))):
-                parts = refined_keys(np.frombuffer(raw, np.uint64), first, level, threshold)
+            for first, key, node, packed in zip(*(b.column(c).to_pylist() for c in ("first_key", "key", "node", "packed"))):
+                parts = refined_keys(whole(packed), first, level, threshold)
                 # a part's name includes the tile it cuts
                 parts = _mix(parts.view(np.uint64) + _mix(np.full(1, key & _WORD64, np.uint64))).view(np.int64)
                 for c, v in zip(out, (np.full(len(parts), first), parts, np.full(len(parts), node))):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *c])) for c in out], names=["first_key", "key", "node"])
+        _HASH_OF.clear()
 
     return run
 
@@ -417,8 +432,8 @@ def _leftover_pairs(members: DataFrame, comp: DataFrame, corpus: _Corpus) -> Dat
             break
         sets = corpus.sets(large.select("node")) if sets is None else sets
         # two sets meet at a level only if they have met at all levels before
-        named = large.join(sets, "node").select("first_key", "key", "node", "shingles")
-        parts = named.mapInArrow(_refiner(level, corpus.threshold), "first_key long, key long, node long")
+        named = large.join(sets, "node").select("first_key", "key", "node", "packed")
+        parts = named.mapInArrow(_refiner(level, corpus.threshold, corpus.words), "first_key long, key long, node long")
         large = cut_lineage(_mixed(parts.distinct(), comp))
     done = done.unionByName(large)
     blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
